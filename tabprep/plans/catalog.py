@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.operators import profile
+from tabprep.functions import rowexpr
+from tabprep.operators import align, encode, impute, metrics, profile, split, stats
 from tabprep.sources import tables
 from tabprep.sources.tables import HOUSE_LIKE_SQL
 
@@ -80,5 +81,489 @@ def a3_missing_counts(spark, sf_dir):
                                    with_ratio=False)
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return a2_missing_omission(spark, sf_dir)
+
+
+# ------------------------------------------------- shared pieces of the SQL
+
+# Category domains of the driver tables (TPC-H), used only to
+# spell out the one-hot columns in the oracle SQL.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+STATUSES = ["F", "O", "P"]
+
+NUM_FEATS = ["acctbal", "nation", "const"]
+CAT_FEATS = ["segment", "priority", "status", "rare"]
+
+
+def q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def house_parts(spark, sf_dir):
+    return tables.house_train_test(spark, sf_dir)
+
+
+def union_sql(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+# ------------------------------------------------------- P1-P8 selection
+
+@register("p1_target_kept", with_house("SELECT * FROM train WHERE target IS NOT NULL"))
+def p1_target_kept(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    return profile.split_missing_target(train, "target")[0]
+
+
+@register("p1_target_removed", with_house("SELECT * FROM train WHERE target IS NULL"))
+def p1_target_removed(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    return profile.split_missing_target(train, "target")[1]
+
+
+@register("p2_missing_flags", with_house(
+    "SELECT id, " + ", ".join(f"{c} IS NULL AS {c}_isna" for c in HOUSE_ALL if c != "id")
+    + " FROM house"))
+def p2_missing_flags(spark, sf_dir):
+    return profile.missing_flags(tables.house_like(spark, sf_dir), key="id")
+
+
+@register("p3_numeric_columns", with_house("SELECT id, acctbal, nation, const, target FROM house"))
+def p3_numeric_columns(spark, sf_dir):
+    return profile.select_kind(tables.house_like(spark, sf_dir), "numeric")
+
+
+@register("p3_category_columns",
+          with_house("SELECT id, segment, priority, status, rare, origin FROM house"))
+def p3_category_columns(spark, sf_dir):
+    return profile.select_kind(tables.house_like(spark, sf_dir), "category", keep=("id",))
+
+
+@register("p4_features", with_house(
+    "SELECT id, acctbal, nation, segment, priority, status, rare, const FROM train"))
+def p4_features(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    feats, _t = profile.features_and_target(train, key="id")
+    return train.select("id", *feats)
+
+
+@register("p5_test_part", with_house("SELECT *, CAST(NULL AS DOUBLE) AS target FROM test"))
+def p5_test_part(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    return align.take_part(align.stack_tagged(train, test, origin="src"), "test", origin="src")
+
+
+@register("p6_row_numbers", with_house(
+    "SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS \"row\" FROM house"))
+def p6_row_numbers(spark, sf_dir):
+    h = tables.house_like(spark, sf_dir).select("id")
+    return align.consecutive_index(h, ["id"], out="row")
+
+
+@register("p7_drop_columns", with_house("SELECT * EXCLUDE (rare, const) FROM test"))
+def p7_drop_columns(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    return profile.drop_columns(train, test, columns=["rare", "const"])[1]
+
+
+def _fit_standard(spark, sf_dir, keep_target_separate=True, method="standardize"):
+    train, test = house_parts(spark, sf_dir)
+    enc = encode.TableEncoder(method, keep_target_separate, target="target", key="id")
+    return enc.fit(train), train, test
+
+
+@register("p8_affine_back", with_house(f"SELECT id, round(acctbal, {R}) AS acctbal FROM test"))
+def p8_affine_back(spark, sf_dir):
+    fitted, _, test = _fit_standard(spark, sf_dir)
+    enc = fitted.transform(test)
+    back = rowexpr.affine(F.col("num__acctbal"), fitted.scale["acctbal"], fitted.shift["acctbal"])
+    return enc.select("id", rnd(back).alias("acctbal"))
+
+
+# ----------------------------------------------------- A4-A9 statistics
+
+def _per_column(stat_sql: str, cols: list[str], table: str = "train") -> str:
+    return union_sql([f"SELECT {lit(c)} AS \"column\", {stat_sql.format(c=c)} FROM {table}"
+                      for c in cols])
+
+
+@register("a4_mean", with_house(_per_column(f"round(avg({{c}}), {R}) AS mean", NUM_FEATS + ["target"])))
+def a4_mean(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    m = stats.moments(train, NUM_FEATS + ["target"])
+    return _long(spark, [(c, _r(m[c]["mean"])) for c in m], "column string, mean double")
+
+
+@register("a5_median", with_house(_per_column(
+    f"round(CAST(median({{c}}) AS DOUBLE), {R}) AS median", NUM_FEATS + ["target", "id"])))
+def a5_median(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    med = stats.exact_medians(train, NUM_FEATS + ["target", "id"])
+    return _long(spark, [(c, _r(v)) for c, v in med.items()], "column string, median double")
+
+
+@register("a6_mode", with_house(union_sql([
+    f"SELECT {lit(c)} AS \"column\", (SELECT {c} FROM train WHERE {c} IS NOT NULL "
+    f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS mode" for c in CAT_FEATS])))
+def a6_mode(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    m = stats.modes(train, CAT_FEATS)
+    return _long(spark, list(m.items()), "column string, mode string")
+
+
+@register("a7_mean_std", with_house(_per_column(
+    f"round(avg({{c}}), {R}) AS mean, round(stddev_pop({{c}}), {R}) AS std",
+    NUM_FEATS + ["target"])))
+def a7_mean_std(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    m = stats.moments(train, NUM_FEATS + ["target"])
+    return _long(spark, [(c, _r(m[c]["mean"]), _r(m[c]["std"])) for c in m],
+                 "column string, mean double, std double")
+
+
+@register("a8_min_range", with_house(_per_column(
+    "CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) - min({c}) AS DOUBLE) AS range",
+    NUM_FEATS + ["target"])))
+def a8_min_range(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    m = stats.moments(train, NUM_FEATS + ["target"])
+    return _long(spark, [(c, m[c]["min"], m[c]["max"] - m[c]["min"]) for c in m],
+                 "column string, min double, range double")
+
+
+@register("a9_categories", with_house(
+    "SELECT \"column\", CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY category) - 1 "
+    "AS INTEGER) AS pos, category FROM (" + union_sql([
+        f"SELECT DISTINCT {lit(c)} AS \"column\", {c} AS category FROM train "
+        f"WHERE {c} IS NOT NULL" for c in CAT_FEATS]) + ")"))
+def a9_categories(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    cats = stats.categories(train, CAT_FEATS)
+    return _long(spark, [(c, i, v) for c, vs in cats.items() for i, v in enumerate(vs)],
+                 "column string, pos int, category string")
+
+
+def _r(v, d=R):
+    return None if v is None else round(float(v), d)
+
+
+def _long(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+# ---------------------------------------------------- F1-F6 prune / fill
+
+@register("f1_pruned_columns", with_house(
+    "SELECT * FROM (" + _profile_sql("train", NUM_FEATS[:0] + [c for c in HOUSE_ALL if c not in
+                                                                 ("id", "target", "origin")],
+                                     "omission") + ") WHERE ratio >= 0.5"))
+def f1_pruned_columns(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    return profile.prune_sparse_columns(train, test, 0.5, target="target", key="id")[0]
+
+
+@register("f1_pruned_test", with_house("SELECT * EXCLUDE (rare) FROM test"))
+def f1_pruned_test(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    return profile.prune_sparse_columns(train, test, 0.5, target="target", key="id")[2]
+
+
+def _fill_sql(table: str, stat: str, source: str = "train") -> str:
+    num = ", ".join(
+        f"round(coalesce(CAST({c} AS DOUBLE), (SELECT CAST({stat}({c}) AS DOUBLE) FROM {source})), {R}) AS {c}"
+        for c in NUM_FEATS)
+    cat = ", ".join(
+        f"coalesce({c}, (SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CAT_FEATS)
+    return f"SELECT id, {num}, {cat} FROM {table}"
+
+
+def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[rnd(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("f2_fill_test_median", with_house(_fill_sql("test", "median")))
+def f2_fill_test_median(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    fitted = impute.Imputer("median", "mode", exclude=("id", "target")).fit(train)
+    out = fitted.transform(test)
+    return _rounded(out, NUM_FEATS).select("id", *NUM_FEATS, *CAT_FEATS)
+
+
+@register("f3_fill_self_mean", with_house(_fill_sql("train", "avg")))
+def f3_fill_self_mean(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    fitted = impute.Imputer("mean", "mode", exclude=("id", "target")).fit(train)
+    return _rounded(fitted.transform(train), NUM_FEATS).select("id", *NUM_FEATS, *CAT_FEATS)
+
+
+@register("f4_fill_from_other", with_house(_fill_sql("test", "avg")))
+def f4_fill_from_other(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    fitted = impute.Imputer("mean", "mode", columns=NUM_FEATS + CAT_FEATS).fit(train)
+    return _rounded(fitted.transform(test), NUM_FEATS).select("id", *NUM_FEATS, *CAT_FEATS)
+
+
+@register("f5_constant_fill", with_house(
+    "SELECT id, acctbal, nation, " + ", ".join(
+        f"coalesce({c}, 'missing_value') AS {c}" for c in CAT_FEATS) + ", const FROM test"))
+def f5_constant_fill(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return impute.fill_constant(test)
+
+
+@register("f6_empty_to_missing", with_house(
+    "SELECT id, acctbal, nation, " + ", ".join(
+        f"CASE WHEN {c} = '' THEN 'missing_value' ELSE {c} END AS {c}" for c in CAT_FEATS)
+    + ", const FROM test"))
+def f6_empty_to_missing(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return impute.empty_to_missing(test)
+
+
+# ------------------------------------------------ F7-F14 scale and encode
+
+def _num_sql(method: str) -> str:
+    out = []
+    for c in NUM_FEATS:
+        if method == "standardize":
+            e = (f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM train)) / "
+                 f"(SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END FROM train)")
+        elif method == "normalize":
+            e = (f"(CAST({c} AS DOUBLE) - (SELECT min({c}) FROM train)) / "
+                 f"(SELECT CASE WHEN max({c}) = min({c}) THEN 1.0 ELSE max({c}) - min({c}) END FROM train)")
+        else:
+            e = f"CAST({c} AS DOUBLE)"
+        out.append(f"round({e}, {R}) AS {q('num__' + c)}")
+    return ", ".join(out)
+
+
+def _train_categories() -> dict[str, list[str]]:
+    """Categories the train part holds after the missing label is applied
+    (MACHINERY is kept out of train by the view)."""
+    seg = sorted([s for s in SEGMENTS if s != "MACHINERY"] + ["missing_value"])
+    return {"segment": seg, "priority": sorted(PRIORITIES + ["missing_value"]),
+            "status": sorted(STATUSES), "rare": sorted(PRIORITIES + ["missing_value"])}
+
+
+def _cat_sql() -> str:
+    out = []
+    for c, vals in _train_categories().items():
+        filled = f"coalesce(nullif({c}, ''), 'missing_value')"
+        for v in vals:
+            out.append(f"CASE WHEN {filled} = {lit(v)} THEN 1.0 ELSE 0.0 END AS {q(f'cat__{c}_{v}')}")
+    return ", ".join(out)
+
+
+def _encoded(spark, sf_dir, method, table="test"):
+    fitted, train, test = _fit_standard(spark, sf_dir, method=method)
+    out = fitted.transform(test if table == "test" else train)
+    return _rounded(out, [f"num__{c}" for c in NUM_FEATS])
+
+
+@register("f7_standardize", with_house(f"SELECT id, {_num_sql('standardize')} FROM test"))
+def f7_standardize(spark, sf_dir):
+    return _encoded(spark, sf_dir, "standardize").select("id", *[f"num__{c}" for c in NUM_FEATS])
+
+
+@register("f8_normalize", with_house(f"SELECT id, {_num_sql('normalize')} FROM test"))
+def f8_normalize(spark, sf_dir):
+    return _encoded(spark, sf_dir, "normalize").select("id", *[f"num__{c}" for c in NUM_FEATS])
+
+
+@register("f9_passthrough", with_house(f"SELECT id, {_num_sql('none')} FROM test"))
+def f9_passthrough(spark, sf_dir):
+    return _encoded(spark, sf_dir, "none").select("id", *[f"num__{c}" for c in NUM_FEATS])
+
+
+@register("f10_onehot_train_fitted",
+          with_house(f"SELECT id, {_num_sql('standardize')}, {_cat_sql()} FROM test"))
+def f10_onehot_train_fitted(spark, sf_dir):
+    return _encoded(spark, sf_dir, "standardize")
+
+
+@register("f11_train_encoded", with_house(
+    f"SELECT id, {_num_sql('standardize')}, {_cat_sql()}, target FROM train"))
+def f11_train_encoded(spark, sf_dir):
+    return _encoded(spark, sf_dir, "standardize", table="train")
+
+
+@register("f12_target_scaled", with_house(
+    f"SELECT id, round((target - (SELECT avg(target) FROM train)) / "
+    f"(SELECT stddev_pop(target) FROM train), {R}) AS target FROM train"))
+def f12_target_scaled(spark, sf_dir):
+    fitted, train, _ = _fit_standard(spark, sf_dir, keep_target_separate=False)
+    return fitted.transform(train).select("id", rnd(F.col("target")).alias("target"))
+
+
+@register("f12_target_constants", with_house(
+    f"SELECT round(stddev_pop(target), {R}) AS sigma, round(avg(target), {R}) AS mu FROM train"))
+def f12_target_constants(spark, sf_dir):
+    fitted, _, _ = _fit_standard(spark, sf_dir, keep_target_separate=False)
+    return spark.createDataFrame([(_r(fitted.sigma), _r(fitted.mu))], "sigma double, mu double")
+
+
+@register("f13_target_raw", with_house("SELECT id, target FROM train"))
+def f13_target_raw(spark, sf_dir):
+    fitted, train, _ = _fit_standard(spark, sf_dir, keep_target_separate=True)
+    return fitted.transform(train).select("id", "target")
+
+
+@register("f14_inverse_target", with_house(f"SELECT id, round(target, {R}) AS target FROM train"))
+def f14_inverse_target(spark, sf_dir):
+    fitted, train, _ = _fit_standard(spark, sf_dir, keep_target_separate=False)
+    scaled = fitted.transform(train)
+    return scaled.select("id", rnd(fitted.inverse_target(F.col("target"))).alias("target"))
+
+
+# ------------------------------------------------------ F15-F16 dummies
+
+def _dummy_sql(cols_vals: dict[str, list[str]], prefix=None, sep="_", dummy_na=False,
+               drop_first=False, cast="BOOLEAN") -> str:
+    out = []
+    for c, vals in cols_vals.items():
+        p = (prefix or {}).get(c, c)
+        for v in (vals[1:] if drop_first else vals):
+            out.append(f"CAST(coalesce({c} = {lit(v)}, false) AS {cast}) AS {q(p + sep + v)}")
+        if dummy_na:
+            out.append(f"CAST({c} IS NULL AS {cast}) AS {q(p + sep + 'nan')}")
+    return ", ".join(out)
+
+
+# categories of the test part (MACHINERY present, '' is a value of priority)
+TEST_VALUES = {"segment": SEGMENTS, "priority": sorted([""] + PRIORITIES),
+               "status": STATUSES, "rare": PRIORITIES}
+TEST_OTHERS = "id, acctbal, nation, const"
+
+
+@register("f15_dummies", with_house(f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES)} FROM test"))
+def f15_dummies(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test)
+
+
+@register("f15a_dummy_na", with_house(
+    f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES, dummy_na=True)} FROM test"))
+def f15a_dummy_na(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test, dummy_na=True)
+
+
+@register("f15b_drop_first", with_house(
+    f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES, drop_first=True)} FROM test"))
+def f15b_drop_first(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test, drop_first=True)
+
+
+@register("f15c_prefix", with_house(
+    f"SELECT {TEST_OTHERS}, "
+    f"{_dummy_sql(TEST_VALUES, prefix={'segment': 'seg', 'priority': 'pri'}, sep='=')} FROM test"))
+def f15c_prefix(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test, prefix={"segment": "seg", "priority": "pri"}, prefix_sep="=")
+
+
+@register("f15d_columns", with_house(
+    "SELECT id, acctbal, nation, segment, priority, rare, const, "
+    f"{_dummy_sql({'status': STATUSES})} FROM test"))
+def f15d_columns(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test, columns=["status"])
+
+
+@register("f15e_dtype_int32", with_house(
+    f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES, cast='INTEGER')} FROM test"))
+def f15e_dtype_int32(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test, dtype="int32")
+
+
+@register("f15f_sparse")
+def f15f_sparse(spark, sf_dir):
+    _, test = house_parts(spark, sf_dir)
+    return encode.dummies(test, dummy_na=True, sparse=True)
+
+
+JOINT_VALUES = {"segment": SEGMENTS, "priority": sorted([""] + PRIORITIES),
+                "status": STATUSES, "rare": PRIORITIES}
+
+
+@register("f16_joint_encoding", with_house(
+    "SELECT id, acctbal, nation, const, CAST(NULL AS DOUBLE) AS target, "
+    f"{_dummy_sql(JOINT_VALUES, dummy_na=True, cast='INTEGER')} FROM test"))
+def f16_joint_encoding(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    return encode.joint_dummies(train, test, dummy_na=True, dtype="int32")[1]
+
+
+# ------------------------------------------------- F17-F19 image / vector
+
+IMG = f"WITH images AS ({tables.IMAGES_SQL})\n"
+
+
+@register("f17_pixel_scale", IMG + (
+    "SELECT vec_id, CAST(i AS INTEGER) AS pos, round(v, 9) AS value FROM ("
+    "SELECT vec_id, unnest(generate_series(0, len(flatten(pixels)) - 1)) AS i, "
+    "unnest(list_transform(flatten(pixels), lambda x: x / 255.0)) AS v FROM images)"))
+def f17_pixel_scale(spark, sf_dir):
+    img = tables.images(spark, sf_dir)
+    flat = encode.flatten_image(encode.scale_pixels(F.col("pixels")))
+    return img.select("vec_id", F.posexplode(flat).alias("pos", "value")).select(
+        "vec_id", "pos", F.round("value", 9).alias("value"))
+
+
+@register("f18_flatten", IMG + (
+    "SELECT vec_id, CAST(i AS INTEGER) AS pos, v AS pixel FROM ("
+    "SELECT vec_id, unnest(generate_series(0, len(flatten(pixels)) - 1)) AS i, "
+    "unnest(flatten(pixels)) AS v FROM images)"))
+def f18_flatten(spark, sf_dir):
+    img = tables.images(spark, sf_dir)
+    return img.select("vec_id", F.posexplode(encode.flatten_image(F.col("pixels")))
+                      .alias("pos", "pixel"))
+
+
+@register("f19_assemble")
+def f19_assemble(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    filled = impute.Imputer(exclude=("id", "target")).fit(train).transform(train)
+    fitted = encode.TableEncoder("standardize", target="target", key="id").fit(filled)
+    enc = fitted.transform(filled)
+    return encode.assemble(enc, fitted.output_columns, keep=("id", "target"))
+
+
+# --------------------------------------------------- U1-U3 set operations
+
+@register("u1_stack", with_house(
+    "SELECT *, 'train' AS origin FROM train UNION ALL BY NAME SELECT *, 'test' AS origin FROM test"))
+def u1_stack(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    return align.stack_tagged(train, test)
+
+
+@register("u2_glue", with_house(
+    f"SELECT coalesce(a.id, b.id) AS id, a.{q('num__acctbal')}, b.target FROM "
+    f"(SELECT id, {_num_sql('standardize').split(', round(')[0]} FROM train) a "
+    "FULL OUTER JOIN (SELECT id, target FROM train WHERE target IS NOT NULL) b ON a.id = b.id"))
+def u2_glue(spark, sf_dir):
+    """Scaled features and the kept targets, two keyed tables side by side."""
+    fitted, train, _ = _fit_standard(spark, sf_dir)
+    left = _rounded(fitted.transform(train), ["num__acctbal"]).select("id", "num__acctbal")
+    right = profile.split_missing_target(train, "target")[0].select("id", "target")
+    return align.glue_columns(left, right, "id")
+
+
+@register("u3_stats_table", with_house(
+    "SELECT p.\"column\", p.missing, p.\"rows\", p.ratio, s.mean, s.std FROM ("
+    + _profile_sql("train", NUM_FEATS + ["target"], "total") + ") p JOIN ("
+    + _per_column(f"round(avg({{c}}), {R}) AS mean, round(stddev_pop({{c}}), {R}) AS std",
+                  NUM_FEATS + ["target"]) + ") s ON p.\"column\" = s.\"column\""))
+def u3_stats_table(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    prof = profile.missing_profile(train, "total", NUM_FEATS + ["target"])
+    mom = a7_mean_std(spark, sf_dir)
+    return prof.join(mom, "column")

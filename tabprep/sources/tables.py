@@ -113,7 +113,7 @@ SELECT vec_id, label,
        [list_slice(p, i * {IMAGE_SIDE} + 1, i * {IMAGE_SIDE} + {IMAGE_SIDE})
         FOR i IN range({IMAGE_SIDE})] AS pixels
 FROM (SELECT vec_id, label,
-             list_transform(embedding, x -> CAST(least(255, greatest(0,
+             list_transform(embedding, lambda x: CAST(least(255, greatest(0,
                  CAST(round(CAST(x AS DOUBLE) * 255.0 + 128.0) AS INTEGER))) AS INTEGER)) AS p
       FROM embeddings)
 """

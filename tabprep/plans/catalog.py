@@ -567,3 +567,213 @@ def u3_stats_table(spark, sf_dir):
     prof = profile.missing_profile(train, "total", NUM_FEATS + ["target"])
     mom = a7_mean_std(spark, sf_dir)
     return prof.join(mom, "column")
+
+
+# ------------------------------------------------------ D1-D4 splits
+
+from tabprep.functions.hashing import sql_key_hash  # noqa: E402
+
+
+@register("d1_holdout", with_house(
+    f"SELECT id, ({sql_key_hash('id')}) % 100 < 80 AS is_train FROM house"))
+def d1_holdout(spark, sf_dir):
+    h = tables.house_like(spark, sf_dir)
+    return h.select("id", split.holdout_flag("id", 80).alias("is_train"))
+
+
+@register("d2_folds", with_house(
+    f"SELECT id, CAST(({sql_key_hash('id', 1)}) % 5 AS INTEGER) AS fold FROM train"))
+def d2_folds(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    return split.with_folds(train, "id", 5).select("id", "fold")
+
+
+@register("d3_epoch_order", with_house(
+    f"SELECT id, {sql_key_hash('id', split.EPOCH_SALT + 1)} AS shuffle FROM train"))
+def d3_epoch_order(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    return train.select("id", split.epoch_order("id", 1).alias("shuffle"))
+
+
+@register("d4_batches", with_house(
+    "SELECT id, pos, CAST(floor(pos / 64) AS BIGINT) AS batch FROM ("
+    f"SELECT id, CAST(row_number() OVER (ORDER BY {sql_key_hash('id', split.EPOCH_SALT + 1)}, id) - 1 "
+    "AS BIGINT) AS pos FROM train)"))
+def d4_batches(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    return split.with_batches(train.select("id"), "id", 64, epoch=1)
+
+
+# ------------------------------------- A10-A15, M8-M12 scoring and metrics
+
+# Class scores for the evaluation operators come from a given linear scorer
+# over the 64-dim embeddings: weight (k, j) = (((64k + j) * 37) mod 101 - 50) / 50,
+# no bias.  Exact in both engines.
+N_CLASSES, DIM = 10, 64
+
+
+def given_weights() -> list[list[float]]:
+    return [[(((DIM * k + j) * 37) % 101 - 50) / 50.0 for j in range(DIM)]
+            for k in range(N_CLASSES)]
+
+
+SCORES_SQL = f"""
+WITH cells AS (
+  SELECT vec_id, label, unnest(embedding) AS v,
+         unnest(generate_series(0, len(embedding) - 1)) AS j FROM embeddings),
+weights AS (
+  SELECT i // {DIM} AS k, i % {DIM} AS j, CAST((((i * 37) % 101) - 50) AS DOUBLE) / 50.0 AS w
+  FROM range({N_CLASSES * DIM}) t(i)),
+scores AS (
+  SELECT c.vec_id, c.label, w.k, sum(CAST(c.v AS DOUBLE) * w.w) AS s
+  FROM cells c JOIN weights w ON c.j = w.j GROUP BY c.vec_id, c.label, w.k),
+ranked AS (
+  SELECT vec_id, label, k, s, max(s) OVER (PARTITION BY vec_id) AS m FROM scores),
+per_row AS (
+  SELECT vec_id, label, min(k) FILTER (WHERE s = m) AS pred,
+         ln(sum(exp(s - m))) + max(m) - max(s) FILTER (WHERE k = label) AS ce
+  FROM ranked GROUP BY vec_id, label)
+"""
+
+
+def _scored(spark, sf_dir):
+    e = tables.load(spark, sf_dir, "embeddings")
+    s = rowexpr.class_scores(F.col("embedding"), given_weights())
+    return e.select("vec_id", "label", s.alias("scores"))
+
+
+@register("m8_class_scores", SCORES_SQL + f"SELECT vec_id, k, round(s, {R}) AS score FROM scores")
+def m8_class_scores(spark, sf_dir):
+    sc = _scored(spark, sf_dir)
+    return sc.select("vec_id", F.posexplode("scores").alias("k", "score")).select(
+        "vec_id", F.col("k").cast("bigint").alias("k"), rnd(F.col("score")).alias("score"))
+
+
+@register("m10_argmax", SCORES_SQL + "SELECT vec_id, CAST(pred AS INTEGER) AS pred FROM per_row")
+def m10_argmax(spark, sf_dir):
+    return _scored(spark, sf_dir).select("vec_id", rowexpr.argmax(F.col("scores")).alias("pred"))
+
+
+@register("m11_cross_entropy", SCORES_SQL + f"SELECT vec_id, round(ce, {R}) AS ce FROM per_row")
+def m11_cross_entropy(spark, sf_dir):
+    sc = _scored(spark, sf_dir)
+    return sc.select("vec_id", rnd(rowexpr.cross_entropy(F.col("scores"), F.col("label"))).alias("ce"))
+
+
+@register("a10_accuracy", SCORES_SQL + (
+    "SELECT CAST(count_if(pred = label) AS BIGINT) AS correct, CAST(count(*) AS BIGINT) AS total, "
+    "CAST(count_if(pred = label) AS DOUBLE) / count(*) AS accuracy FROM per_row"))
+def a10_accuracy(spark, sf_dir):
+    sc = _scored(spark, sf_dir).select("label", rowexpr.argmax(F.col("scores")).alias("pred"))
+    return metrics.accuracy(sc, "pred", "label")
+
+
+@register("a15_accumulator", SCORES_SQL + (
+    "SELECT label, CAST(count_if(pred = label) AS BIGINT) AS correct, CAST(count(*) AS BIGINT) AS n, "
+    f"round(sum(ce), 4) AS loss_sum FROM per_row GROUP BY label"))
+def a15_accumulator(spark, sf_dir):
+    sc = _scored(spark, sf_dir)
+    rows = sc.select("label", rowexpr.argmax(F.col("scores")).alias("pred"),
+                     rowexpr.cross_entropy(F.col("scores"), F.col("label")).alias("ce"))
+    acc = metrics.accumulate(rows, {"correct": (F.col("pred") == F.col("label")).cast("bigint"),
+                                    "n": F.lit(1).cast("bigint"), "loss_sum": F.col("ce")},
+                             by=["label"])
+    return acc.select("label", "correct", "n", F.round("loss_sum", 4).alias("loss_sum"))
+
+
+# mean predictor errors on the hold-out: prediction = train-part target mean
+HOLD = f"({sql_key_hash('id')}) % 100 < 80"
+ERR_SQL = (
+    f", kept AS (SELECT id, target, {HOLD} AS is_train FROM train WHERE target IS NOT NULL),\n"
+    "pred AS (SELECT k.*, (SELECT avg(target) FROM kept WHERE is_train) AS p FROM kept k)")
+
+
+def _errors_sql(by: str) -> str:
+    return with_house(
+        f"SELECT {by}, CAST(count(*) AS BIGINT) AS n, "
+        f"round(sqrt(avg((p - target) * (p - target))), 4) AS rmse, "
+        f"round(avg((p - target) * (p - target)) / 1e6, 4) AS mse_m, "
+        f"round(avg((p - target) * (p - target)) / 2 / 1e6, 4) AS half_mse_m, "
+        f"round(avg(abs(p - target)), 4) AS mae FROM pred GROUP BY {by}", ERR_SQL)
+
+
+def _mean_predictions(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    kept = profile.split_missing_target(train, "target")[0].select(
+        "id", "target", split.holdout_flag("id").alias("is_train"))
+    mu = kept.where("is_train").agg(F.avg("target")).first()[0]
+    return kept.withColumn("p", F.lit(mu))
+
+
+@register("a11_rmse_holdout", _errors_sql("is_train"))
+def a11_rmse_holdout(spark, sf_dir):
+    err = metrics.regression_errors(_mean_predictions(spark, sf_dir), "p", "target",
+                                    by=["is_train"])
+    return err.select("is_train", "n", F.round("rmse", 4).alias("rmse"),
+                      F.round(F.col("mse") / 1e6, 4).alias("mse_m"),
+                      F.round(F.col("half_mse") / 1e6, 4).alias("half_mse_m"),
+                      F.round("mae", 4).alias("mae"))
+
+
+S4_W, S4_B = [2.0, -3.4], 4.2
+S4_SQL = "WITH s4 AS (" + tables.synthetic_regression_sql("orders", "o_orderkey", S4_W, S4_B) + ")\n"
+
+
+def _s4(spark, sf_dir):
+    return tables.synthetic_regression(tables.load(spark, sf_dir, "orders"), "o_orderkey",
+                                       S4_W, S4_B)
+
+
+@register("a12_half_mse", S4_SQL + (
+    f"SELECT round(avg(power({S4_B} + {S4_W[0]} * x0 + {S4_W[1]} * x1 - y, 2)) / 2, 9) AS half_mse, "
+    f"round(avg(power({S4_B} + {S4_W[0]} * x0 + {S4_W[1]} * x1 - y, 2)), 9) AS mse FROM s4"))
+def a12_half_mse(spark, sf_dir):
+    s4 = _s4(spark, sf_dir)
+    p = rowexpr.linear_score([F.col("x0"), F.col("x1")], S4_W, S4_B)
+    e = metrics.regression_errors(s4.select(p.alias("p"), "y"), "p", "y")
+    return e.select(F.round("half_mse", 9).alias("half_mse"), F.round("mse", 9).alias("mse"))
+
+
+@register("s4_synthetic", S4_SQL + f"SELECT id, round(x0, {R}) AS x0, round(x1, {R}) AS x1, "
+          f"round(y, {R}) AS y FROM s4")
+def s4_synthetic(spark, sf_dir):
+    s4 = _s4(spark, sf_dir)
+    return s4.select("id", *[rnd(F.col(c)).alias(c) for c in ("x0", "x1", "y")])
+
+
+@register("m8_linear_score", S4_SQL + (
+    f"SELECT id, round({S4_B} + {S4_W[0]} * x0 + {S4_W[1]} * x1, {R}) AS pred FROM s4"))
+def m8_linear_score(spark, sf_dir):
+    s4 = _s4(spark, sf_dir)
+    return s4.select("id", rnd(rowexpr.linear_score([F.col("x0"), F.col("x1")], S4_W, S4_B))
+                     .alias("pred"))
+
+
+# a given 2-3-1 ReLU network (Linear, ReLU, Linear)
+TINY_NET = [([[0.5, -1.0], [1.5, 0.25], [-0.75, 0.8]], [0.1, -0.2, 0.3]),
+            ([[1.0, -2.0, 0.5]], [0.05])]
+
+
+def _tiny_net_sql() -> str:
+    (w1, b1), (w2, b2) = TINY_NET
+    hs = [f"greatest({b1[i]!r} + ({w1[i][0]!r}) * x0 + ({w1[i][1]!r}) * x1, 0.0)" for i in range(3)]
+    out = f"{b2[0]!r} + " + " + ".join(f"({w2[0][i]!r}) * {hs[i]}" for i in range(3))
+    return out
+
+
+@register("m9_dense_score", S4_SQL + f"SELECT id, round({_tiny_net_sql()}, {R}) AS out FROM s4")
+def m9_dense_score(spark, sf_dir):
+    s4 = _s4(spark, sf_dir)
+    x = F.array(F.col("x0"), F.col("x1"))
+    out = F.element_at(rowexpr.dense_layers(x, TINY_NET), 1)
+    return s4.select("id", rnd(out).alias("out"))
+
+
+@register("m12_relu_loss", S4_SQL + (
+    f"SELECT id, round(greatest(x0, 0.0), {R}) AS relu_x0, "
+    f"round(power({S4_B} + {S4_W[0]} * x0 + {S4_W[1]} * x1 - y, 2) / 2, 12) AS loss FROM s4"))
+def m12_relu_loss(spark, sf_dir):
+    s4 = _s4(spark, sf_dir)
+    p = rowexpr.linear_score([F.col("x0"), F.col("x1")], S4_W, S4_B)
+    return s4.select("id", rnd(rowexpr.relu(F.col("x0"))).alias("relu_x0"),
+                     F.round(rowexpr.squared_loss(p, F.col("y")), 12).alias("loss"))

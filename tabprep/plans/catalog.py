@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions import rowexpr
+from tabprep.functions.hashing import sql_key_hash
 from tabprep.operators import align, encode, impute, metrics, profile, split, stats
-from tabprep.sources import tables
+from tabprep.plans import house, models, sgd
+from tabprep.session import scratch_path
+from tabprep.sources import io, tables
 from tabprep.sources.tables import HOUSE_LIKE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -571,7 +574,6 @@ def u3_stats_table(spark, sf_dir):
 
 # ------------------------------------------------------ D1-D4 splits
 
-from tabprep.functions.hashing import sql_key_hash  # noqa: E402
 
 
 @register("d1_holdout", with_house(
@@ -777,3 +779,260 @@ def m12_relu_loss(spark, sf_dir):
     p = rowexpr.linear_score([F.col("x0"), F.col("x1")], S4_W, S4_B)
     return s4.select("id", rnd(rowexpr.relu(F.col("x0"))).alias("relu_x0"),
                      F.round(rowexpr.squared_loss(p, F.col("y")), 12).alias("loss"))
+
+
+# ------------------------------------------------------------ M1, M2 linear
+
+
+
+@register("m1_linear_fit", S4_SQL + f""", m AS (
+  SELECT covar_pop(x0, x0) AS c00, covar_pop(x1, x1) AS c11, covar_pop(x0, x1) AS c01,
+         covar_pop(x0, y) AS c0y, covar_pop(x1, y) AS c1y,
+         avg(x0) AS m0, avg(x1) AS m1, avg(y) AS my FROM s4),
+w AS (SELECT (c11 * c0y - c01 * c1y) / (c00 * c11 - c01 * c01) AS w0,
+             (c00 * c1y - c01 * c0y) / (c00 * c11 - c01 * c01) AS w1, m0, m1, my FROM m)
+SELECT round(w0, {R}) AS w0, round(w1, {R}) AS w1, round(my - w0 * m0 - w1 * m1, {R}) AS b FROM w""")
+def m1_linear_fit(spark, sf_dir):
+    data = models.vectorize(_s4(spark, sf_dir), ["x0", "x1"], keep=("y",))
+    m = models.linear_regression(label="y").fit(data)
+    w = m.coefficients.toArray().tolist()
+    return spark.createDataFrame([(_r(w[0]), _r(w[1]), _r(m.intercept))],
+                                 "w0 double, w1 double, b double")
+
+
+M2_LR, M2_EPOCHS = 0.03, 3
+
+
+def _m2_sql() -> str:
+    steps = ["e0 AS (SELECT CAST(0.0 AS DOUBLE) AS w0, CAST(0.0 AS DOUBLE) AS w1, "
+             "CAST(0.0 AS DOUBLE) AS b)"]
+    for t in range(1, M2_EPOCHS + 1):
+        p = f"e{t - 1}"
+        r = (f"((SELECT b FROM {p}) + (SELECT w0 FROM {p}) * x0 + (SELECT w1 FROM {p}) * x1 - y)")
+        steps.append(
+            f"e{t} AS (SELECT (SELECT w0 FROM {p}) - {M2_LR} * avg({r} * x0) AS w0, "
+            f"(SELECT w1 FROM {p}) - {M2_LR} * avg({r} * x1) AS w1, "
+            f"(SELECT b FROM {p}) - {M2_LR} * avg({r}) AS b FROM s4)")
+    rows = []
+    for t in range(1, M2_EPOCHS + 1):
+        r = (f"((SELECT b FROM e{t}) + (SELECT w0 FROM e{t}) * x0 + (SELECT w1 FROM e{t}) * x1 - y)")
+        rows.append(f"SELECT {t} AS epoch, round((SELECT w0 FROM e{t}), {R}) AS w0, "
+                    f"round((SELECT w1 FROM e{t}), {R}) AS w1, round((SELECT b FROM e{t}), {R}) AS b, "
+                    f"round(avg({r} * {r}) / 2, {R}) AS loss FROM s4")
+    return S4_SQL.rstrip("\n") + ",\n" + ",\n".join(steps) + "\n" + union_sql(rows)
+
+
+@register("m2_gd_linear", _m2_sql())
+def m2_gd_linear(spark, sf_dir):
+    out = sgd.linear_gd(_s4(spark, sf_dir), ["x0", "x1"], "y", lr=M2_LR, epochs=M2_EPOCHS)
+    return spark.createDataFrame(
+        [(o["epoch"], _r(o["w"][0]), _r(o["w"][1]), _r(o["b"]), _r(o["loss"])) for o in out],
+        "epoch int, w0 double, w1 double, b double, loss double")
+
+
+# ------------------------------------------ M3, M4 classifiers (embeddings)
+
+def _embedding_parts(spark, sf_dir):
+    e = tables.load(spark, sf_dir, "embeddings")
+    data = models.vectorize(e, "embedding", keep=("vec_id", "label"))
+    return split.holdout(data, "vec_id", 80)
+
+
+@register("m3_softmax_fit")
+def m3_softmax_fit(spark, sf_dir):
+    fit_part, test_part = _embedding_parts(spark, sf_dir)
+    est = models.softmax_regression(label="label", max_iter=50)
+    return models.fit_score(est, fit_part, test_part, keep=("vec_id", "label"))
+
+
+@register("m4_perceptron_fit")
+def m4_perceptron_fit(spark, sf_dir):
+    fit_part, test_part = _embedding_parts(spark, sf_dir)
+    dim = len(fit_part.select("features").first()[0])
+    est = models.perceptron([dim, 32, N_CLASSES], label="label", max_iter=50)
+    return models.fit_score(est, fit_part, test_part, keep=("vec_id", "label"))
+
+
+# ------------------------------------------- house design for the learners
+
+def _design(spark, sf_dir, keep_target_separate=True):
+    train, test = house_parts(spark, sf_dir)
+    return house.prepare(train, test, "id", "target", alpha=0.5,
+                         keep_target_separate=keep_target_separate)
+
+
+def _design_vectors(spark, sf_dir):
+    d = _design(spark, sf_dir)
+    tr = models.vectorize(d.train, d.features, keep=("id", "target"))
+    te = models.vectorize(d.test, d.features, keep=("id",))
+    return tr, te
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train-fitted preparation of the house-like test table: drop rows
+    without target, prune sparse columns, fill, scale and one-hot."""
+    return _design(spark, sf_dir).test
+
+
+# small settings for the registered queries; the reference's sizes stay
+# the function defaults (600 trees, 500 rounds, 128 epochs, full grids)
+DEEP = dict(hidden=(32, 16), lr=0.05, epochs=4, batch_size=64, step=80, gamma=0.7,
+            partitions=8)
+
+
+@register("m5_dense_regressor")
+def m5_dense_regressor(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    preds, _ = house.deep_flow(spark, train, test, "id", "target", alpha=0.5, **DEEP)
+    return preds
+
+
+@register("m17_train_valid_curve")
+def m17_train_valid_curve(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    _, curve = house.deep_flow(spark, train, test, "id", "target", alpha=0.5, **DEEP)
+    return curve
+
+
+@register("m6_forest_fit")
+def m6_forest_fit(spark, sf_dir):
+    tr, te = _design_vectors(spark, sf_dir)
+    est = models.random_forest(label="target", num_trees=20, max_depth=8)
+    return models.fit_score(est, tr, te, keep=("id",))
+
+
+@register("m7_boosting_fit")
+def m7_boosting_fit(spark, sf_dir):
+    tr, te = _design_vectors(spark, sf_dir)
+    est = models.boosted_trees(label="target", max_iter=10, max_depth=3)
+    return models.fit_score(est, tr, te, keep=("id",))
+
+
+@register("m16_refit_score")
+def m16_refit_score(spark, sf_dir):
+    tr, te = _design_vectors(spark, sf_dir)
+    return models.fit_score(models.linear_regression(label="target"), tr, te, keep=("id",))
+
+
+# ------------------------------------------------- M13-M15 folds and grids
+
+FOLD_SQL = (f", kept AS (SELECT id, target, CAST(({sql_key_hash('id', 1)}) % 5 AS INTEGER) AS fold "
+            "FROM train WHERE target IS NOT NULL),\n"
+            "per AS (SELECT fold, sum(target) AS s, count(*) AS n FROM kept GROUP BY fold),\n"
+            "pred AS (SELECT k.fold, k.target, ((SELECT sum(target) FROM kept) - p.s) / "
+            "((SELECT count(*) FROM kept) - p.n) AS p FROM kept k JOIN per p ON k.fold = p.fold)")
+
+
+@register("m13_cv_mean_predictor", with_house(
+    "SELECT fold, CAST(count(*) AS BIGINT) AS n, round(-sqrt(avg((p - target) * (p - target))), 4) "
+    "AS neg_rmse, round(-avg(abs(p - target)), 4) AS neg_mae FROM pred GROUP BY fold", FOLD_SQL))
+def m13_cv_mean_predictor(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    kept = split.with_folds(profile.split_missing_target(train, "target")[0]
+                            .select("id", "target"), "id", 5)
+    s = models.cv_scores(models.MeanRegressor(labelCol="target"), kept, "target", 5)
+    return s.select("fold", "n", F.round("neg_rmse", 4).alias("neg_rmse"),
+                    F.round("neg_mae", 4).alias("neg_mae"))
+
+
+@register("m13_cv_boosting")
+def m13_cv_boosting(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    est = models.boosted_trees(label="target", max_iter=5, max_depth=3)
+    scores, _ = house.tree_flow(spark, train, test, "id", "target", estimator=est, k=5)
+    return scores
+
+
+@register("a14_fold_summary")
+def a14_fold_summary(spark, sf_dir):
+    s = m13_cv_boosting(spark, sf_dir)
+    return metrics.score_summary(s, ["neg_rmse", "neg_mae"])
+
+
+@register("m14_grid_forest")
+def m14_grid_forest(spark, sf_dir):
+    tr, _ = _design_vectors(spark, sf_dir)
+    data = split.with_folds(tr, "id", 3)
+    est = models.random_forest(label="target", num_trees=4, max_depth=4)
+    _, table = models.grid_search(spark, est, data, {"numTrees": [4, 8], "maxDepth": [3, 5]},
+                                  "target", 3)
+    return table
+
+
+@register("m15_grid_boosting")
+def m15_grid_boosting(spark, sf_dir):
+    tr, _ = _design_vectors(spark, sf_dir)
+    data = split.with_folds(tr, "id", 3)
+    est = models.boosted_trees(label="target", max_iter=3, max_depth=2)
+    _, table = models.grid_search(spark, est, data, {"maxIter": [3, 6], "stepSize": [0.05, 0.1]},
+                                  "target", 3)
+    return table
+
+
+# -------------------------------------------------- S1-S8 sources and sinks
+
+
+CSV_HOUSE_SQL = with_house(
+    "SELECT CAST(id AS BIGINT) AS id, acctbal, CAST(nation AS BIGINT) AS nation, segment, "
+    "CASE WHEN priority = '' THEN NULL ELSE priority END AS priority, status, rare, const, "
+    "target, origin FROM house")
+
+
+def _house_csv(spark, sf_dir) -> str:
+    path = scratch_path(spark, "house-csv")
+    tables.house_like(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+@register("s1_csv_scan", CSV_HOUSE_SQL)
+def s1_csv_scan(spark, sf_dir):
+    return io.read_csv(spark, _house_csv(spark, sf_dir), key="id")
+
+
+@register("s2_csv_no_key", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+          "o_orderpriority FROM orders")
+def s2_csv_no_key(spark, sf_dir):
+    path = scratch_path(spark, "orders-csv")
+    (tables.load(spark, sf_dir, "orders")
+     .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+     .write.mode("overwrite").option("header", True).csv(path))
+    return io.read_csv(spark, path)
+
+
+@register("s3_drop_at_load", with_house(
+    "SELECT CAST(id AS BIGINT) AS id, acctbal, CAST(nation AS BIGINT) AS nation, segment, "
+    "CASE WHEN priority = '' THEN NULL ELSE priority END AS priority, status, rare, const, "
+    "origin FROM house"))
+def s3_drop_at_load(spark, sf_dir):
+    return io.read_csv(spark, _house_csv(spark, sf_dir), key="id", drop=("target",))
+
+
+@register("s5_images", tables.IMAGES_SQL)
+def s5_images(spark, sf_dir):
+    return tables.images(spark, sf_dir)
+
+
+@register("s6_prediction_export", with_house(
+    "SELECT id, round((SELECT avg(target) FROM train WHERE target IS NOT NULL), 4) "
+    "AS SalePrice FROM test"))
+def s6_prediction_export(spark, sf_dir):
+    train, test = house_parts(spark, sf_dir)
+    est = models.MeanRegressor(labelCol="target")
+    kept = profile.split_missing_target(train, "target")[0]
+    pred = models.fit_score(est, kept, test, keep=("id",))
+    path = scratch_path(spark, "predictions")
+    io.write_predictions(pred.select("id", F.round("prediction", 4).alias("prediction")),
+                         "id", "prediction", path)
+    return io.read_csv(spark, path, key="id")
+
+
+@register("s7_table_export", ORACLE["f11_train_encoded"])
+def s7_table_export(spark, sf_dir):
+    path = scratch_path(spark, "encoded")
+    io.write_table(f11_train_encoded(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("s8_preview", with_house("SELECT * FROM house ORDER BY id LIMIT 5"))
+def s8_preview(spark, sf_dir):
+    return io.preview(tables.house_like(spark, sf_dir), "id", 5)

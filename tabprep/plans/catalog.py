@@ -358,7 +358,7 @@ def _cat_sql() -> str:
     for c, vals in _train_categories().items():
         filled = f"coalesce(nullif({c}, ''), 'missing_value')"
         for v in vals:
-            out.append(f"CASE WHEN {filled} = {lit(v)} THEN 1.0 ELSE 0.0 END AS {q(f'cat__{c}_{v}')}")
+            out.append(f"CASE WHEN {filled} = {lit(v)} THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS {q(f'cat__{c}_{v}')}")
     return ", ".join(out)
 
 

@@ -31,6 +31,18 @@ def norm(v):
     return v
 
 
+DUCK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+        "BOOLEAN": "boolean", "SMALLINT": "smallint", "TINYINT": "tinyint", "FLOAT": "float",
+        "DATE": "date", "HUGEINT": "hugeint"}
+
+
+def _duck_type(t) -> str:
+    s = str(t)
+    if s.endswith("[]"):
+        return f"array<{_duck_type(s[:-2])}>"
+    return DUCK.get(s, s.lower())
+
+
 def key(row):
     return tuple((x is None, str(type(x)), str(x)) for x in row)
 
@@ -76,6 +88,11 @@ def main():
         order = [dcols.index(c) for c in cols]
         drows = [tuple(r[i] for i in order) for r in drows]
         ok = len(srows) == len(drows) and sorted(srows, key=key) == sorted(drows, key=key)
+        st = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+        dtypes = {c: _duck_type(t) for c, t in zip(dcols, rel.types)}
+        diff_t = [f"{c}: {st[c]} vs {dtypes[c]}" for c in cols if st[c] != dtypes[c]]
+        if diff_t:
+            print(f"TYPE {name}: " + "; ".join(diff_t))
         if not ok:
             bad += 1
             sa, da = sorted(srows, key=key), sorted(drows, key=key)

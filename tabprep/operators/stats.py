@@ -119,7 +119,7 @@ def _long_doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def exact_medians(df: DataFrame, cols: Sequence[str],
                   mom: dict[str, dict] | None = None,
-                  threshold: int = 1_000_000, buckets: int = 1024,
+                  threshold: int = 65_536, buckets: int = 1024,
                   max_rounds: int = 64) -> dict[str, float | None]:
     """Exact median of each column (NaN/NULL skipped), pandas convention."""
     cols = list(cols)

@@ -927,10 +927,7 @@ FOLD_SQL = (f", kept AS (SELECT id, target, CAST(({sql_key_hash('id', 1)}) % 5 A
     "SELECT fold, CAST(count(*) AS BIGINT) AS n, round(-sqrt(avg((p - target) * (p - target))), 4) "
     "AS neg_rmse, round(-avg(abs(p - target)), 4) AS neg_mae FROM pred GROUP BY fold", FOLD_SQL))
 def m13_cv_mean_predictor(spark, sf_dir):
-    train, _ = house_parts(spark, sf_dir)
-    kept = split.with_folds(profile.split_missing_target(train, "target")[0]
-                            .select("id", "target"), "id", 5)
-    s = models.cv_scores(models.MeanRegressor(labelCol="target"), kept, "target", 5)
+    s = _mean_predictor_folds(spark, sf_dir)
     return s.select("fold", "n", F.round("neg_rmse", 4).alias("neg_rmse"),
                     F.round("neg_mae", 4).alias("neg_mae"))
 
@@ -943,10 +940,38 @@ def m13_cv_boosting(spark, sf_dir):
     return scores
 
 
-@register("a14_fold_summary")
+def _mean_predictor_folds(spark, sf_dir):
+    train, _ = house_parts(spark, sf_dir)
+    kept = split.with_folds(profile.split_missing_target(train, "target")[0]
+                            .select("id", "target"), "id", 5)
+    return models.cv_scores(models.MeanRegressor(labelCol="target"), kept, "target", 5)
+
+
+@register("a14_fold_summary", with_house(
+    "SELECT round(avg(neg_rmse), 4) AS neg_rmse_mean, round(stddev_pop(neg_rmse), 4) AS neg_rmse_std, "
+    "round(avg(neg_mae), 4) AS neg_mae_mean, round(stddev_pop(neg_mae), 4) AS neg_mae_std FROM ("
+    "SELECT fold, -sqrt(avg((p - target) * (p - target))) AS neg_rmse, -avg(abs(p - target)) AS neg_mae "
+    "FROM pred GROUP BY fold)", FOLD_SQL))
 def a14_fold_summary(spark, sf_dir):
-    s = m13_cv_boosting(spark, sf_dir)
-    return metrics.score_summary(s, ["neg_rmse", "neg_mae"])
+    s = metrics.score_summary(_mean_predictor_folds(spark, sf_dir), ["neg_rmse", "neg_mae"])
+    return s.select(*[F.round(c, 4).alias(c) for c in s.columns])
+
+
+# A13 on a given (slightly wrong) linear scorer of the synthetic table, by fold
+A13_W, A13_B = [1.9, -3.3], 4.0
+
+
+@register("a13_neg_scorers", S4_SQL + (
+    f"SELECT CAST(({sql_key_hash('id', 1)}) % 5 AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n, "
+    f"round(-avg(abs({A13_B} + {A13_W[0]} * x0 + {A13_W[1]} * x1 - y)), {R}) AS neg_mae, "
+    f"round(-sqrt(avg(power({A13_B} + {A13_W[0]} * x0 + {A13_W[1]} * x1 - y, 2))), {R}) AS neg_rmse "
+    "FROM s4 GROUP BY 1"))
+def a13_neg_scorers(spark, sf_dir):
+    s4 = split.with_folds(_s4(spark, sf_dir), "id", 5)
+    p = rowexpr.linear_score([F.col("x0"), F.col("x1")], A13_W, A13_B)
+    e = metrics.regression_errors(s4.select("fold", p.alias("p"), "y"), "p", "y", by=["fold"])
+    return e.select("fold", "n", rnd(F.col("neg_mae")).alias("neg_mae"),
+                    rnd(F.col("neg_rmse")).alias("neg_rmse"))
 
 
 @register("m14_grid_forest")

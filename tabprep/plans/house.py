@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +45,19 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
             numeric_method: str = "standardize",
             keep_target_separate: bool = True) -> Design:
     kept, _ = profile.split_missing_target(train, target)
-    dropped, tr, te = profile.prune_sparse_columns(kept, test, alpha, target=target, key=key)
-    imp = impute.Imputer(numeric=numeric_fill, exclude=(key, target)).fit(tr)
+    # fitting reads the train table about eight times (profile, moments,
+    # median rounds, modes, moments and categories after filling): keep it
+    # for the fitting phase only; the returned tables recompute from source
+    cached = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dropped, tr, te = profile.prune_sparse_columns(cached, test, alpha, target=target,
+                                                       key=key)
+        imp = impute.Imputer(numeric=numeric_fill, exclude=(key, target)).fit(tr)
+        enc = encode.TableEncoder(numeric_method, keep_target_separate, target=target,
+                                  key=key).fit(imp.transform(tr))
+    finally:
+        cached.unpersist()
     tr_f, te_f = imp.transform(tr), imp.transform(te)
-    enc = encode.TableEncoder(numeric_method, keep_target_separate, target=target,
-                              key=key).fit(tr_f)
     return Design(enc.transform(tr_f), enc.transform(te_f), enc.output_columns, enc,
                   imp, dropped, key, target)
 

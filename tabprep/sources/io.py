@@ -5,9 +5,9 @@ preview (S1-S3, S6-S8).
 ``nullValue`` token), turns any of the NA tokens into NULL in one projection,
 then types each column the way pandas would: integer if every present value
 parses as one, else floating if every present value parses as a number,
-else text.  Type inference is one aggregate over the file (a count of
-failed ``try_cast`` per column, partial per task); with ``schema`` given it
-is skipped.  Both steps are projections, so filters and column pruning
+else text.  Type inference is one aggregate over the file (per column, a
+count of values that do not match the integer / number pattern, partial per
+task); with ``types`` given for a column it is skipped there.  Both steps are projections, so filters and column pruning
 still reach the scan.
 """
 
@@ -25,22 +25,36 @@ def _na_to_null(c, tokens: Sequence[str]):
     return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
 
 
+# The text forms a number may take (pandas' parser also takes
+# surrounding blanks and inf/infinity in any case).
+INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+FLOAT_PATTERN = (r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+                 r"|(?i:inf|infinity))\s*$")
+
+
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """pandas-like type of every text column: 'bigint', 'double' or 'string'."""
+    """pandas-like type of every text column: 'bigint', 'double' or 'string'.
+    One aggregate: per column, the count of present values that do not look
+    like an integer / a number (regular expressions, JVM side; a failed
+    ``try_cast`` costs an exception per value, so casts run only on columns
+    known to parse)."""
     cols = list(columns) if columns is not None else df.columns
     aggs = []
     for i, c in enumerate(cols):
         x = qcol(c)
-        aggs += [F.count_if(x.isNotNull() & F.expr(f"try_cast(`{c}` AS BIGINT)").isNull()
-                            ).alias(f"i{i}"),
-                 F.count_if(x.isNotNull() & F.expr(f"try_cast(`{c}` AS DOUBLE)").isNull()
-                            ).alias(f"d{i}")]
+        aggs += [F.count_if(x.isNotNull() & ~x.rlike(INT_PATTERN)).alias(f"i{i}"),
+                 F.count_if(x.isNotNull() & ~x.rlike(FLOAT_PATTERN)).alias(f"d{i}")]
     if not aggs:
         return {}
     row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
-        out[c] = "bigint" if row[f"i{i}"] == 0 else ("double" if row[f"d{i}"] == 0 else "string")
+        if row[f"i{i}"] == 0:
+            out[c] = "bigint"
+        elif row[f"d{i}"] == 0:
+            out[c] = "double"
+        else:
+            out[c] = "string"
     return out
 
 

@@ -121,7 +121,7 @@ class TableEncoder:
     key: str | None = None
     kinds: dict[str, str] | None = None
     passthrough: Sequence[str] = ()
-    max_categories: int | None = None
+    max_categories: int | None = 100_000
 
     def __post_init__(self):
         if self.numeric_method not in NUMERIC_METHODS:
@@ -236,7 +236,8 @@ class FittedDummies:
 
 def fit_dummies(df: DataFrame, columns: Sequence[str] | None = None, prefix=None,
                 prefix_sep: str = "_", dummy_na: bool = False, drop_first: bool = False,
-                dtype: str = "bool", sparse: bool = False) -> FittedDummies:
+                dtype: str = "bool", sparse: bool = False,
+                max_categories: int | None = 100_000) -> FittedDummies:
     """get_dummies over one table; ``columns`` defaults to every
     string column (booleans are left alone)."""
     if dtype not in _DTYPES:
@@ -244,7 +245,7 @@ def fit_dummies(df: DataFrame, columns: Sequence[str] | None = None, prefix=None
     if columns is None:
         columns = [c for c in df.columns if isinstance(df.schema[c].dataType, T.StringType)]
     columns = list(columns)
-    vals = stats.categories(df, columns)
+    vals = stats.categories(df, columns, max_categories)
     return FittedDummies(columns, vals, _prefixes(columns, prefix), prefix_sep,
                          dummy_na, drop_first, dtype, sparse)
 

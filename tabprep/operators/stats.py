@@ -94,17 +94,22 @@ def categories(df: DataFrame, cols: Sequence[str],
     cols = list(cols)
     if not cols:
         return {}
-    d = _long_strings(df, cols).distinct()
-    if max_categories is not None:
-        wide = (d.groupBy("c").count().where(F.col("count") > max_categories)
-                .collect())
-        if wide:
-            names = [cols[r["c"]] for r in wide]
-            raise ValueError(f"more than {max_categories} categories in {names}; "
-                             "use sparse output")
-    out: dict[str, list[str]] = {n: [] for n in cols}
-    for r in d.toLocalIterator():
-        out[cols[r["c"]]].append(r["v"])
+    # the distinct (column, value) table is small next to the data and is
+    # read twice (the size check, the listing): keep it for both
+    d = _long_strings(df, cols).distinct().persist()
+    try:
+        if max_categories is not None:
+            wide = (d.groupBy("c").count().where(F.col("count") > max_categories)
+                    .collect())
+            if wide:
+                names = [cols[r["c"]] for r in wide]
+                raise ValueError(f"more than {max_categories} categories in {names}; "
+                                 "raise max_categories (sparse output keeps the width cheap)")
+        out: dict[str, list[str]] = {n: [] for n in cols}
+        for r in d.toLocalIterator():
+            out[cols[r["c"]]].append(r["v"])
+    finally:
+        d.unpersist()
     return {n: sorted(v) for n, v in out.items()}
 
 

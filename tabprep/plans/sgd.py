@@ -11,10 +11,11 @@ one per epoch).  ``method="pass"`` runs one aggregate per epoch instead.
 M5, dense ReLU networks, two modes:
 
 * ``local`` (default): one Spark job per epoch.  The table is hash
-  partitioned by key into a fixed number of parts and persisted; each epoch
+  partitioned into a fixed number of parts and persisted; each epoch
   sorts every part by the epoch's key hash (D3, no shuffle) and a
   ``mapInPandas`` task runs mini-batch SGD over its rows, streaming Arrow
-  batches, from the broadcast weights.  Tasks emit their weights times
+  batches, from the broadcast weights (the partitioning is a hash of the
+  whole row, so a hot key does not skew it).  Tasks emit their weights times
   their row count in fixed-size chunks; a grouped sum per chunk averages
   them (model averaging), so the driver receives one model, never one per
   task.  The result depends on the number of parts, which is a parameter.
@@ -309,7 +310,11 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
     data = train.select(*cols, F.lit(True).alias("__fit"))
     if valid is not None:
         data = data.unionByName(valid.select(*cols, F.lit(False).alias("__fit")))
-    data = data.repartition(parts, qcol(key)).persist(StorageLevel.MEMORY_AND_DISK)
+    # parts by a hash of the whole row, not the key alone: a key that holds a
+    # third of the rows still spreads evenly, and the split stays a function
+    # of the content (same parts on any input partitioning, after recompute)
+    spread = F.pmod(F.xxhash64(qcol(key), F.col("__x"), F.col("__y")), F.lit(parts))
+    data = data.repartition(parts, spread).persist(StorageLevel.MEMORY_AND_DISK)
     first = data.select("__x").first()
     if first is None:
         raise ValueError("empty training table")

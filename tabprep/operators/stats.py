@@ -106,7 +106,9 @@ def categories(df: DataFrame, cols: Sequence[str],
                 raise ValueError(f"more than {max_categories} categories in {names}; "
                                  "raise max_categories (sparse output keeps the width cheap)")
         out: dict[str, list[str]] = {n: [] for n in cols}
-        for r in d.toLocalIterator():
+        # bounded by the check above; one job (an iterator would run one
+        # job per partition)
+        for r in d.collect():
             out[cols[r["c"]]].append(r["v"])
     finally:
         d.unpersist()

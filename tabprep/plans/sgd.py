@@ -31,12 +31,13 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,10 @@ from tabprep.operators.split import epoch_order
 
 CHUNK = 8192  # floats per weight chunk sent between tasks
 
+# The task functions below ship with their code (numpy and pandas only), so
+# executors need no copy of this package on their Python path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # ------------------------------------------------------------ M2 (linear)
 

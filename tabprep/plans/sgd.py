@@ -16,9 +16,9 @@ M5, dense ReLU networks, two modes:
   ``mapInPandas`` task runs mini-batch SGD over its rows, streaming Arrow
   batches, from the broadcast weights (the partitioning is a hash of the
   whole row, so a hot key does not skew it).  Tasks emit their weights times
-  their row count in fixed-size chunks; a grouped sum per chunk averages
-  them (model averaging), so the driver receives one model, never one per
-  task.  The result depends on the number of parts, which is a parameter.
+  their row count in fixed-size chunks; grouped sums per chunk (two rounds
+  for many tasks, so no group holds a row from every task) average them
+  (model averaging), and the driver receives one model, never one per task.  The result depends on the number of parts, which is a parameter.
 * ``exact``: full-batch gradient descent, one job per step, each task
   summing its rows' gradients; independent of the partitioning.
 
@@ -209,29 +209,40 @@ def _sse(net: DenseNet, X: np.ndarray, y: np.ndarray) -> float:
     return float(np.sum(r * r))
 
 
-def _chunks(vec: np.ndarray, n: float) -> Iterator[tuple[int, float, list]]:
+def _chunks(vec: np.ndarray, n: float, slot: int) -> Iterator[tuple[int, int, float, list]]:
     for c in range(0, max(1, math.ceil(len(vec) / CHUNK))):
-        yield c, n, vec[c * CHUNK:(c + 1) * CHUNK].tolist()
+        yield c, slot, n, vec[c * CHUNK:(c + 1) * CHUNK].tolist()
 
 
-OUT_SCHEMA = "chunk int, n double, vals array<double>"
+OUT_SCHEMA = "chunk int, slot int, n double, vals array<double>"
 
 
 def _sum_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
     vals = np.sum(np.stack(pdf["vals"].to_numpy()), axis=0)
-    return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "n": [float(pdf["n"].sum())],
-                         "vals": [vals.tolist()]})
-
-
-def _combine(emitted: DataFrame) -> dict[int, tuple[float, np.ndarray]]:
-    """Grouped sum of the per-task chunks; one row per chunk reaches the
-    driver (the model size, independent of the number of tasks)."""
-    rows = emitted.groupBy("chunk").applyInPandas(_sum_chunks, OUT_SCHEMA).collect()
-    return {r["chunk"]: (r["n"], np.array(r["vals"])) for r in rows}
+    return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "slot": [0],
+                         "n": [float(pdf["n"].sum())], "vals": [vals.tolist()]})
+
+
+def _combine(emitted: DataFrame, tasks: int) -> dict[int, tuple[float, np.ndarray]]:
+    """Sum of the per-task chunks in two grouped rounds: tasks are spread
+    over about sqrt(tasks) slots, partial sums per (chunk, slot), then one
+    sum per chunk.  No group holds more than about sqrt(tasks) rows, and one
+    row per chunk reaches the driver (the model size, independent of the
+    number of tasks).  Up to 64 tasks the first round suffices and the
+    driver adds the at most 8 partial rows per chunk."""
+    partial = emitted.groupBy("chunk", "slot").applyInPandas(_sum_chunks, OUT_SCHEMA)
+    if tasks > 64:
+        partial = partial.groupBy("chunk").applyInPandas(_sum_chunks, OUT_SCHEMA)
+    rows = partial.collect()
+    out: dict[int, tuple[float, np.ndarray]] = {}
+    for r in rows:
+        n, v = out.get(r["chunk"], (0.0, 0.0))
+        out[r["chunk"]] = (n + r["n"], v + np.array(r["vals"]))
+    return out
 
 
 def _epoch_task(params_bc, dims, loss: str, lr: float, batch_size: int, train: bool,
-                exact: bool, nominal: bool, fcol: str, ycol: str):
+                exact: bool, nominal: bool, fcol: str, ycol: str, slots: int):
     """Builds the ``mapInPandas`` function of one epoch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,11 +290,13 @@ def _epoch_task(params_bc, dims, loss: str, lr: float, batch_size: int, train: b
             carry_x, carry_y = [Xc[full:]], [yc[full:]]
         if train and not exact and carry_y and len(carry_y[0]):
             step(carry_x[0], carry_y[0])           # last, short batch
-        rows = [(-1, 0.0, [float(n_fit), sse_fit, float(n_val), sse_val])]
+        from pyspark import TaskContext
+        slot = TaskContext.get().partitionId() % slots
+        rows = [(-1, slot, 0.0, [float(n_fit), sse_fit, float(n_val), sse_val])]
         if train and n_fit:
             vec = acc if exact else net.pack() * n_fit
-            rows += list(_chunks(vec, float(n_fit)))
-        yield pd.DataFrame(rows, columns=["chunk", "n", "vals"])
+            rows += list(_chunks(vec, float(n_fit), slot))
+        yield pd.DataFrame(rows, columns=["chunk", "slot", "n", "vals"])
 
     return run
 
@@ -325,6 +338,7 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
         raise ValueError("empty training table")
     dims = [len(first[0]), *hidden, out_dim]
     net = init_net(dims, init_std, seed)
+    slots = max(1, math.isqrt(parts))
     curve: list[dict] = []
     try:
         for e in range(epochs + 1):
@@ -332,10 +346,10 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
             lr_e = lr * gamma ** (e // step) if step else lr
             bc = sc.broadcast(net.pack())
             fn = _epoch_task(bc, dims, loss, lr_e, batch_size, train_now, mode == "exact",
-                             nominal_batch, "__x", "__y")
+                             nominal_batch, "__x", "__y", slots)
             part = data.sortWithinPartitions(epoch_order(key, e), qcol(key)) \
                 if (train_now and mode == "local") else data
-            got = _combine(part.mapInPandas(fn, OUT_SCHEMA))
+            got = _combine(part.mapInPandas(fn, OUT_SCHEMA), parts)
             bc.unpersist()
             m = got.pop(-1)[1]
             n_fit, sse_fit, n_val, sse_val = m

@@ -127,7 +127,10 @@ class TableEncoder:
         if self.numeric_method not in NUMERIC_METHODS:
             raise ValueError("numeric_method must be 'standardize', 'normalize' or 'none'")
 
-    def fit(self, train: DataFrame) -> FittedEncoder:
+    def fit(self, train: DataFrame, categories: dict[str, list[str]] | None = None
+            ) -> FittedEncoder:
+        """``categories``: the sorted category lists of the table after the
+        constant fill, when a plan already knows them (saves a pass)."""
         target = self.target or train.columns[-1]
         feats = [c for c in train.columns
                  if c not in (target, self.key) and c not in self.passthrough]
@@ -141,9 +144,12 @@ class TableEncoder:
         for n in num:
             shift[n], scale[n] = _scale_params(self.numeric_method, mom[n]) \
                 if mom else (0.0, 1.0)
-        filled = empty_to_missing(fill_constant(train.select(*[qcol(c) for c in cat]),
-                                                columns=cat), columns=cat)
-        cats = stats.categories(filled, cat, self.max_categories)
+        if categories is not None:
+            cats = {c: list(categories[c]) for c in cat}
+        else:
+            filled = empty_to_missing(fill_constant(train.select(*[qcol(c) for c in cat]),
+                                                    columns=cat), columns=cat)
+            cats = stats.categories(filled, cat, self.max_categories)
         sigma, mu = 1.0, 0.0
         if scale_target:
             mu, sigma = _scale_params(self.numeric_method, mom[target])

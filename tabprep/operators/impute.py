@@ -82,19 +82,22 @@ class Imputer:
         if self.category not in CATEGORY_METHODS:
             raise ValueError("category method must be 'mode'")
 
-    def fit(self, df: DataFrame) -> FittedImputer:
+    def fit(self, df: DataFrame, moments: dict[str, dict] | None = None,
+            modes: dict[str, str | None] | None = None) -> FittedImputer:
+        """``moments`` / ``modes`` already gathered from the same table (e.g.
+        by a plan that needs them for other steps too) save their passes."""
         cols = list(self.columns) if self.columns is not None else \
             [c for c in df.columns if c not in self.exclude]
         missing = [c for c in cols if c not in df.columns]
         if missing:
             raise ValueError(f"columns not in table: {missing}")
         num, cat = split_kinds(df, cols, self.kinds)
-        mom = stats.moments(df, num)
+        mom = {n: moments[n] for n in num} if moments is not None else stats.moments(df, num)
         if self.numeric == "mean":
             nv = {n: mom[n]["mean"] for n in num}
         else:
             nv = stats.exact_medians(df, num, mom)
-        cv = stats.modes(df, cat)
+        cv = {c: modes[c] for c in cat} if modes is not None else stats.modes(df, cat)
         return FittedImputer(nv, cv)
 
 

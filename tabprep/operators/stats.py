@@ -2,7 +2,9 @@
 
 * ``moments``: count, mean, population std, min, max of many numeric columns
   in one aggregate (partial aggregation per task, one tiny final row).
-* ``modes`` / ``categories``: a long ``(column, value)`` frame grouped by
+* ``summary``: the missing count of every column and the moments of the
+  numeric ones in the same single aggregate.
+* ``modes`` / ``categories`` / ``category_counts``: a long ``(column, value)`` frame grouped by
   ``(column, value)``; partial aggregation collapses a hot value inside each
   task before the shuffle, so a value holding a third of all rows costs one
   row per task.
@@ -25,26 +27,77 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.missing import nan_to_null, qcol
+from tabprep.functions.missing import is_missing, nan_to_null, qcol
 
 
-def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, float | None]]:
-    """{column: {count, mean, std, min, max}}; NaN and NULL are skipped;
-    ``std`` is the population standard deviation (ddof 0)."""
-    cols = list(cols)
-    if not cols:
-        return {}
+def _moment_aggs(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     aggs = []
     for i, n in enumerate(cols):
         v = nan_to_null(df, n).cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"a{i}"),
                  F.stddev_pop(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"),
                  F.max(v).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()
+    return aggs
+
+
+def _moments_of(row, cols: Sequence[str]) -> dict[str, dict[str, float | None]]:
     return {n: {"count": row[f"n{i}"], "mean": row[f"a{i}"], "std": row[f"s{i}"],
                 "min": row[f"lo{i}"], "max": row[f"hi{i}"]} for i, n in enumerate(cols)}
 
 
+def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, float | None]]:
+    """{column: {count, mean, std, min, max}}; NaN and NULL are skipped;
+    ``std`` is the population standard deviation (ddof 0)."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    return _moments_of(df.agg(*_moment_aggs(df, cols)).first(), cols)
+
+
+def summary(df: DataFrame, cols: Sequence[str], numeric: Sequence[str]
+            ) -> tuple[int, dict[str, int], dict[str, dict[str, float | None]]]:
+    """One aggregate: (row count, missing count of every column in ``cols``,
+    moments of the ``numeric`` ones), i.e. the missing profile and the
+    moments in a single pass."""
+    cols, numeric = list(cols), list(numeric)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs += [F.count_if(is_missing(df, n)).alias(f"m{i}") for i, n in enumerate(cols)]
+    row = df.agg(*aggs, *_moment_aggs(df, numeric)).first()
+    return (row["__rows"], {n: row[f"m{i}"] for i, n in enumerate(cols)},
+            _moments_of(row, numeric))
+
+
+def category_counts(df: DataFrame, cols: Sequence[str],
+                    max_categories: int | None = None) -> dict[str, dict[str, int]]:
+    """{column: {value: count}} of the non-missing values (as text), from one
+    grouped count with map-side combine.  Collected, so bounded: a column
+    with more than ``max_categories`` values raises."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    counts = value_counts(df, cols).persist()
+    try:
+        if max_categories is not None:
+            wide = counts.groupBy("c").count().where(F.col("count") > max_categories).collect()
+            if wide:
+                names = [cols[r["c"]] for r in wide]
+                raise ValueError(f"more than {max_categories} categories in {names}; "
+                                 "raise max_categories (sparse output keeps the width cheap)")
+        out: dict[str, dict[str, int]] = {n: {} for n in cols}
+        for r in counts.collect():
+            out[cols[r["c"]]][r["v"]] = r["n"]
+    finally:
+        counts.unpersist()
+    return out
+
+
+def mode_of(counts: dict[str, int]) -> str | None:
+    """Most frequent value, ties to the smallest (same rule as ``modes``)."""
+    if not counts:
+        return None
+    return min(counts.items(), key=lambda kv: (-kv[1], kv[0]))[0]
+
+
 def _long_strings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(c, v): one row per non-missing cell, value as string."""
     entries = F.array(*[

@@ -2,9 +2,10 @@
 
 ``prepare`` is the deep pipeline's preparation: drop rows without a target
 (P1), prune sparse columns (F1), fill from train statistics (F2), scale and
-one-hot encode fitted on train (F7-F12).  Fitting costs a handful of
-aggregates (missing profile, moments + exact medians + modes, moments +
-category lists); applying it is one ``select`` per table, with no shuffle.
+one-hot encode fitted on train (F7-F12).  Fitting shares its passes: one
+aggregate for the profile and moments, the median rounds, one grouped count
+for modes and category lists, one aggregate for the scaling moments;
+applying it is one ``select`` per table, with no shuffle.
 
 ``deep_flow`` adds the hold-out (D1), the dense SGD regressor (M5) with its
 train/validation curve (M17), scoring (M9) and the inverse target transform
@@ -22,8 +23,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.functions.missing import qcol
-from tabprep.operators import encode, impute, profile, split
+from tabprep.functions.kinds import split_kinds
+from tabprep.functions.missing import MISSING_LABEL, qcol
+from tabprep.operators import encode, impute, profile, split, stats
 from tabprep.plans import models, sgd
 
 
@@ -43,18 +45,44 @@ class Design:
 def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
             alpha: float = 0.4, numeric_fill: str = "median",
             numeric_method: str = "standardize",
-            keep_target_separate: bool = True) -> Design:
+            keep_target_separate: bool = True,
+            max_categories: int | None = 100_000) -> Design:
+    """P1 + F1 + F2 + F7-F12 with shared passes over the train table:
+
+    1. one aggregate: row count, missing count of every feature (the F1
+       profile) and moments of the numeric ones (the mean fill);
+    2. the median rounds (median fill only);
+    3. one grouped ``(column, value)`` count: the modes (fill) and, derived
+       from them, the encoder's category lists after filling;
+    4. one aggregate: moments of the filled numeric columns (scaling).
+
+    Results equal the separate operators (``prune_sparse_columns``,
+    ``Imputer.fit``, ``TableEncoder.fit``)."""
     kept, _ = profile.split_missing_target(train, target)
-    # fitting reads the train table about eight times (profile, moments,
-    # median rounds, modes, moments and categories after filling): keep it
-    # for the fitting phase only; the returned tables recompute from source
+    feats = [c for c in kept.columns if c not in (key, target)]
+    # fitting reads the train table four or five times: keep it for the
+    # fitting phase only; the returned tables recompute from source
     cached = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dropped, tr, te = profile.prune_sparse_columns(cached, test, alpha, target=target,
-                                                       key=key)
-        imp = impute.Imputer(numeric=numeric_fill, exclude=(key, target)).fit(tr)
+        num, cat = split_kinds(cached, feats)
+        rows, missing, mom = stats.summary(cached, feats, num)
+        sparse = [c for c in feats
+                  if missing[c] > 0 and rows and missing[c] / rows >= alpha]
+        spark = train.sparkSession
+        dropped = spark.createDataFrame(
+            [(c, missing[c], rows, missing[c] / rows) for c in sparse],
+            "column string, missing bigint, rows bigint, ratio double")
+        tr, te = profile.drop_columns(cached, test, columns=sparse)
+        num = [c for c in num if c not in sparse]
+        cat = [c for c in cat if c not in sparse]
+        counts = stats.category_counts(cached, cat, max_categories)
+        modes = {c: stats.mode_of(counts[c]) for c in cat}
+        imp = impute.Imputer(numeric=numeric_fill, exclude=(key, target)).fit(
+            tr, moments=mom, modes=modes)
+        cats = {c: _categories_after_fill(counts[c], modes[c], rows) for c in cat}
         enc = encode.TableEncoder(numeric_method, keep_target_separate, target=target,
-                                  key=key).fit(imp.transform(tr))
+                                  key=key, max_categories=max_categories
+                                  ).fit(imp.transform(tr), categories=cats)
     finally:
         cached.unpersist()
     tr_f, te_f = imp.transform(tr), imp.transform(te)
@@ -62,6 +90,16 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
                   imp, dropped, key, target)
 
 
+def _categories_after_fill(counts: dict[str, int], mode: str | None, rows: int) -> list[str]:
+    """Sorted categories of a column after the mode fill (F2), the constant
+    fill (F5) and empty -> label (F6): the mode is one of the values, an
+    all-missing column becomes the label, and so does the empty string."""
+    vals = {MISSING_LABEL if v == "" else v for v in counts}
+    if mode is None and rows > 0:
+        vals.add(MISSING_LABEL)
+    return sorted(vals)
+
+
 def with_feature_array(df: DataFrame, features: Sequence[str], out: str = "x") -> DataFrame:
     """The encoded feature columns as one ``array<double>`` column."""
     keep = [c for c in df.columns if c not in features]

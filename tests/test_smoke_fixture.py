@@ -88,3 +88,38 @@ def test_indicators_sum_to_zero_or_one(pair):
     for r in fitted.transform(te).collect():
         s = sum(r[c] for c in fitted.output_columns if c.startswith("cat__Department"))
         assert s in (0.0, 1.0)
+
+
+def test_prepare_shared_passes_equal_separate_operators(spark):
+    """The plan's fused statistics give the same fit as the operators."""
+    from tabprep.plans import house
+    from tabprep.sources import tables
+    from conftest import SMALL
+    train, test = tables.house_train_test(spark, SMALL)
+    d = house.prepare(train, test, "id", "target", alpha=0.5, keep_target_separate=False)
+    kept, _ = profile.split_missing_target(train, "target")
+    dropped, tr, te = profile.prune_sparse_columns(kept, test, 0.5, target="target", key="id")
+    assert sorted(map(tuple, d.dropped.collect())) == sorted(map(tuple, dropped.collect()))
+    imp = impute.Imputer(exclude=("id", "target")).fit(tr)
+    assert imp.numeric == d.imputer.numeric and imp.category == d.imputer.category
+    enc = encode.TableEncoder("standardize", False, target="target", key="id").fit(
+        imp.transform(tr))
+    assert enc.category == d.encoder.category
+    assert enc.output_columns == d.features
+    for n in enc.numeric:
+        assert enc.shift[n] == pytest.approx(d.encoder.shift[n], rel=1e-12)
+        assert enc.scale[n] == pytest.approx(d.encoder.scale[n], rel=1e-12)
+    assert enc.sigma == d.encoder.sigma and enc.mu == d.encoder.mu
+
+
+def test_prepare_on_smoke_pair(pair):
+    from tabprep.plans import house
+    tr, te = pair
+    tr = tr.withColumn("k", __import__("pyspark.sql.functions", fromlist=["x"])
+                       .monotonically_increasing_id())
+    tr = tr.select("k", "Age", "Salary", "Department", "City", "Satisfaction_Score")
+    te = te.withColumn("k", __import__("pyspark.sql.functions", fromlist=["x"]).lit(0))
+    d = house.prepare(tr, te, "k", "Satisfaction_Score", alpha=0.5)
+    assert d.features == [
+        "num__Age", "num__Salary", "cat__Department_HR", "cat__Department_IT",
+        "cat__Department_Sales", "cat__City_Kyoto", "cat__City_Osaka", "cat__City_Tokyo"]

@@ -830,6 +830,19 @@ def m2_gd_linear(spark, sf_dir):
         "epoch int, w0 double, w1 double, b double, loss double")
 
 
+@register("m2_sgd_minibatch")
+def m2_sgd_minibatch(spark, sf_dir):
+    """The reference's run: batch 10, lr 0.03, 3 epochs, half squared loss,
+    nominal batch division; one row per epoch (train/validation RMSE)."""
+    s4 = _s4(spark, sf_dir)
+    fit_part, val_part = split.holdout(s4, "id", 80)
+    res = sgd.linear_sgd(spark, fit_part, ["x0", "x1"], "y", key="id", valid=val_part,
+                         lr=M2_LR, epochs=M2_EPOCHS, batch_size=10, partitions=8)
+    return spark.createDataFrame(
+        [(c["epoch"], c["train_rmse"], c["valid_rmse"]) for c in res.curve],
+        "epoch int, train_rmse double, valid_rmse double")
+
+
 # ------------------------------------------ M3, M4 classifiers (embeddings)
 
 def _embedding_parts(spark, sf_dir):

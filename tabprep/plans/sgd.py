@@ -394,3 +394,22 @@ def dense_score(spark: SparkSession, net: DenseNet, features: Column | str,
         n = DenseNet.unpack(bc.value, dims)
         return pd.Series(forward(n, np.stack(col.to_numpy()).astype(np.float64))[-1][:, 0])
     return score_one(x.cast("array<double>"))
+
+
+def linear_sgd(spark: SparkSession, df: DataFrame, features: Sequence[str], label: str, *,
+               key: str, lr: float = 0.03, epochs: int = 3, batch_size: int = 10,
+               half: bool = True, nominal_batch: bool = True, partitions: int | None = None,
+               valid: DataFrame | None = None, seed: int = 0) -> TrainResult:
+    """M2 with mini-batches: the dense job with no hidden layer.  Batches
+    follow each epoch's key-hash order inside every part; the step divides
+    the batch's gradient sum by the nominal batch size, also on a short last
+    batch, and the loss is halved (the from-scratch variant) unless
+    ``half=False``.  With ``partitions=1`` this is plain sequential SGD; with
+    more, one epoch per part and the parts' weights averaged."""
+    arr = F.array(*[qcol(c).cast("double") for c in features]).alias("__feat")
+    data = df.select(qcol(key), arr, qcol(label))
+    val = valid.select(qcol(key), arr, qcol(label)) if valid is not None else None
+    return train_dense(spark, data, "__feat", label, (), key=key, valid=val,
+                       loss="half_mse" if half else "mse", lr=lr, epochs=epochs,
+                       batch_size=batch_size, step=0, mode="local", partitions=partitions,
+                       seed=seed, nominal_batch=nominal_batch)

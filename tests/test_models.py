@@ -100,3 +100,12 @@ def test_classifiers_beat_chance(spark):
         pred = models.fit_score(est, data, data, keep=("label",))
         acc = metrics.accuracy(pred, "prediction", F.col("label").cast("double")).first()
         assert acc["total"] == e.count() and acc["accuracy"] > 0.2
+
+
+def test_linear_sgd_minibatch_reference_run(spark, s4):
+    """lr 0.03, batch 10, 3 epochs, sequential (one part): near the truth."""
+    res = sgd.linear_sgd(spark, s4, ["x0", "x1"], "y", key="id", lr=0.03, epochs=3,
+                         batch_size=10, partitions=1)
+    w, b = res.net.weights[0][0], res.net.biases[0][0]
+    assert abs(w[0] - 2.0) < 0.01 and abs(w[1] + 3.4) < 0.01 and abs(b - 4.2) < 0.01
+    assert res.curve[-1]["train_rmse"] < 0.05

@@ -226,9 +226,13 @@ class FittedDummies:
             k = len(vals)
             pos = F.array_position(F.array(*[F.lit(v) for v in vals]) if vals
                                    else F.array().cast("array<string>"), txt)
-            slot = F.when(txt.isNull(), F.lit(k if self.dummy_na else k + 1))
-            slot = slot.when(pos > 0, pos - 1).otherwise(F.lit(k + 1))
-            width = k + (1 if self.dummy_na else 0) + 1  # last slot dropped
+            # slots: the k values, the NaN indicator (with dummy_na), then one
+            # more that dropLast removes: NULL without dummy_na and unseen
+            # values land there, giving all zeros
+            width = k + (1 if self.dummy_na else 0) + 1
+            zero = width - 1
+            slot = F.when(txt.isNull(), F.lit(k if self.dummy_na else zero))
+            slot = slot.when(pos > 0, pos - 1).otherwise(F.lit(zero))
             name = f"__idx{i}"
             exprs.append(slot.cast("double").alias(
                 name, metadata={"ml_attr": {"type": "nominal", "num_vals": width}}))

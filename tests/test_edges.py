@@ -102,3 +102,15 @@ def test_bad_method_fails_at_once():
         impute.Imputer(numeric="mode")
     with pytest.raises(ValueError):
         encode.TableEncoder("minmax")
+
+
+def test_sparse_dummies_null_and_unseen_are_all_zero(spark):
+    from pyspark.ml.functions import vector_to_array
+    tr = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
+    te = spark.createDataFrame([("b",), ("zz",), (None,)], "v string")
+    for na in (False, True):
+        f = encode.fit_dummies(tr, sparse=True, dummy_na=na)
+        dense = encode.fit_dummies(tr, sparse=False, dummy_na=na, dtype="float64")
+        got = [list(r[0]) for r in f.transform(te).select(vector_to_array("v")).collect()]
+        want = [list(r) for r in dense.transform(te).collect()]
+        assert got == want

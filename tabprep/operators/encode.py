@@ -78,17 +78,19 @@ class FittedEncoder:
                 x = (x - F.lit(self.shift[n])) / F.lit(self.scale[n])
             out.append(x.alias(f"num__{n}"))
         for c, vals in self.category.items():
-            col = qcol(c)
+            # the value as text, missing and empty -> the label (F5, F6); text
+            # comparison also holds when the column's type differs from train
+            txt = stats.as_category_string(df, c)
+            txt = F.coalesce(F.when(txt == "", F.lit(MISSING_LABEL)).otherwise(txt),
+                             F.lit(MISSING_LABEL))
             for v in vals:
-                out.append(F.coalesce((col == F.lit(v)).cast("double"), F.lit(0.0))
-                           .alias(f"cat__{c}_{v}"))
+                out.append((txt == F.lit(v)).cast("double").alias(f"cat__{c}_{v}"))
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         """One select: key (if any), features, passthrough columns, target
         (when the table has it)."""
-        d = empty_to_missing(fill_constant(df, columns=list(self.category)),
-                             columns=list(self.category))
+        d = df
         cols: list[Column] = []
         if self.key and self.key in d.columns:
             cols.append(qcol(self.key))

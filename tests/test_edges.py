@@ -114,3 +114,11 @@ def test_sparse_dummies_null_and_unseen_are_all_zero(spark):
         got = [list(r[0]) for r in f.transform(te).select(vector_to_array("v")).collect()]
         want = [list(r) for r in dense.transform(te).collect()]
         assert got == want
+
+
+def test_encoder_test_column_of_other_type(spark):
+    tr = spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 3.0)], "c string, y double")
+    te = spark.createDataFrame([(None,), (None,)], "c bigint")     # all missing, typed as int
+    f = encode.TableEncoder("none").fit(tr)
+    rows = f.transform(te).collect()
+    assert [tuple(r) for r in rows] == [(0.0, 0.0, 1.0)] * 2

@@ -74,3 +74,39 @@ def test_median_many_columns_one_pass(spark):
     got = stats.exact_medians(df, list(pdf.columns), threshold=16, buckets=8)
     for c in pdf.columns:
         assert got[c] == pytest.approx(float(pdf[c].median()))
+
+
+cells = st.one_of(st.sampled_from(["", "NA", "N/A", "NaN", "null", "None", "nan"]),
+                  st.integers(-10**6, 10**6).map(str),
+                  st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False).map(repr),
+                  st.sampled_from(["Pave", "Grvl", "1.5Fin", "Wd Sdng", "x"]))
+
+
+@SETTINGS
+@given(grid=st.lists(st.tuples(cells, cells, cells), min_size=1, max_size=25))
+def test_csv_reader_matches_pandas(spark, grid):
+    import io as _io
+    import os
+    from tabprep.session import scratch_path
+    from tabprep.sources import io
+    text = "a,b,c\n" + "\n".join(",".join(r) for r in grid) + "\n"
+    path = scratch_path(spark, "csv-prop")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(local)
+    with open(os.path.join(local, "part-0.csv"), "w") as f:
+        f.write(text)
+    ours = io.read_csv(spark, path)
+    theirs = pd.read_csv(_io.StringIO(text))
+    kinds = dict(ours.dtypes)
+    rows = ours.collect()
+    for j, c in enumerate(["a", "b", "c"]):
+        numeric_pd = pd.api.types.is_numeric_dtype(theirs[c])
+        assert (kinds[c] in ("bigint", "double")) == numeric_pd, (c, kinds[c], theirs[c].dtype)
+        for i, r in enumerate(rows):
+            mine, ref = r[c], theirs[c].iloc[i]
+            if pd.isna(ref):
+                assert mine is None
+            elif numeric_pd:
+                assert float(mine) == pytest.approx(float(ref))
+            else:
+                assert mine == ref

@@ -82,12 +82,16 @@ def random_forest(label: str = "label", features: str = FEATURES, num_trees: int
     """M6: the reference's forest is 600 trees, depth 15, 0.3 of the features
     per split, leaf 1; ``min_samples_split=5`` has no MLlib twin (nearest:
     ``minInstancesPerNode`` on leaves) and unlimited depth is capped at 30.
-    Bootstrap sampling is MLlib's default for forests."""
+    Bootstrap sampling is MLlib's default for forests.  Deep trees cache
+    each row's node id between levels instead of shipping the trees to the
+    tasks at every level (measured: about 25% faster at depth 15, slower
+    for shallow boosting trees, so only from depth 10)."""
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees,
                                  maxDepth=min(max_depth, 30),
                                  featureSubsetStrategy=feature_subset,
                                  minInstancesPerNode=min_instances, seed=seed,
-                                 subsamplingRate=subsampling)
+                                 subsamplingRate=subsampling,
+                                 cacheNodeIds=max_depth >= 10)
 
 
 def boosted_trees(label: str = "label", features: str = FEATURES, max_iter: int = 500,

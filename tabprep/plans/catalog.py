@@ -389,6 +389,22 @@ def f10_onehot_train_fitted(spark, sf_dir):
     return _encoded(spark, sf_dir, "standardize")
 
 
+@register("f10_onehot_streamed", ORACLE["f10_onehot_train_fitted"])
+def f10_onehot_streamed(spark, sf_dir):
+    """F10 through Structured Streaming: the encoder is fitted on train (a
+    batch job); the test part arrives as files and is encoded by a stream
+    (stateless projection, checkpointed, ``availableNow``); the sink read
+    back must equal the batch result."""
+    from tabprep.streaming import score
+    fitted, _, test = _fit_standard(spark, sf_dir, method="standardize")
+    src, sink = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-sink")
+    test.write.parquet(src)
+    stream = score.read_table_stream(spark, src, test.schema)
+    q = score.score_stream(spark, stream, [fitted.transform], sink)
+    q.awaitTermination()
+    return _rounded(spark.read.parquet(sink), [f"num__{c}" for c in NUM_FEATS])
+
+
 @register("f11_train_encoded", with_house(
     f"SELECT id, {_num_sql('standardize')}, {_cat_sql()}, target FROM train"))
 def f11_train_encoded(spark, sf_dir):

@@ -129,10 +129,11 @@ class TableEncoder:
         if self.numeric_method not in NUMERIC_METHODS:
             raise ValueError("numeric_method must be 'standardize', 'normalize' or 'none'")
 
-    def fit(self, train: DataFrame, categories: dict[str, list[str]] | None = None
-            ) -> FittedEncoder:
-        """``categories``: the sorted category lists of the table after the
-        constant fill, when a plan already knows them (saves a pass)."""
+    def fit(self, train: DataFrame, categories: dict[str, list[str]] | None = None,
+            moments: dict[str, dict] | None = None) -> FittedEncoder:
+        """``categories`` (the sorted category lists of the table after the
+        constant fill) and ``moments`` (of the numeric columns and the
+        target), when a plan already knows them, save their passes."""
         target = self.target or train.columns[-1]
         feats = [c for c in train.columns
                  if c not in (target, self.key) and c not in self.passthrough]
@@ -141,7 +142,11 @@ class TableEncoder:
         scale_target = not self.keep_target_separate and self.numeric_method != "none"
         if scale_target:
             need.append(target)
-        mom = stats.moments(train, need) if (self.numeric_method != "none" or scale_target) else {}
+        if moments is not None:
+            mom = {n: moments[n] for n in need}
+        else:
+            mom = stats.moments(train, need) \
+                if (self.numeric_method != "none" or scale_target) else {}
         shift, scale = {}, {}
         for n in num:
             shift[n], scale[n] = _scale_params(self.numeric_method, mom[n]) \

@@ -21,6 +21,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,6 +68,30 @@ def summary(df: DataFrame, cols: Sequence[str], numeric: Sequence[str]
             _moments_of(row, numeric))
 
 
+def moments_after_fill(m: dict[str, float | None], fill: float | None, rows: int
+                       ) -> dict[str, float | None]:
+    """Moments of a column after its missing cells take ``fill``, from its
+    moments before: the filled column is the old values plus ``k`` copies
+    of ``fill``, merged the way partial aggregates merge (mean by weights,
+    squared deviations by the parallel-variance rule), so no pass over the
+    data is needed."""
+    c = m["count"] or 0
+    k = rows - c
+    if fill is None or k == 0:
+        return dict(m)
+    f = float(fill)
+    if c == 0:
+        return {"count": rows, "mean": f, "std": 0.0, "min": f, "max": f}
+    lo, hi = min(m["min"], f), max(m["max"], f)
+    if lo == hi:                       # constant after the fill: exact
+        return {"count": rows, "mean": lo, "std": 0.0, "min": lo, "max": hi}
+    mean = m["mean"]
+    new_mean = (c * mean + k * f) / rows
+    m2 = c * m["std"] ** 2 + c * (mean - new_mean) ** 2 + k * (f - new_mean) ** 2
+    return {"count": rows, "mean": new_mean, "std": math.sqrt(m2 / rows),
+            "min": lo, "max": hi}
+
+
 def category_counts(df: DataFrame, cols: Sequence[str],
                     max_categories: int | None = None) -> dict[str, dict[str, int]]:
     """{column: {value: count}} of the non-missing values (as text), from one

@@ -50,22 +50,24 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
     """P1 + F1 + F2 + F7-F12 with shared passes over the train table:
 
     1. one aggregate: row count, missing count of every feature (the F1
-       profile) and moments of the numeric ones (the mean fill);
+       profile) and moments of the numeric ones and the target (mean fill,
+       target scaling);
     2. the median rounds (median fill only);
     3. one grouped ``(column, value)`` count: the modes (fill) and, derived
-       from them, the encoder's category lists after filling;
-    4. one aggregate: moments of the filled numeric columns (scaling).
+       from them, the encoder's category lists after filling.
 
-    Results equal the separate operators (``prune_sparse_columns``,
-    ``Imputer.fit``, ``TableEncoder.fit``)."""
+    The scaling moments after filling follow from the moments before (the
+    fill adds k copies of one value), so they cost no pass.  Results equal
+    the separate operators (``prune_sparse_columns``, ``Imputer.fit``,
+    ``TableEncoder.fit``) up to floating rounding."""
     kept, _ = profile.split_missing_target(train, target)
     feats = [c for c in kept.columns if c not in (key, target)]
-    # fitting reads the train table four or five times: keep it for the
+    # fitting reads the train table three or four times: keep it for the
     # fitting phase only; the returned tables recompute from source
     cached = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         num, cat = split_kinds(cached, feats)
-        rows, missing, mom = stats.summary(cached, feats, num)
+        rows, missing, mom = stats.summary(cached, feats, num + [target])
         sparse = [c for c in feats
                   if missing[c] > 0 and rows and missing[c] / rows >= alpha]
         spark = train.sparkSession
@@ -80,9 +82,11 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
         imp = impute.Imputer(numeric=numeric_fill, exclude=(key, target)).fit(
             tr, moments=mom, modes=modes)
         cats = {c: _categories_after_fill(counts[c], modes[c], rows) for c in cat}
+        filled_mom = {n: stats.moments_after_fill(mom[n], imp.numeric[n], rows) for n in num}
+        filled_mom[target] = mom[target]
         enc = encode.TableEncoder(numeric_method, keep_target_separate, target=target,
                                   key=key, max_categories=max_categories
-                                  ).fit(imp.transform(tr), categories=cats)
+                                  ).fit(imp.transform(tr), categories=cats, moments=filled_mom)
     finally:
         cached.unpersist()
     tr_f, te_f = imp.transform(tr), imp.transform(te)

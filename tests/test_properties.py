@@ -110,3 +110,20 @@ def test_csv_reader_matches_pandas(spark, grid):
                 assert float(mine) == pytest.approx(float(ref))
             else:
                 assert mine == ref
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.floats(-1e4, 1e4, allow_nan=False)),
+                     min_size=1, max_size=40),
+       fill=st.floats(-1e4, 1e4, allow_nan=False))
+def test_moments_after_fill_match_a_pass(spark, vals, fill):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    before = stats.moments(df, ["v"])["v"]
+    derived = stats.moments_after_fill(before, fill, len(vals))
+    after = stats.moments(df.select(F.coalesce("v", F.lit(fill)).alias("v")), ["v"])["v"]
+    assert derived["count"] == after["count"]
+    for k in ("mean", "min", "max"):
+        assert derived[k] == pytest.approx(after[k], rel=1e-9, abs=1e-9)
+    assert derived["std"] == pytest.approx(after["std"], rel=1e-7, abs=1e-7)
+    assert (derived["std"] == 0.0) == (after["std"] == 0.0)

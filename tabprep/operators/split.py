@@ -44,12 +44,20 @@ def epoch_order(key: str, epoch: int) -> Column:
 
 
 def with_batches(df: DataFrame, key: str, batch_size: int, epoch: int = 0,
-                 out: str = "batch") -> DataFrame:
+                 out: str = "batch", exact: bool = True) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows in the epoch's shuffled
     order; the last batch may be short.  Adds ``pos`` (position in the
-    epoch) and ``out`` (batch number)."""
+    epoch) and ``out`` (batch number).
+
+    ``exact=False`` is the cheap form for very large tables: one count, then
+    each row goes to batch ``hash mod ceil(n / batch_size)`` of the epoch's
+    key hash, with no sort, shuffle or checkpoint; batch sizes then average
+    ``batch_size`` instead of matching it (no ``pos`` column)."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
+    if not exact:
+        n_batches = max(1, -(-df.count() // batch_size))
+        return df.withColumn(out, F.pmod(epoch_order(key, epoch), F.lit(n_batches)))
     ordered = df.withColumn("__order", epoch_order(key, epoch))
     numbered = consecutive_index(ordered, ["__order", key], out="pos")
     return numbered.drop("__order").withColumn(

@@ -122,3 +122,11 @@ def test_encoder_test_column_of_other_type(spark):
     f = encode.TableEncoder("none").fit(tr)
     rows = f.transform(te).collect()
     assert [tuple(r) for r in rows] == [(0.0, 0.0, 1.0)] * 2
+
+
+def test_hash_batches_average_size(spark):
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    b = split.with_batches(df, "k", 100, epoch=2, exact=False)
+    counts = [r["count"] for r in b.groupBy("batch").count().collect()]
+    assert len(counts) == 200 and sum(counts) == 20000
+    assert 60 < min(counts) and max(counts) < 140

@@ -130,3 +130,16 @@ def test_hash_batches_average_size(spark):
     counts = [r["count"] for r in b.groupBy("batch").count().collect()]
     assert len(counts) == 200 and sum(counts) == 20000
     assert 60 < min(counts) and max(counts) < 140
+
+
+def test_dummy_prefix_forms(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "s string, t string, n int")
+    cols = lambda **kw: encode.dummies(df, dtype="int32", **kw).columns
+    assert cols() == ["n", "s_a", "s_b", "t_x", "t_y"]
+    assert cols(prefix="p") == ["n", "p_a", "p_b", "p_x", "p_y"]
+    assert cols(prefix=["S", "T"], prefix_sep="-") == ["n", "S-a", "S-b", "T-x", "T-y"]
+    assert cols(prefix={"t": "tt"}) == ["n", "s_a", "s_b", "tt_x", "tt_y"]
+    assert cols(columns=["t"], drop_first=True) == ["s", "n", "t_y"]
+    assert cols(columns=["s"], dummy_na=True) == ["t", "n", "s_a", "s_b", "s_nan"]
+    with pytest.raises(ValueError):
+        encode.dummies(df, prefix=["only-one"])

@@ -242,7 +242,8 @@ def _combine(emitted: DataFrame, tasks: int) -> dict[int, tuple[float, np.ndarra
 
 
 def _epoch_task(params_bc, dims, loss: str, lr: float, batch_size: int, train: bool,
-                exact: bool, nominal: bool, fcol: str, ycol: str, slots: int):
+                exact: bool, nominal: bool, fcol: str, ycol: str, slots: int,
+                summed: bool = False):
     """Builds the ``mapInPandas`` function of one epoch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,7 +258,7 @@ def _epoch_task(params_bc, dims, loss: str, lr: float, batch_size: int, train: b
         def step(X, y):
             nonlocal net
             _, gws, gbs = loss_and_grads(net, X, y, loss)
-            div = batch_size if nominal else len(y)
+            div = 1 if summed else (batch_size if nominal else len(y))
             net = DenseNet([w - lr * g / div for w, g in zip(net.weights, gws)],
                            [b - lr * g / div for b, g in zip(net.biases, gbs)])
 
@@ -313,14 +314,20 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
                 lr: float = 0.2, epochs: int = 128, batch_size: int = 64,
                 step: int = 80, gamma: float = 0.7, mode: str = "local",
                 partitions: int | None = None, seed: int = 0, init_std: float = 0.01,
-                nominal_batch: bool = False, target_scale: float = 1.0) -> TrainResult:
+                nominal_batch: bool = False, target_scale: float = 1.0,
+                reduction: str = "mean") -> TrainResult:
     """M5 / M17.  ``features`` is an ``array<double>`` column, ``label`` a
     number (class index for ``loss='softmax'``).  Learning rate at epoch e
     (0-based) is ``lr * gamma ** (e // step)``.  Returns the network and
     the curve: one dict per epoch with train and validation RMSE after that
-    epoch, multiplied by ``target_scale`` (sigma of a scaled target)."""
+    epoch, multiplied by ``target_scale`` (sigma of a scaled target).
+    ``reduction``: ``mean`` steps by the batch's mean gradient (divided by
+    the nominal size with ``nominal_batch``), ``sum`` by its sum (a step
+    batch-size times larger, as when the batch loss is summed)."""
     if mode not in ("local", "exact"):
         raise ValueError("mode must be 'local' or 'exact'")
+    if reduction not in ("mean", "sum"):
+        raise ValueError("reduction must be 'mean' or 'sum'")
     sc = spark.sparkContext
     parts = partitions or sc.defaultParallelism
     cols = [qcol(key), qcol(features).cast("array<double>").alias("__x"),
@@ -346,7 +353,7 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
             lr_e = lr * gamma ** (e // step) if step else lr
             bc = sc.broadcast(net.pack())
             fn = _epoch_task(bc, dims, loss, lr_e, batch_size, train_now, mode == "exact",
-                             nominal_batch, "__x", "__y", slots)
+                             nominal_batch, "__x", "__y", slots, reduction == "sum")
             part = data.sortWithinPartitions(epoch_order(key, e), qcol(key)) \
                 if (train_now and mode == "local") else data
             got = _combine(part.mapInPandas(fn, OUT_SCHEMA), parts)
@@ -362,7 +369,7 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
                 break
             vec = np.concatenate([got[c][1] for c in sorted(got)])
             if mode == "exact":
-                div = batch_size if nominal_batch else n_fit
+                div = 1 if reduction == "sum" else (batch_size if nominal_batch else n_fit)
                 net = DenseNet.unpack(net.pack() - lr_e * vec / div, dims)
             else:
                 net = DenseNet.unpack(vec / n_fit, dims)

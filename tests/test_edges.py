@@ -143,3 +143,42 @@ def test_dummy_prefix_forms(spark):
     assert cols(columns=["s"], dummy_na=True) == ["t", "n", "s_a", "s_b", "s_nan"]
     with pytest.raises(ValueError):
         encode.dummies(df, prefix=["only-one"])
+
+
+def test_sparse_target_is_never_pruned_and_alpha_zero_keeps_complete(spark):
+    tr = spark.createDataFrame([(1.0, None, "a", None), (2.0, None, "b", 1.0),
+                                (3.0, 5.0, "c", None)], "x double, s double, c string, y double")
+    te = spark.createDataFrame([(1.0, 1.0, "a")], "x double, s double, c string")
+    dropped, tr2, te2 = profile.prune_sparse_columns(tr, te, alpha=0.5)
+    assert [r["column"] for r in dropped.collect()] == ["s"]
+    assert tr2.columns == ["x", "c", "y"] and te2.columns == ["x", "c"]
+    dropped, tr3, _ = profile.prune_sparse_columns(tr, te, alpha=0.0)
+    assert [r["column"] for r in dropped.collect()] == ["s"]      # complete columns stay
+    assert "x" in tr3.columns and "c" in tr3.columns
+
+
+def test_constant_fill_leaves_numeric_missing(spark):
+    df = spark.createDataFrame([(None, None), (1.0, "a")], "v double, c string")
+    out = impute.fill_constant(df).collect()
+    assert out[0]["v"] is None and out[0]["c"] == "missing_value"
+
+
+def test_kind_override_numeric_codes_as_categories(spark):
+    df = spark.createDataFrame([(20, 1.0), (60, 2.0), (20, 3.0)], "MSSubClass int, y double")
+    f = encode.TableEncoder("standardize", kinds={"MSSubClass": "category"}).fit(df)
+    assert f.numeric == [] and f.category == {"MSSubClass": ["20", "60"]}
+    assert f.transform(df).columns == ["cat__MSSubClass_20", "cat__MSSubClass_60", "y"]
+    imp = impute.Imputer(kinds={"MSSubClass": "category"}, exclude=("y",)).fit(df)
+    assert imp.category == {"MSSubClass": "20"} and imp.numeric == {}
+
+
+def test_sum_reduction_steps_batch_size_times_larger(spark):
+    from tabprep.plans import sgd
+    df = spark.range(64).select("id", F.array((F.col("id") / 64.0).cast("double"))
+                                .alias("x"), (F.col("id") / 32.0).alias("y"))
+    common = dict(key="id", lr=0.01, epochs=1, batch_size=64, partitions=1, mode="exact",
+                  nominal_batch=True)
+    mean = sgd.train_dense(spark, df, "x", "y", (), **common)
+    summed = sgd.train_dense(spark, df, "x", "y", (), reduction="sum", **common)
+    start = sgd.init_net([1, 1], 0.01, 0).pack()
+    assert (summed.net.pack() - start) == pytest.approx(64 * (mean.net.pack() - start))

@@ -882,6 +882,34 @@ def m4_perceptron_fit(spark, sf_dir):
     return models.fit_score(est, fit_part, test_part, keep=("vec_id", "label"))
 
 
+def _sgd_classifier(spark, sf_dir, hidden, lr, step, reduction):
+    e = tables.load(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
+    fit_part, test_part = split.holdout(e, "vec_id", 80)
+    res = sgd.train_dense(spark, fit_part, "x", "label", hidden, key="vec_id",
+                          valid=test_part, out_dim=N_CLASSES, loss="softmax", lr=lr,
+                          epochs=10, batch_size=256, step=step, gamma=0.2,
+                          reduction=reduction, partitions=4)
+    return spark.createDataFrame(
+        [(c["epoch"], c["train_accuracy"], c["valid_accuracy"]) for c in res.curve],
+        "epoch int, train_accuracy double, valid_accuracy double")
+
+
+@register("m3_softmax_sgd")
+def m3_softmax_sgd(spark, sf_dir):
+    """The reference's softmax run: SGD lr 0.05 on the batch-summed loss,
+    batch 256, 10 epochs, lr x 0.2 every 4; test accuracy per epoch."""
+    return _sgd_classifier(spark, sf_dir, (), 0.05, 4, "sum")
+
+
+@register("m4_relu_perceptron_sgd")
+def m4_relu_perceptron_sgd(spark, sf_dir):
+    """The reference's perceptron run with ReLU hidden units: one hidden
+    layer (256), SGD lr 0.2 on the mean loss, batch 256, 10 epochs, lr x 0.2
+    every 5; test accuracy per epoch."""
+    return _sgd_classifier(spark, sf_dir, (256,), 0.2, 5, "mean")
+
+
 # ------------------------------------------- house design for the learners
 
 def _design(spark, sf_dir, keep_target_separate=True):

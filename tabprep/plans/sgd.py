@@ -209,6 +209,11 @@ def _sse(net: DenseNet, X: np.ndarray, y: np.ndarray) -> float:
     return float(np.sum(r * r))
 
 
+def _correct(net: DenseNet, X: np.ndarray, y: np.ndarray) -> float:
+    pred = np.argmax(forward(net, X)[-1], axis=1)
+    return float(np.sum(pred == y.astype(np.int64)))
+
+
 def _chunks(vec: np.ndarray, n: float, slot: int) -> Iterator[tuple[int, int, float, list]]:
     for c in range(0, max(1, math.ceil(len(vec) / CHUNK))):
         yield c, slot, n, vec[c * CHUNK:(c + 1) * CHUNK].tolist()
@@ -268,11 +273,13 @@ def _epoch_task(params_bc, dims, loss: str, lr: float, batch_size: int, train: b
             X = np.stack(pdf[fcol].to_numpy()).astype(np.float64)
             y = pdf[ycol].to_numpy(dtype=np.float64)
             fit = pdf["__fit"].to_numpy(dtype=bool)
-            if loss != "softmax":
-                if fit.any():
-                    sse_fit += _sse(start, X[fit], y[fit])
-                if (~fit).any():
-                    sse_val += _sse(start, X[~fit], y[~fit])
+            # measure the incoming weights: squared error, or for classes
+            # the number of correct predictions (first maximum wins)
+            measure = _correct if loss == "softmax" else _sse
+            if fit.any():
+                sse_fit += measure(start, X[fit], y[fit])
+            if (~fit).any():
+                sse_val += measure(start, X[~fit], y[~fit])
             n_fit += int(fit.sum())
             n_val += int((~fit).sum())
             if not train or not fit.any():
@@ -320,7 +327,8 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
     number (class index for ``loss='softmax'``).  Learning rate at epoch e
     (0-based) is ``lr * gamma ** (e // step)``.  Returns the network and
     the curve: one dict per epoch with train and validation RMSE after that
-    epoch, multiplied by ``target_scale`` (sigma of a scaled target).
+    epoch, multiplied by ``target_scale`` (sigma of a scaled target), or
+    with ``loss='softmax'`` train and validation accuracy (A10 per epoch).
     ``reduction``: ``mean`` steps by the batch's mean gradient (divided by
     the nominal size with ``nominal_batch``), ``sum`` by its sum (a step
     batch-size times larger, as when the batch loss is summed)."""
@@ -358,9 +366,13 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
                 if (train_now and mode == "local") else data
             got = _combine(part.mapInPandas(fn, OUT_SCHEMA), parts)
             bc.unpersist()
-            m = got.pop(-1)[1]
+            m = [float(v) for v in got.pop(-1)[1]]
             n_fit, sse_fit, n_val, sse_val = m
-            if e > 0:
+            if e > 0 and loss == "softmax":
+                curve.append({"epoch": e,
+                              "train_accuracy": sse_fit / n_fit if n_fit else None,
+                              "valid_accuracy": sse_val / n_val if n_val else None})
+            elif e > 0:
                 curve.append({
                     "epoch": e,
                     "train_rmse": math.sqrt(sse_fit / n_fit) * target_scale if n_fit else None,

@@ -109,3 +109,18 @@ def test_linear_sgd_minibatch_reference_run(spark, s4):
     w, b = res.net.weights[0][0], res.net.biases[0][0]
     assert abs(w[0] - 2.0) < 0.01 and abs(w[1] + 3.4) < 0.01 and abs(b - 4.2) < 0.01
     assert res.curve[-1]["train_rmse"] < 0.05
+
+
+def test_relu_classifier_learns_quadrants(spark, s4):
+    d = s4.select("id", F.array("x0", "x1").alias("x"),
+                  ((F.col("x0") > 0).cast("int") + 2 * (F.col("x1") > 0).cast("int")).alias("q"))
+    tr, va = split.holdout(d, "id", 80)
+    res = sgd.train_dense(spark, tr, "x", "q", (16,), key="id", valid=va, out_dim=4,
+                          loss="softmax", lr=0.5, epochs=12, batch_size=16, step=0,
+                          partitions=1, init_std=0.5, seed=1)
+    assert res.curve[-1]["valid_accuracy"] > 0.85
+    from tabprep.functions import rowexpr
+    scored = va.select("q", rowexpr.argmax(sgd.dense_score(spark, res.net, "x", classes=True))
+                       .alias("p"))
+    acc = metrics.accuracy(scored, "p", "q").first()["accuracy"]
+    assert acc == pytest.approx(res.curve[-1]["valid_accuracy"])

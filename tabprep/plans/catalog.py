@@ -508,6 +508,25 @@ def f15f_sparse(spark, sf_dir):
     return encode.dummies(test, dummy_na=True, sparse=True)
 
 
+def _dummy_array_sql(cols_vals: dict[str, list[str]]) -> str:
+    out = []
+    for c, vals in cols_vals.items():
+        items = [f"CAST(coalesce({c} = {lit(v)}, false) AS DOUBLE)" for v in vals]
+        items.append(f"CAST({c} IS NULL AS DOUBLE)")
+        out.append(f"[{', '.join(items)}] AS {q(c)}")
+    return ", ".join(out)
+
+
+@register("f15f_sparse_as_arrays", with_house(
+    f"SELECT {TEST_OTHERS}, {_dummy_array_sql(TEST_VALUES)} FROM test"))
+def f15f_sparse_as_arrays(spark, sf_dir):
+    """F15f's sparse vectors read back as arrays, so SQL can check them."""
+    from pyspark.ml.functions import vector_to_array
+    sp = f15f_sparse(spark, sf_dir)
+    return sp.select(*[vector_to_array(c).alias(c) if c in TEST_VALUES else F.col(c)
+                       for c in sp.columns])
+
+
 JOINT_VALUES = {"segment": SEGMENTS, "priority": sorted([""] + PRIORITIES),
                 "status": STATUSES, "rare": PRIORITIES}
 

@@ -58,7 +58,12 @@ def with_batches(df: DataFrame, key: str, batch_size: int, epoch: int = 0,
     if not exact:
         n_batches = max(1, -(-df.count() // batch_size))
         return df.withColumn(out, F.pmod(epoch_order(key, epoch), F.lit(n_batches)))
-    ordered = df.withColumn("__order", epoch_order(key, epoch))
-    numbered = consecutive_index(ordered, ["__order", key], out="pos")
-    return numbered.drop("__order").withColumn(
+    # a key that repeats (one may hold a third of the rows) would tie and
+    # land in one range partition: the hash of the whole row breaks the tie
+    # (only byte-identical rows still tie, and their order does not matter)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ordered = df.withColumn("__order", epoch_order(key, epoch)) \
+                .withColumn("__tie", row_hash)
+    numbered = consecutive_index(ordered, ["__order", key, "__tie"], out="pos")
+    return numbered.drop("__order", "__tie").withColumn(
         out, F.floor(F.col("pos") / F.lit(batch_size)).cast("bigint"))

@@ -182,3 +182,13 @@ def test_sum_reduction_steps_batch_size_times_larger(spark):
     summed = sgd.train_dense(spark, df, "x", "y", (), reduction="sum", **common)
     start = sgd.init_net([1, 1], 0.01, 0).pack()
     assert (summed.net.pack() - start) == pytest.approx(64 * (mean.net.pack() - start))
+
+
+def test_batches_spread_a_hot_key(spark):
+    # a third of the rows share one key
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+                                  .alias("k"), F.col("id").alias("v"))
+    b = split.with_batches(df, "k", 100)
+    assert sorted(r["pos"] for r in b.select("pos").collect()) == list(range(3000))
+    sizes = sorted(r["count"] for r in b.groupBy("batch").count().collect())
+    assert sizes == [100] * 30

@@ -330,9 +330,9 @@ def f6_empty_to_missing(spark, sf_dir):
 
 # ------------------------------------------------ F7-F14 scale and encode
 
-def _num_sql(method: str) -> str:
+def _num_sql(method: str, columns: list[str] | None = None) -> str:
     out = []
-    for c in NUM_FEATS:
+    for c in (columns or NUM_FEATS):
         if method == "standardize":
             e = (f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM train)) / "
                  f"(SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END FROM train)")
@@ -585,7 +585,7 @@ def u1_stack(spark, sf_dir):
 
 @register("u2_glue", with_house(
     f"SELECT coalesce(a.id, b.id) AS id, a.{q('num__acctbal')}, b.target FROM "
-    f"(SELECT id, {_num_sql('standardize').split(', round(')[0]} FROM train) a "
+    f"(SELECT id, {_num_sql('standardize', ['acctbal'])} FROM train) a "
     "FULL OUTER JOIN (SELECT id, target FROM train WHERE target IS NOT NULL) b ON a.id = b.id"))
 def u2_glue(spark, sf_dir):
     """Scaled features and the kept targets, two keyed tables side by side."""

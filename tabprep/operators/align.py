@@ -53,7 +53,7 @@ def consecutive_index(df: DataFrame, order: Sequence[Column | str],
         offsets.append(run)
         run += counts.get(p, 0)
     if not offsets:
-        return ordered.withColumn(out, F.lit(None).cast("bigint")).limit(0)
+        return ordered.withColumn(out, F.lit(None).cast("bigint")).where(F.lit(False))  # empty input
     pid = F.spark_partition_id()
     start = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"), pid + 1)
     within = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)

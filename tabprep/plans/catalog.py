@@ -574,6 +574,41 @@ def f19_assemble(spark, sf_dir):
     return encode.assemble(enc, fitted.output_columns, keep=("id", "target"))
 
 
+def _f19_sql() -> str:
+    """Train filled from its own medians and modes, then standardized and
+    one-hot encoded, assembled into one list per row."""
+    num = ", ".join(
+        f"coalesce(CAST({c} AS DOUBLE), (SELECT CAST(median({c}) AS DOUBLE) FROM train)) AS {c}"
+        for c in NUM_FEATS)
+    cat = ", ".join(
+        f"coalesce({c}, (SELECT {c} FROM train WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CAT_FEATS)
+    items = []
+    for c in NUM_FEATS:
+        items.append(f"round(({c} - (SELECT avg({c}) FROM filled)) / (SELECT CASE WHEN "
+                     f"stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END FROM filled), {R})")
+    # categories of the filled train part (no NULL left; '' is the label)
+    cats = {"segment": [v for v in SEGMENTS if v != "MACHINERY"],
+            "priority": sorted(PRIORITIES + ["missing_value"]),
+            "status": STATUSES, "rare": PRIORITIES}
+    for c, vals in cats.items():
+        for v in vals:
+            items.append(f"CAST(CASE WHEN coalesce(nullif({c}, ''), 'missing_value') = {lit(v)} "
+                         "THEN 1.0 ELSE 0.0 END AS DOUBLE)")
+    return with_house(
+        f"SELECT id, target, [{', '.join(items)}] AS features FROM filled",
+        f",\nfilled AS (SELECT id, {num}, {cat}, target FROM train)")
+
+
+@register("f19_assemble_as_arrays", _f19_sql())
+def f19_assemble_as_arrays(spark, sf_dir):
+    """F19's vectors read back as arrays (rounded), so SQL can check them."""
+    from pyspark.ml.functions import vector_to_array
+    a = f19_assemble(spark, sf_dir)
+    return a.select("id", "target", F.transform(vector_to_array("features"),
+                                                lambda x: F.round(x, R)).alias("features"))
+
+
 # --------------------------------------------------- U1-U3 set operations
 
 @register("u1_stack", with_house(

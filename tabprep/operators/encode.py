@@ -196,6 +196,13 @@ class FittedDummies:
     dtype: str = "bool"
     sparse: bool = False
 
+    def to_json(self) -> str:
+        return json.dumps(self.__dict__)
+
+    @staticmethod
+    def from_json(s: str) -> "FittedDummies":
+        return FittedDummies(**json.loads(s))
+
     def names(self, c: str) -> list[str]:
         vals = self.values[c][1:] if self.drop_first else self.values[c]
         names = [f"{self.prefix[c]}{self.prefix_sep}{v}" for v in vals]

@@ -79,3 +79,44 @@ def test_preview_first_rows(spark):
     h = tables.house_like(spark, SMALL)
     assert [r["id"] for r in io.preview(h, "id", 5).collect()] == \
         sorted(r["id"] for r in h.select("id").collect())[:5]
+
+
+def test_fitted_objects_round_trip_json(spark):
+    from tabprep.operators.encode import FittedDummies, FittedEncoder
+    from tabprep.operators.impute import FittedImputer
+    from tabprep.plans import sgd
+    train, test = tables.house_train_test(spark, SMALL)
+    imp = impute.Imputer(exclude=("id", "target")).fit(train)
+    enc = encode.TableEncoder("normalize", False, target="target", key="id").fit(imp.transform(train))
+    dum = encode.fit_dummies(test, dummy_na=True, dtype="int32")
+    imp2, enc2 = FittedImputer.from_json(imp.to_json()), FittedEncoder.from_json(enc.to_json())
+    dum2 = FittedDummies.from_json(dum.to_json())
+    a = enc.transform(imp.transform(test))
+    b = enc2.transform(imp2.transform(test))
+    assert a.exceptAll(b).count() == 0 and a.columns == b.columns
+    assert dum.transform(test).exceptAll(dum2.transform(test)).count() == 0
+    net = sgd.init_net([3, 4, 1], 0.1, 2)
+    assert (sgd.DenseNet.from_json(net.to_json()).pack() == net.pack()).all()
+
+
+def test_stream_scoring_with_a_network_equals_batch(spark):
+    from tabprep.plans import house, sgd
+    train, test = tables.house_train_test(spark, SMALL)
+    d = house.prepare(train, test, "id", "target", alpha=0.5)
+    net = sgd.init_net([len(d.features), 4, 1], 0.5, 7)
+
+    def score_step(df):
+        x = F.array(*[F.col(f"`{c}`") for c in d.features])
+        return df.select("id", sgd.dense_score(spark, net, x).alias("pred"))
+
+    src = scratch_path(spark, "stream-src2")
+    test.write.parquet(src)
+    sink = scratch_path(spark, "stream-sink2")
+    stream = score.read_table_stream(spark, src, test.schema)
+    q = score.score_stream(spark, stream, [d.imputer.transform, d.encoder.transform, score_step],
+                           sink)
+    q.awaitTermination(120)
+    got = {r["id"]: r["pred"] for r in spark.read.parquet(sink).collect()}
+    want = {r["id"]: r["pred"] for r in score_step(d.test).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)

@@ -251,12 +251,24 @@ def exact_medians(df: DataFrame, cols: Sequence[str],
 
 
 def _probe_id(probes: list[dict]) -> Column:
-    pid = None
+    """Probe of a cell ``(c, v)``: a column has at most two probes (its two
+    middle ranks), so the lookup is two array reads by column index, not a
+    branch per probe."""
+    width = max(p["c"] for p in probes) + 1
+    slots: list[list] = [[None] * width for _ in range(6)]   # lo, hi, id for a and b
     for j, p in enumerate(probes):
-        cond = ((F.col("c") == p["c"]) & (F.col("v") >= F.lit(p["lo"]))
-                & (F.col("v") <= F.lit(p["hi"])))
-        pid = F.when(cond, F.lit(j)) if pid is None else pid.when(cond, F.lit(j))
-    return pid
+        k = 0 if slots[2][p["c"]] is None else 3
+        slots[k][p["c"]], slots[k + 1][p["c"]], slots[k + 2][p["c"]] = p["lo"], p["hi"], j
+    c, v = F.col("c") + 1, F.col("v")
+
+    def at(vals, typ):
+        # columns past the last probed one get NULL: no probe
+        return F.try_element_at(F.array(*[F.lit(x).cast(typ) for x in vals]), c)
+
+    lo_a, hi_a, id_a = at(slots[0], "double"), at(slots[1], "double"), at(slots[2], "int")
+    lo_b, hi_b, id_b = at(slots[3], "double"), at(slots[4], "double"), at(slots[5], "int")
+    return (F.when((v >= lo_a) & (v <= hi_a), id_a)
+             .when((v >= lo_b) & (v <= hi_b), id_b))
 
 
 def _refine(long: DataFrame, probes: list[dict], buckets: int,

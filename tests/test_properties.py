@@ -127,3 +127,15 @@ def test_moments_after_fill_match_a_pass(spark, vals, fill):
         assert derived[k] == pytest.approx(after[k], rel=1e-9, abs=1e-9)
     assert derived["std"] == pytest.approx(after["std"], rel=1e-7, abs=1e-7)
     assert (derived["std"] == 0.0) == (after["std"] == 0.0)
+
+
+def test_median_columns_without_probes_interleaved(spark):
+    rng = np.random.default_rng(3)
+    n = 301
+    pdf = pd.DataFrame({"k0": np.full(n, 2.0), "v1": rng.normal(size=n).round(3),
+                        "k2": np.full(n, -1.0), "v3": rng.integers(0, 7, size=n).astype(float),
+                        "v4": np.where(rng.random(n) < 0.4, np.nan, rng.normal(size=n))})
+    df = spark.createDataFrame(pdf)
+    got = stats.exact_medians(df, list(pdf.columns), threshold=8, buckets=4)
+    for c in pdf.columns:
+        assert got[c] == pytest.approx(float(pdf[c].median())), c

@@ -322,7 +322,7 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
                 step: int = 80, gamma: float = 0.7, mode: str = "local",
                 partitions: int | None = None, seed: int = 0, init_std: float = 0.01,
                 nominal_batch: bool = False, target_scale: float = 1.0,
-                reduction: str = "mean") -> TrainResult:
+                reduction: str = "mean", rows_per_part: int = 1_000_000) -> TrainResult:
     """M5 / M17.  ``features`` is an ``array<double>`` column, ``label`` a
     number (class index for ``loss='softmax'``).  Learning rate at epoch e
     (0-based) is ``lr * gamma ** (e // step)``.  Returns the network and
@@ -337,12 +337,17 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
     if reduction not in ("mean", "sum"):
         raise ValueError("reduction must be 'mean' or 'sum'")
     sc = spark.sparkContext
-    parts = partitions or sc.defaultParallelism
     cols = [qcol(key), qcol(features).cast("array<double>").alias("__x"),
             qcol(label).cast("double").alias("__y")]
     data = train.select(*cols, F.lit(True).alias("__fit"))
     if valid is not None:
         data = data.unionByName(valid.select(*cols, F.lit(False).alias("__fit")))
+    if partitions:
+        parts = partitions
+    else:
+        # at least the cluster's parallelism, and parts of at most
+        # rows_per_part rows, so a part's per-epoch sort stays small
+        parts = max(sc.defaultParallelism, -(-data.count() // rows_per_part))
     # parts by a hash of the whole row, not the key alone: a key that holds a
     # third of the rows still spreads evenly, and the split stays a function
     # of the content (same parts on any input partitioning, after recompute)

@@ -1098,6 +1098,18 @@ def _mean_predictor_folds(spark, sf_dir):
     return models.cv_scores(models.MeanRegressor(labelCol="target"), kept, "target", 5)
 
 
+@register("m16_tree_flow_predictions")
+def m16_tree_flow_predictions(spark, sf_dir):
+    """The tree pipeline's last step: fill test from train, dummy-code train
+    and test together (with the NaN column), refit boosting on all train
+    rows, score the test rows (``id, target``)."""
+    train, test = house_parts(spark, sf_dir)
+    est = models.boosted_trees(label="target", max_iter=5, max_depth=3)
+    _, preds = house.tree_flow(spark, train, test, "id", "target", estimator=est,
+                               with_scores=False)
+    return preds
+
+
 @register("a14_fold_summary", with_house(
     "SELECT round(avg(neg_rmse), 4) AS neg_rmse_mean, round(stddev_pop(neg_rmse), 4) AS neg_rmse_std, "
     "round(avg(neg_mae), 4) AS neg_mae_mean, round(stddev_pop(neg_mae), 4) AS neg_mae_std FROM ("

@@ -136,8 +136,11 @@ def deep_flow(spark: SparkSession, train: DataFrame, test: DataFrame, key: str,
 
 def tree_flow(spark: SparkSession, train: DataFrame, test: DataFrame, key: str, target: str,
               estimator=None, k: int = 5, key_as_feature: bool = True,
-              parallelism: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Returns (fold scores: fold, n, neg_rmse, neg_mae; test predictions)."""
+              parallelism: int = 2, with_scores: bool = True
+              ) -> tuple[DataFrame | None, DataFrame]:
+    """Returns (fold scores: fold, n, neg_rmse, neg_mae, or None without
+    ``with_scores``; test predictions ``key, target`` from the model refit
+    on all train rows)."""
     kept, _ = profile.split_missing_target(train, target)
     imp = impute.Imputer(numeric="mean", exclude=(key, target)).fit(kept)
     tr_f, te_f = imp.transform(kept), imp.transform(test)
@@ -148,7 +151,8 @@ def tree_flow(spark: SparkSession, train: DataFrame, test: DataFrame, key: str,
     feats = [c for c in tr_d.columns if c != target and (c != key or key_as_feature)]
     est = estimator or models.boosted_trees(label=target, max_iter=500)
     data = split.with_folds(models.vectorize(tr_d, feats, keep=(key, target)), key, k)
-    scores = models.cv_scores(est, data, target, k, parallelism=parallelism)
+    scores = models.cv_scores(est, data, target, k, parallelism=parallelism) \
+        if with_scores else None
     preds = models.fit_score(est, data, models.vectorize(te_d, feats, keep=(key,)),
                              keep=(key,))
     return scores, preds.withColumnRenamed(models.PREDICTION, target)

@@ -124,3 +124,14 @@ def test_relu_classifier_learns_quadrants(spark, s4):
                        .alias("p"))
     acc = metrics.accuracy(scored, "p", "q").first()["accuracy"]
     assert acc == pytest.approx(res.curve[-1]["valid_accuracy"])
+
+
+def test_tree_flow_one_prediction_per_test_row(spark):
+    from tabprep.plans import house
+    train, test = tables.house_train_test(spark, SMALL)
+    est = models.boosted_trees(label="target", max_iter=3, max_depth=2)
+    scores, preds = house.tree_flow(spark, train, test, "id", "target", estimator=est, k=3)
+    rows = preds.collect()
+    assert len(rows) == test.count() and len({r["id"] for r in rows}) == len(rows)
+    assert all(r["target"] is not None for r in rows)
+    assert sorted(r["fold"] for r in scores.collect()) == [0, 1, 2]

@@ -135,3 +135,18 @@ def test_tree_flow_one_prediction_per_test_row(spark):
     assert len(rows) == test.count() and len({r["id"] for r in rows}) == len(rows)
     assert all(r["target"] is not None for r in rows)
     assert sorted(r["fold"] for r in scores.collect()) == [0, 1, 2]
+
+
+def test_same_seed_same_result(spark, s4):
+    d = _arr(s4)
+    a = sgd.train_dense(spark, d, "x", "y", (8,), key="id", epochs=2, partitions=3, seed=4)
+    b = sgd.train_dense(spark, d.repartition(5), "x", "y", (8,), key="id", epochs=2,
+                        partitions=3, seed=4)
+    # same parts on any input layout; the parts' weights are added in
+    # shuffle-read order, so only the last bits may differ
+    assert a.net.pack() == pytest.approx(b.net.pack(), rel=1e-12, abs=1e-15)
+    data = models.vectorize(s4, ["x0", "x1"], keep=("id", "y"))
+    est = models.random_forest(label="y", num_trees=5, max_depth=4, seed=9)
+    p1 = models.fit_score(est, data, data, keep=("id",)).collect()
+    p2 = models.fit_score(est, data, data, keep=("id",)).collect()
+    assert sorted(map(tuple, p1)) == sorted(map(tuple, p2))

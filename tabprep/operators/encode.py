@@ -230,7 +230,7 @@ class FittedDummies:
         return df.select(*keep, *out)
 
     def _sparse(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.feature import OneHotEncoderModel, OneHotEncoder  # noqa: F401
+        from pyspark.ml.feature import OneHotEncoder
         keep = [c for c in df.columns if c not in self.columns]
         idx_cols, out_cols = [], []
         exprs = [qcol(c) for c in keep]

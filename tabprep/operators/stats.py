@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.functions.missing import is_missing, nan_to_null, qcol
+from tabprep.functions.missing import is_missing, nan_to_null
 
 
 def _moment_aggs(df: DataFrame, cols: Sequence[str]) -> list[Column]:

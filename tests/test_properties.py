@@ -139,3 +139,25 @@ def test_median_columns_without_probes_interleaved(spark):
     got = stats.exact_medians(df, list(pdf.columns), threshold=8, buckets=4)
     for c in pdf.columns:
         assert got[c] == pytest.approx(float(pdf[c].median())), c
+
+
+def test_long_form_statistics_equal_wide(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    df = spark.range(500).select(
+        "id", *[F.when(F.col("id") % (i + 2) == 0, None).otherwise(F.col("id") * 1.0 / (i + 1))
+                .alias(f"c{i}") for i in range(6)],
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.lit("x")).alias("s"))
+    cols = [f"c{i}" for i in range(6)]
+    wide_m = stats.moments(df, cols)
+    wide_s = stats.summary(df, cols + ["s"], cols)
+    monkeypatch.setattr(stats, "WIDE", 2)
+    long_m = stats.moments(df, cols)
+    long_s = stats.summary(df, cols + ["s"], cols)
+    assert long_s[0] == wide_s[0] and long_s[1] == wide_s[1]
+    for c in cols:
+        for k in ("count", "mean", "std", "min", "max"):
+            assert long_m[c][k] == pytest.approx(wide_m[c][k], rel=1e-12)
+            assert long_s[2][c][k] == pytest.approx(wide_s[2][c][k], rel=1e-12)
+    empty = df.where(F.lit(False))
+    assert stats.summary(empty, cols + ["s"], cols)[0] == 0
+    assert stats.moments(empty, cols)["c0"]["count"] == 0

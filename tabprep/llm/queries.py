@@ -6,12 +6,55 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding
+from . import decontaminate, packing, pii, sharding
 from .common import read
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                    (F.col("n_hit") > 0).alias("contaminated")))
+
+
+OP2_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT cast(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS text
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+gram AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS text
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, gram.n, item FROM gram JOIN win USING (text)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return (pii.spans(read(spark, sf_dir, "documents"))
+            .select(F.col("id").alias("doc_id"), *[count(k) for k in pii.BASE],
+                    F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans")))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER))
 
@@ -22,5 +65,5 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
-QUERIES = {f.__name__: f for f in (op6_packing, op7_sharding)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op4_pii, op6_packing, op7_sharding)}
+ORACLE = {"op2_decontamination": OP2_SQL}

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, sharding
+from . import decontaminate, htmltext, packing, pii, sharding, toxicity
 from .common import read
+from .labelled import held_out
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 
@@ -65,5 +66,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op4_pii, op6_packing, op7_sharding)}
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model)
+            .select("doc_id", held_out().alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontamination, op4_pii, op6_packing, op7_sharding,
+                                  op8_html_text, op9_toxicity)}
 ORACLE = {"op2_decontamination": OP2_SQL}

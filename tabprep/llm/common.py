@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.session import scratch_path
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -46,3 +50,12 @@ def lower_az(column: Column) -> Column:
 def top_bits(hashed: Column, bits: int) -> Column:
     """The highest bits of a 64-bit hash: 0 .. 2**bits - 1."""
     return F.shiftrightunsigned(hashed, 64 - bits).cast("int")
+
+
+def ship(spark: SparkSession, model) -> Broadcast:
+    """A model of fixed size for all executors, with the code of its class."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shipped(sent: Broadcast):
+    return pickle.loads(sent.value)

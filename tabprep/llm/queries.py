@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, packing, pii, sharding, toxicity
+from . import decontaminate, fingerprint, htmltext, packing, pii, quality, sharding, toxicity
 from .common import read
 from .labelled import held_out
 
@@ -49,6 +49,10 @@ FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return (pii.spans(read(spark, sf_dir, "documents"))
@@ -56,6 +60,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return (quality.score(docs, model, cut=0.3)
+            .select("doc_id", held_out().alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(PACK_TOKENIZER))
 
@@ -78,6 +90,6 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op4_pii, op6_packing, op7_sharding,
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_fingerprints, op4_pii, op5_quality, op6_packing, op7_sharding,
                                   op8_html_text, op9_toxicity)}
 ORACLE = {"op2_decontamination": OP2_SQL}

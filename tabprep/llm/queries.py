@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, htmltext, packing, pii, quality, sharding, toxicity
+from . import decontaminate, fingerprint, htmltext, neardup, packing, pii, quality, sharding, toxicity
 from .common import read
 from .labelled import held_out
 
@@ -90,6 +90,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 QUERIES = {f.__name__: f for f in (op2_decontamination, op3_fingerprints, op4_pii, op5_quality, op6_packing, op7_sharding,
-                                  op8_html_text, op9_toxicity)}
+                                  op8_html_text, op9_toxicity, op10_near_duplicates)}
 ORACLE = {"op2_decontamination": OP2_SQL}

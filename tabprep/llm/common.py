@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import sys
 
@@ -59,3 +60,10 @@ def ship(spark: SparkSession, model) -> Broadcast:
 
 def shipped(sent: Broadcast):
     return pickle.loads(sent.value)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does so when
+    the driver's JVM collects the frames that nobody holds any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

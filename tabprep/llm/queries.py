@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, htmltext, neardup, packing, pii, quality, sharding, toxicity
+from . import (decontaminate, fingerprint, htmltext, neardup, packing, pii, quality, sharding,
+               substrings, toxicity)
 from .common import read
 from .labelled import held_out
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
             .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -94,6 +99,6 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_fingerprints, op4_pii, op5_quality, op6_packing, op7_sharding,
+QUERIES = {f.__name__: f for f in (op1_repeated_substrings, op2_decontamination, op3_fingerprints, op4_pii, op5_quality, op6_packing, op7_sharding,
                                   op8_html_text, op9_toxicity, op10_near_duplicates)}
 ORACLE = {"op2_decontamination": OP2_SQL}

@@ -7,17 +7,43 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabprep.llm import packing
+from tabprep.llm import decontaminate, neardup, packing, pii, toxicity
 from tabprep.llm.common import read, written
 from tabprep.llm.queries import PACK_TOKENIZER
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    return toxicity.non_toxic(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return neardup.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    return pii.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as pieces of windows of 4096 tokens."""
     return packing.pack(docs, public_tokenizers.path(PACK_TOKENIZER))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", pack)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", redact_personal),
+    ("packing", pack),
+]
 
 #: Tokens and trained scores are beyond SQL.
 ORACLE_SQL = None

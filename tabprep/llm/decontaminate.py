@@ -122,3 +122,15 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5
                     F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                     F.col("e.h").alias("text_hash")))
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, id_col: str = "doc_id",
+          text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs, with all
+    their columns."""
+    found = contaminated(docs, items, window, k, id_col, text_col, item_col, item_text)
+    hit = written(found.where("n_hit > 0").select(F.col(id_col).alias("id"), F.col("text_hash").alias("h")).distinct(),
+                  "contaminated").alias("c")
+    d = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].alias("id"),
+                    F.xxhash64(text_of(text_col)).alias("h")).alias("d")
+    return d.join(hit, F.expr("d.h = c.h and d.id <=> c.id"), "left_anti").select("row.*")

@@ -374,7 +374,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .select("hash", "n", "place", "sum"))
     marked = written(marked, "repeated-anchors")
     release(spark)
-    frequent = marked.where(F.col("sum") >= FREQUENT).select("hash").distinct().withColumn("often", F.lit(True))
+    # a few hashes for all their texts: written, so that Spark sees their size
+    # and does not deal the texts out by hash to look them up
+    frequent = written(marked.where(F.col("sum") >= FREQUENT).select("hash").distinct()
+                       .withColumn("often", F.lit(True)), "frequent-anchors")
     again = (marked.where("place >= 0").join(frequent, "hash", "left")
              .groupBy("n").agg(F.collect_set(F.struct("place", F.coalesce("often", F.lit(False)).alias("often"))).alias("at"))
              .join(firsts, "n").select("rid", "n", "at.place", "at.often"))

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Knuth's multiplicative-hash constant and its 16-bit halves.
 GOLDEN = 2654435761
@@ -43,6 +44,16 @@ def key_hash(key: Column | str, salt: int = 0) -> Column:
     return _mulhash(s)
 
 
+def row_key(df: DataFrame, key: str) -> Column:
+    """A whole number that names the row: the key itself if it is an integer,
+    else its 64-bit hash; the hash of the whole row where the key is NULL, so
+    that such rows are drawn like any other and spread evenly."""
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    k = F.col(f"`{key}`")
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.coalesce(k.cast("bigint") if whole else F.when(k.isNotNull(), F.xxhash64(k)), F.xxhash64(*hashable))
+
+
 def key_uniform(key: Column | str, salt: int = 0) -> Column:
     """Uniform draw in (0, 1) from the key hash."""
     return (key_hash(key, salt) + F.lit(0.5)) / F.lit(float(MOD32))

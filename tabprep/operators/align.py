@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabprep.functions.missing import qcol
 from tabprep.session import ensure_checkpoint_dir
@@ -39,12 +40,16 @@ def glue_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def consecutive_index(df: DataFrame, order: Sequence[Column | str],
-                      out: str = "row", partitions: int | None = None) -> DataFrame:
-    """``out`` = 0..n-1 following ``order`` (make it a total order, e.g.
-    end with a unique key).  Exact on any partitioning."""
+                      out: str = "row", rows_per_range: int = 1_000_000) -> DataFrame:
+    """``out`` = 0..n-1 following ``order``; rows that tie there follow a
+    hash of the whole row, so that a tie of any size spreads over the ranges
+    (only rows equal in every column still tie, and there it does not matter).
+    Exact on any partitioning.  One count sets the number of ranges: about
+    ``rows_per_range`` rows each, whatever the table's size."""
     ensure_checkpoint_dir(df.sparkSession)
-    cols = [qcol(c) if isinstance(c, str) else c for c in order]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashable = [qcol(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    cols = [qcol(c) if isinstance(c, str) else c for c in order] + [F.xxhash64(*hashable)]
+    n = max(1, -(-df.count() // rows_per_range))
     ordered = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
     counts = dict(ordered.groupBy(F.spark_partition_id().alias("p")).count()
                   .select("p", "count").collect())

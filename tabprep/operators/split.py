@@ -10,35 +10,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.functions.hashing import key_hash
+from tabprep.functions.hashing import key_hash, row_key
 from tabprep.operators.align import consecutive_index
 
 EPOCH_SALT = 1000
 
 
-def holdout_flag(key: str, train_pct: int = 80, salt: int = 0) -> Column:
+def holdout_flag(key: Column | str, train_pct: int = 80, salt: int = 0) -> Column:
     """True for the ``train_pct`` percent train part."""
     return F.pmod(key_hash(key, salt), F.lit(100)) < F.lit(train_pct)
 
 
 def holdout(df: DataFrame, key: str, train_pct: int = 80, salt: int = 0
             ) -> tuple[DataFrame, DataFrame]:
-    """(train part, validation part)."""
-    f = holdout_flag(key, train_pct, salt)
+    """(train part, validation part); every row is in exactly one, also
+    rows with a NULL or non-integer key (see ``row_key``)."""
+    f = holdout_flag(row_key(df, key), train_pct, salt)
     return df.where(f), df.where(~f)
 
 
-def fold_of(key: str, k: int = 5, salt: int = 1) -> Column:
+def fold_of(key: Column | str, k: int = 5, salt: int = 1) -> Column:
     """Fold number 0..k-1."""
     return F.pmod(key_hash(key, salt), F.lit(k)).cast("int")
 
 
 def with_folds(df: DataFrame, key: str, k: int = 5, salt: int = 1, out: str = "fold"
                ) -> DataFrame:
-    return df.withColumn(out, fold_of(key, k, salt))
+    """D2 on a table: every row has a fold (see ``row_key``)."""
+    return df.withColumn(out, fold_of(row_key(df, key), k, salt))
 
 
-def epoch_order(key: str, epoch: int) -> Column:
+def epoch_order(key: Column | str, epoch: int) -> Column:
     """D3: shuffle key of a row in an epoch (no ties for keys below 2^32)."""
     return key_hash(key, EPOCH_SALT + epoch)
 
@@ -57,13 +59,8 @@ def with_batches(df: DataFrame, key: str, batch_size: int, epoch: int = 0,
         raise ValueError("batch_size must be >= 1")
     if not exact:
         n_batches = max(1, -(-df.count() // batch_size))
-        return df.withColumn(out, F.pmod(epoch_order(key, epoch), F.lit(n_batches)))
-    # a key that repeats (one may hold a third of the rows) would tie and
-    # land in one range partition: the hash of the whole row breaks the tie
-    # (only byte-identical rows still tie, and their order does not matter)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ordered = df.withColumn("__order", epoch_order(key, epoch)) \
-                .withColumn("__tie", row_hash)
-    numbered = consecutive_index(ordered, ["__order", key, "__tie"], out="pos")
-    return numbered.drop("__order", "__tie").withColumn(
+        return df.withColumn(out, F.pmod(epoch_order(row_key(df, key), epoch), F.lit(n_batches)))
+    ordered = df.withColumn("__order", epoch_order(row_key(df, key), epoch))
+    numbered = consecutive_index(ordered, ["__order", key], out="pos")
+    return numbered.drop("__order").withColumn(
         out, F.floor(F.col("pos") / F.lit(batch_size)).cast("bigint"))

@@ -84,7 +84,7 @@ def test_last_batch_short(spark):
 
 def test_consecutive_index_any_partitioning(spark):
     df = spark.range(1000).repartition(7).select((F.col("id") * 3).alias("k"))
-    out = align.consecutive_index(df, ["k"], partitions=5)
+    out = align.consecutive_index(df, ["k"], rows_per_range=200)
     assert sorted((r["k"], r["row"]) for r in out.collect()) == [(3 * i, i) for i in range(1000)]
 
 

@@ -60,7 +60,7 @@ def test_consecutive_index_is_row_number(spark, n, parts, ranges):
     from pyspark.sql import functions as F
     df = spark.range(n).repartition(parts).select((F.col("id") * 7 % 1009).alias("k"),
                                                   F.col("id").alias("u"))
-    out = align.consecutive_index(df, ["k", "u"], partitions=ranges).collect()
+    out = align.consecutive_index(df, ["k", "u"], rows_per_range=max(1, n // ranges)).collect()
     ordered = sorted((r["k"], r["u"]) for r in out)
     pos = {kv: i for i, kv in enumerate(ordered)}
     assert sorted(r["row"] for r in out) == list(range(n))

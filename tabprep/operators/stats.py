@@ -245,40 +245,35 @@ def _long_doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def exact_medians(df: DataFrame, cols: Sequence[str],
                   mom: dict[str, dict] | None = None,
-                  threshold: int = 65_536, buckets: int = 1024,
-                  max_rounds: int = 64) -> dict[str, float | None]:
-    """Exact median of each column (NaN/NULL skipped), pandas convention."""
+                  threshold: int = 65_536, buckets: int = 1024) -> dict[str, float | None]:
+    """Exact median of each column (NaN/NULL skipped), pandas convention.
+
+    Each round narrows the open range that holds a wanted rank: a quantile
+    sketch (bounded memory per task) names two values around the rank, and a
+    count says exactly how many values lie below, at, between and above them.
+    A rank at one of the two is found (a value of any frequency ends the
+    search there); otherwise about three in ``buckets`` of the range's rows
+    are left.  Quantiles follow the data, so infinities or values spread over
+    hundreds of decades take no more rounds than others.  Ranges of at most
+    ``threshold`` rows are ranked by a window."""
     cols = list(cols)
     if not cols:
         return {}
     mom = mom or moments(df, cols)
     long = _long_doubles(df, cols)
     result: dict[int, dict[int, float]] = {i: {} for i in range(len(cols))}
-    # probe: values of column c within [lo, hi]; `below` values of c lie
-    # under lo; `n` values inside; `ranks` are 0-based global ranks wanted.
-    probes = []
-    for i, n in enumerate(cols):
-        cnt = mom[n]["count"] or 0
-        if cnt == 0:
-            continue
-        ranks = sorted({(cnt - 1) // 2, cnt // 2})
-        lo, hi = mom[n]["min"], mom[n]["max"]
-        if lo == hi:
-            for r in ranks:
-                result[i][r] = lo
-            continue
-        probes.append({"c": i, "lo": lo, "hi": hi, "below": 0, "n": cnt, "ranks": ranks})
-
-    rounds = 0
+    # probe: the values of column c strictly between lo and hi (None: open
+    # end); `below` values of c lie under them; `ranks` are 0-based global
+    # ranks wanted, all of them inside
+    probes = [{"c": i, "lo": None, "hi": None, "below": 0, "n": mom[n]["count"],
+               "ranks": sorted({(mom[n]["count"] - 1) // 2, mom[n]["count"] // 2})}
+              for i, n in enumerate(cols) if mom[n]["count"]]
     while probes:
-        rounds += 1
-        big = [p for p in probes if p["n"] > threshold and rounds <= max_rounds]
-        small = [p for p in probes if not (p["n"] > threshold and rounds <= max_rounds)]
+        small = [p for p in probes if p["n"] <= threshold]
         if small:
             _rank_small(long, small, result)
-        if not big:
-            break
-        probes = _refine(long, big, buckets, result)
+        large = [p for p in probes if p["n"] > threshold]
+        probes = _refine(long, large, buckets, result) if large else []
 
     out = {}
     for i, n in enumerate(cols):
@@ -306,47 +301,47 @@ def _probe_id(probes: list[dict]) -> Column:
         # columns past the last probed one get NULL: no probe
         return F.try_element_at(F.array(*[F.lit(x).cast(typ) for x in vals]), c)
 
+    def inside(lo, hi):
+        return (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
+
     lo_a, hi_a, id_a = at(slots[0], "double"), at(slots[1], "double"), at(slots[2], "int")
     lo_b, hi_b, id_b = at(slots[3], "double"), at(slots[4], "double"), at(slots[5], "int")
-    return (F.when((v >= lo_a) & (v <= hi_a), id_a)
-             .when((v >= lo_b) & (v <= hi_b), id_b))
+    return (F.when(id_a.isNotNull() & inside(lo_a, hi_a), id_a)
+             .when(id_b.isNotNull() & inside(lo_b, hi_b), id_b))
 
 
 def _refine(long: DataFrame, probes: list[dict], buckets: int,
             result: dict[int, dict[int, float]]) -> list[dict]:
-    """One bucketing round: (probe, bucket) -> count, min, max."""
-    lo = F.element_at(F.array(*[F.lit(p["lo"] / 2.0) for p in probes]), F.col("p") + 1)
-    hi = F.element_at(F.array(*[F.lit(p["hi"] / 2.0) for p in probes]), F.col("p") + 1)
-    # halves keep hi - lo finite for any pair of doubles
-    frac = (F.col("v") / 2.0 - lo) / (hi - lo)
-    bucket = F.least(F.lit(buckets - 1), F.floor(frac * buckets).cast("int"))
-    stats = (long.select("c", "v", _probe_id(probes).alias("p"))
-             .where(F.col("p").isNotNull())
-             .select("p", "v", bucket.alias("b"))
-             .groupBy("p", "b")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                  F.max("v").alias("hi"))
-             .collect())
-    per: dict[int, list] = {}
-    for r in stats:
-        per.setdefault(r["p"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
-    nxt: dict[tuple, dict] = {}
+    """One round: two values around the ranks of each probe, then the counts."""
+    cells = long.select("v", _probe_id(probes).alias("p")).where(F.col("p").isNotNull())
+    grid = [i / buckets for i in range(buckets + 1)]
+    # one row per probe: at most two per column
+    found = {r["p"]: r["q"] for r in cells.groupBy("p").agg(
+        F.percentile_approx("v", grid, 10_000).alias("q")).collect()}
+    lo, hi = [], []
+    for j, p in enumerate(probes):
+        at = [(r - p["below"]) / p["n"] * buckets for r in p["ranks"]]
+        lo.append(found[j][max(0, int(min(at)) - 1)])
+        hi.append(found[j][min(buckets, int(max(at)) + 2)])
+    a = F.element_at(F.array(*[F.lit(x) for x in lo]), F.col("p") + 1)
+    b = F.element_at(F.array(*[F.lit(x) for x in hi]), F.col("p") + 1)
+    v = F.col("v")
+    counts = {r["p"]: r for r in cells.groupBy("p").agg(
+        F.count_if(v < a).alias("under"), F.count_if(v == a).alias("low"),
+        F.count_if((v > a) & (v < b)).alias("between"),
+        F.count_if((v == b) & (a < b)).alias("high"), F.count_if(v > b).alias("over")).collect()}
+    nxt = []
     for j, p in enumerate(probes):
-        cum = p["below"]
-        for _, n, blo, bhi in sorted(per.get(j, [])):
-            for r in p["ranks"]:
-                if cum <= r < cum + n:
-                    if blo == bhi or r == cum:
-                        result[p["c"]][r] = blo
-                    elif r == cum + n - 1:
-                        result[p["c"]][r] = bhi
-                    else:
-                        k = (p["c"], blo, bhi)
-                        q = nxt.setdefault(k, {"c": p["c"], "lo": blo, "hi": bhi,
-                                               "below": cum, "n": n, "ranks": []})
-                        q["ranks"].append(r)
-            cum += n
-    return list(nxt.values())
+        r, start = counts[j], p["below"]
+        for name, x, y in (("under", p["lo"], lo[j]), ("low", lo[j], None), ("between", lo[j], hi[j]),
+                           ("high", hi[j], None), ("over", hi[j], p["hi"])):
+            ranks = [k for k in p["ranks"] if start <= k < start + r[name]]
+            if ranks and name in ("low", "high"):
+                result[p["c"]].update(dict.fromkeys(ranks, x))
+            elif ranks:
+                nxt.append({"c": p["c"], "lo": x, "hi": y, "below": start, "n": r[name], "ranks": ranks})
+            start += r[name]
+    return nxt
 
 
 def _rank_small(long: DataFrame, probes: list[dict],

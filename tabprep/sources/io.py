@@ -33,24 +33,40 @@ FLOAT_PATTERN = (r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """pandas-like type of every text column: 'bigint', 'double' or 'string'.
-    One aggregate: per column, the count of present values that do not look
-    like an integer / a number (regular expressions, JVM side; a failed
-    ``try_cast`` costs an exception per value, so casts run only on columns
-    known to parse)."""
+    """pandas-like type of every text column: 'bigint', 'decimal(20,0)' (whole
+    numbers up to 2^64 - 1), 'double' or 'string' (also for whole numbers
+    beyond that).  One aggregate: per column, the count of present values that
+    do not look like an integer / a number (regular expressions, JVM side; a
+    failed ``try_cast`` costs an exception per value, so casts run only on
+    columns known to parse), and the range of integers of 19 digits or more."""
     cols = list(columns) if columns is not None else df.columns
     aggs = []
     for i, c in enumerate(cols):
         x = qcol(c)
         aggs += [F.count_if(x.isNotNull() & ~x.rlike(INT_PATTERN)).alias(f"i{i}"),
                  F.count_if(x.isNotNull() & ~x.rlike(FLOAT_PATTERN)).alias(f"d{i}")]
+        digits = F.regexp_replace(x, r"^\s*[+-]?0*|\s*$", "")
+        wide = F.when(x.rlike(INT_PATTERN) & (F.length(digits) >= 19), digits)
+        minus = F.trim(x).startswith("-")
+        # of the longest numbers, the largest as text is the largest
+        size = F.struct(F.length(wide).alias("n"), wide.alias("v"))
+        aggs += [F.max(F.when(wide.isNotNull() & ~minus, size)).alias(f"p{i}"),
+                 F.max(F.when(wide.isNotNull() & minus, size)).alias(f"m{i}"),
+                 F.count_if(minus & x.rlike(INT_PATTERN)).alias(f"s{i}")]
     if not aggs:
         return {}
     row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
         if row[f"i{i}"] == 0:
-            out[c] = "bigint"
+            top = int(row[f"p{i}"]["v"]) if row[f"p{i}"] else 0
+            low = int(row[f"m{i}"]["v"]) if row[f"m{i}"] else 0
+            if top < 1 << 63 and low <= 1 << 63:
+                out[c] = "bigint"
+            elif top < 1 << 64 and not row[f"s{i}"]:
+                out[c] = "decimal(20,0)"
+            else:
+                out[c] = "string"
         elif row[f"d{i}"] == 0:
             out[c] = "double"
         else:

@@ -29,10 +29,11 @@ def accuracy(df: DataFrame, pred: Column | str, label: Column | str,
 
 def regression_errors(df: DataFrame, pred: Column | str, label: Column | str,
                       by: Sequence[str] = ()) -> DataFrame:
-    """N, sse, mse, half_mse, rmse, mae, neg_mae, neg_rmse."""
+    """N, sse, mse, half_mse, rmse, mae, neg_mae, neg_rmse.  Rows
+    without a prediction or a label have no error and do not count."""
     p, y = _c(pred).cast("double"), _c(label).cast("double")
     e = p - y
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
+    aggs = [F.count(e).alias("n"), F.sum(e * e).alias("sse"),
             F.sum(F.abs(e)).alias("sae")]
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     n = F.col("n").cast("double")

@@ -14,14 +14,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tabprep") -> SparkSession:
+    """``shuffle_partitions`` is only set when given: on a cluster its own
+    setting (and adaptive execution) decides."""
     builder = SparkSession.builder.appName(app_name)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master:
         builder = builder.master(master)
     spark = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -38,13 +41,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if
-    none is configured (local runs and tests)."""
+    """The session's checkpoint folder.  A machine-local one is made only
+    where none is configured and all executors are on this machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
@@ -78,20 +79,23 @@ def perceptron(layers: Sequence[int], label: str = "label", features: str = FEAT
 def random_forest(label: str = "label", features: str = FEATURES, num_trees: int = 600,
                   max_depth: int = 15, feature_subset: str = "0.3",
                   min_instances: int = 1, seed: int = 0,
-                  subsampling: float = 1.0) -> RandomForestRegressor:
+                  subsampling: float = 1.0, cache_node_ids: bool = False) -> RandomForestRegressor:
     """M6: the reference's forest is 600 trees, depth 15, 0.3 of the features
     per split, leaf 1; ``min_samples_split=5`` has no MLlib twin (nearest:
-    ``minInstancesPerNode`` on leaves) and unlimited depth is capped at 30.
-    Bootstrap sampling is MLlib's default for forests.  Deep trees cache
-    each row's node id between levels instead of shipping the trees to the
-    tasks at every level (measured: about 25% faster at depth 15, slower
-    for shallow boosting trees, so only from depth 10)."""
+    ``minInstancesPerNode`` on leaves), and trees deeper than 30 are beyond
+    MLlib (an error here, not another depth).  Bootstrap sampling is MLlib's
+    default for forests.  ``cache_node_ids`` keeps each row's node between
+    levels instead of shipping the trees to the tasks at every level
+    (measured: about 25% faster at depth 15, slower for shallow trees); the
+    trees are the same."""
+    if max_depth > 30:
+        raise ValueError("trees deeper than 30 levels are not supported")
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees,
-                                 maxDepth=min(max_depth, 30),
+                                 maxDepth=max_depth,
                                  featureSubsetStrategy=feature_subset,
                                  minInstancesPerNode=min_instances, seed=seed,
                                  subsamplingRate=subsampling,
-                                 cacheNodeIds=max_depth >= 10)
+                                 cacheNodeIds=cache_node_ids)
 
 
 def boosted_trees(label: str = "label", features: str = FEATURES, max_iter: int = 500,
@@ -147,26 +151,29 @@ def fit_score(estimator: Estimator, train: DataFrame, test: DataFrame,
 
 # ---------------------------------------------------------- fold scores
 
-def _persisted(df: DataFrame) -> DataFrame:
-    """Scanned once per fold or candidate: keep it in memory, spilling to
-    disk; lost blocks are recomputed from the (short) lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def _persisted(df: DataFrame):
+    """Scanned once per fold or candidate: kept in memory, spilling to disk,
+    until the fits are done; lost blocks are recomputed from the (short)
+    lineage."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def cv_predictions(estimator: Estimator, df: DataFrame, k: int, fold_col: str = "fold",
                    keep: Sequence[str] = (), parallelism: int = 1) -> DataFrame:
     """Out-of-fold predictions.  Fold f's model is fit on the other
-    folds and scores fold f; the k scored parts are unioned (no shuffle)."""
-    data = _persisted(df)
-
-    def one(f: int) -> DataFrame:
-        model = estimator.fit(data.where(F.col(fold_col) != f))
-        return model.transform(data.where(F.col(fold_col) == f)).select(
-            *[qcol(c) for c in keep], F.col(fold_col),
-            F.col(PREDICTION).cast("double").alias(PREDICTION))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(one, range(k)))
+    folds and scores fold f; the k scored parts are unioned (no shuffle).
+    The fits share one cache of ``df``, released when they are done; scoring
+    reads ``df`` again when the result is used."""
+    with _persisted(df) as data, ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fitted = list(pool.map(lambda f: estimator.fit(data.where(F.col(fold_col) != f)), range(k)))
+    parts = [model.transform(df.where(F.col(fold_col) == f)).select(
+        *[qcol(c) for c in keep], F.col(fold_col),
+        F.col(PREDICTION).cast("double").alias(PREDICTION)) for f, model in enumerate(fitted)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -194,29 +201,32 @@ def param_grid(estimator: Estimator, grid: dict[str, Sequence]) -> list[dict]:
 
 def grid_search(spark: SparkSession, estimator: Estimator, df: DataFrame,
                 grid: dict[str, Sequence], label: str, k: int, fold_col: str = "fold",
-                parallelism: int = 4) -> tuple[Model, DataFrame]:
-    """K-fold grid search on the fold column (D2).  Returns the best
-    model refit on all of ``df`` (smallest mean RMSE, the first on a tie)
-    and a table of one row per candidate: its parameters, mean and
-    population std of the per-fold negative RMSE, and its rank."""
+                parallelism: int = 1, metric: str = "rmse") -> tuple[Model, DataFrame]:
+    """K-fold grid search on the fold column (D2) by ``metric``
+    (``rmse`` or ``mae``).  Returns the best model refit on all of ``df``
+    (smallest mean error, the first on a tie) and a table of one row per
+    candidate: its parameters, mean and population std of the per-fold
+    negative error (``neg_<metric>_mean``, ``..._std``), and its rank."""
+    if metric not in ("rmse", "mae"):
+        raise ValueError("metric must be 'rmse' or 'mae'")
     maps = param_grid(estimator, grid)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps,
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
+                        evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
                         numFolds=k, foldCol=fold_col, parallelism=parallelism,
                         collectSubModels=False)
-    data = _persisted(df)
-    model = cv.fit(data)
+    with _persisted(df) as data:
+        model = cv.fit(data)
     names = list(grid)
     rows = []
     for i, (pm, avg, std) in enumerate(zip(maps, model.avgMetrics, model.stdMetrics)):
         vals = {p.name: pm[p] for p in pm}
         rows.append((i, *[float(vals[n]) for n in names], -float(avg), float(std)))
     schema = ", ".join(["candidate int"] + [f"`{n}` double" for n in names]
-                       + ["neg_rmse_mean double", "neg_rmse_std double"])
+                       + [f"neg_{metric}_mean double", f"neg_{metric}_std double"])
     table = spark.createDataFrame(rows, schema)
     from pyspark.sql.window import Window
     # a few hundred candidate rows at most: the single-partition window is tiny
     table = table.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.col("neg_rmse_mean").desc(), F.col("candidate"))))
+        Window.orderBy(F.col(f"neg_{metric}_mean").desc(), F.col("candidate"))))
     return model.bestModel, table
 

@@ -1,9 +1,9 @@
 """Gradient descent on tables: linear regression (M2) and dense networks
 (M5, M9, M17).
 
-M2, full batch.  The squared loss of a linear model only needs the
-sufficient statistics ``X'X``, ``X'1``, ``X'y``, ``n``, ``sum y``, ``sum y^2``;
-one aggregate over the table (partial per task, one tiny final row) gives
+M2, full batch.  The squared loss of a linear model only needs the means and
+covariances of features and label;
+two aggregates over the table (partial per task, one tiny final row) give
 them, and then any number of epochs runs on d x d numbers on the driver.
 The iterates are the ones a per-epoch pass would give (one pass instead of
 one per epoch).  ``method="pass"`` runs one aggregate per epoch instead.
@@ -53,13 +53,25 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # ------------------------------------------------------------ M2 (linear)
 
-def _gram_aggs(xs: list[Column], y: Column) -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    for i, xi in enumerate(xs):
-        aggs += [F.sum(xi).alias(f"sx{i}"), F.sum(xi * y).alias(f"sxy{i}")]
-        for j in range(i, len(xs)):
-            aggs.append(F.sum(xi * xs[j]).alias(f"sxx{i}_{j}"))
-    return aggs
+def _moments_of_pairs(df: DataFrame, xs: list[Column], y: Column
+                      ) -> tuple[int, np.ndarray, np.ndarray]:
+    """(n, means, covariance sums about the means) of the features and, last,
+    the label: one aggregate for the means and one of the summed outer
+    products of the centred row, a single array column whatever the number of
+    features.  Centring first keeps every digit when values are far from 0."""
+    cols = F.array(*xs, y)
+    d = len(xs) + 1
+    rows = df.select(cols.alias("z")).where(~F.exists("z", lambda v: v.isNull()))
+    one = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("z")[i]).alias(f"m{i}") for i in range(d)]).first()
+    mean = np.array([one[f"m{i}"] or 0.0 for i in range(d)])
+    centred = rows.select(F.zip_with("z", F.array(*[F.lit(float(m)) for m in mean]), lambda a, m: a - m).alias("z"))
+    # (place, product) pairs would be d^2 rows per row; partial sums are kept
+    # per task as one vector by MLlib's summarizer
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    outer = F.flatten(F.transform("z", lambda a: F.transform("z", lambda b: a * b)))
+    total = centred.select(array_to_vector(outer).alias("o")).select(Summarizer.sum(F.col("o")).alias("s")).first()["s"]
+    return one["n"], mean, np.array(total.toArray()).reshape(d, d)
 
 
 def linear_gd(df: DataFrame, features: Sequence[str], label: str, lr: float = 0.03,
@@ -91,21 +103,16 @@ def linear_gd(df: DataFrame, features: Sequence[str], label: str, lr: float = 0.
         for o, lo in zip(out, losses):
             o["loss"] = lo
         return out
-    s = df.agg(*_gram_aggs(xs, y)).first()
-    n = s["n"]
-    sx = np.array([s[f"sx{i}"] for i in range(d)], dtype=float)
-    sxy = np.array([s[f"sxy{i}"] for i in range(d)], dtype=float)
-    G = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            G[i, j] = G[j, i] = s[f"sxx{i}_{j}"]
-    sy, syy = s["sy"], s["syy"]
+    n, mean, cov = _moments_of_pairs(df, xs, y)
+    mx, my, cxx, cxy, cyy = mean[:d], mean[d], cov[:d, :d], cov[:d, d], cov[d, d]
     for e in range(1, epochs + 1):
-        gw = G @ w + sx * b - sxy            # sum of (p - y) x
-        gb = sx @ w + n * b - sy             # sum of (p - y)
+        off = w @ mx + b - my                  # mean residual
+        gw = cxx @ w - cxy + n * off * mx      # sum of (p - y) x
+        gb = n * off                           # sum of (p - y)
         w = w - lr * k * gw / n
         b = b - lr * k * gb / n
-        sse = w @ G @ w + 2 * b * (sx @ w) + n * b * b - 2 * (w @ sxy) - 2 * b * sy + syy
+        off = w @ mx + b - my
+        sse = w @ cxx @ w - 2 * (w @ cxy) + cyy + n * off * off
         loss = sse / n / (2.0 if half else 1.0)
         out.append({"epoch": e, "w": w.tolist(), "b": float(b), "loss": float(loss)})
     return out
@@ -322,7 +329,7 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
                 step: int = 80, gamma: float = 0.7, mode: str = "local",
                 partitions: int | None = None, seed: int = 0, init_std: float = 0.01,
                 nominal_batch: bool = False, target_scale: float = 1.0,
-                reduction: str = "mean", rows_per_part: int = 1_000_000) -> TrainResult:
+                reduction: str = "mean", rows_per_part: int = 100_000) -> TrainResult:
     """M5 / M17.  ``features`` is an ``array<double>`` column, ``label`` a
     number (class index for ``loss='softmax'``).  Learning rate at epoch e
     (0-based) is ``lr * gamma ** (e // step)``.  Returns the network and
@@ -342,16 +349,15 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
     data = train.select(*cols, F.lit(True).alias("__fit"))
     if valid is not None:
         data = data.unionByName(valid.select(*cols, F.lit(False).alias("__fit")))
-    if partitions:
-        parts = partitions
-    else:
-        # at least the cluster's parallelism, and parts of at most
-        # rows_per_part rows, so a part's per-epoch sort stays small
-        parts = max(sc.defaultParallelism, -(-data.count() // rows_per_part))
+    # the number of parts belongs to the model (local mode averages over
+    # them): given, or from the rows a part is to hold, never from the cluster
+    parts = partitions or max(1, -(-data.count() // rows_per_part))
     # parts by a hash of the whole row, not the key alone: a key that holds a
     # third of the rows still spreads evenly, and the split stays a function
-    # of the content (same parts on any input partitioning, after recompute)
-    spread = F.pmod(F.xxhash64(qcol(key), F.col("__x"), F.col("__y")), F.lit(parts))
+    # of the content (same parts on any input partitioning, after recompute).
+    # Spark reduces the 64-bit hash to parts itself: reduced before, it would
+    # be hashed again and leave parts empty
+    spread = F.xxhash64(qcol(key), F.col("__x"), F.col("__y"))
     data = data.repartition(parts, spread).persist(StorageLevel.MEMORY_AND_DISK)
     first = data.select("__x").first()
     if first is None:
@@ -370,7 +376,7 @@ def train_dense(spark: SparkSession, train: DataFrame, features: str, label: str
             part = data.sortWithinPartitions(epoch_order(key, e), qcol(key)) \
                 if (train_now and mode == "local") else data
             got = _combine(part.mapInPandas(fn, OUT_SCHEMA), parts)
-            bc.unpersist()
+            bc.destroy()
             m = [float(v) for v in got.pop(-1)[1]]
             n_fit, sse_fit, n_val, sse_val = m
             if e > 0 and loss == "softmax":
@@ -423,7 +429,8 @@ def dense_score(spark: SparkSession, net: DenseNet, features: Column | str,
 def linear_sgd(spark: SparkSession, df: DataFrame, features: Sequence[str], label: str, *,
                key: str, lr: float = 0.03, epochs: int = 3, batch_size: int = 10,
                half: bool = True, nominal_batch: bool = True, partitions: int | None = None,
-               valid: DataFrame | None = None, seed: int = 0) -> TrainResult:
+               valid: DataFrame | None = None, seed: int = 0,
+               rows_per_part: int = 100_000) -> TrainResult:
     """M2 with mini-batches: the dense job with no hidden layer.  Batches
     follow each epoch's key-hash order inside every part; the step divides
     the batch's gradient sum by the nominal batch size, also on a short last
@@ -436,4 +443,5 @@ def linear_sgd(spark: SparkSession, df: DataFrame, features: Sequence[str], labe
     return train_dense(spark, data, "__feat", label, (), key=key, valid=val,
                        loss="half_mse" if half else "mse", lr=lr, epochs=epochs,
                        batch_size=batch_size, step=0, mode="local", partitions=partitions,
+                       rows_per_part=rows_per_part,
                        seed=seed, nominal_batch=nominal_batch)

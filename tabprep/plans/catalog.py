@@ -110,6 +110,11 @@ def house_parts(spark, sf_dir):
     return tables.house_train_test(spark, sf_dir)
 
 
+def whole_house(spark, sf_dir):
+    """Train and test rows together, features only."""
+    return tables.house_like(spark, sf_dir).drop("origin", "target")
+
+
 def union_sql(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -167,10 +172,10 @@ def p6_row_numbers(spark, sf_dir):
     return align.consecutive_index(h, ["id"], out="row")
 
 
-@register("p7_drop_columns", with_house("SELECT * EXCLUDE (rare, const) FROM test"))
+@register("p7_drop_columns", with_house("SELECT * EXCLUDE (rare, const, target), CASE WHEN origin = 'train' THEN target END AS target FROM house"))
 def p7_drop_columns(spark, sf_dir):
     train, test = house_parts(spark, sf_dir)
-    return profile.drop_columns(train, test, columns=["rare", "const"])[1]
+    return align.stack_tagged(*profile.drop_columns(train, test, columns=["rare", "const"]))
 
 
 def _fit_standard(spark, sf_dir, keep_target_separate=True, method="standardize"):
@@ -313,19 +318,17 @@ def f4_fill_from_other(spark, sf_dir):
 
 @register("f5_constant_fill", with_house(
     "SELECT id, acctbal, nation, " + ", ".join(
-        f"coalesce({c}, 'missing_value') AS {c}" for c in CAT_FEATS) + ", const FROM test"))
+        f"coalesce({c}, 'missing_value') AS {c}" for c in CAT_FEATS) + ", const FROM house"))
 def f5_constant_fill(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return impute.fill_constant(test)
+    return impute.fill_constant(whole_house(spark, sf_dir))
 
 
 @register("f6_empty_to_missing", with_house(
     "SELECT id, acctbal, nation, " + ", ".join(
         f"CASE WHEN {c} = '' THEN 'missing_value' ELSE {c} END AS {c}" for c in CAT_FEATS)
-    + ", const FROM test"))
+    + ", const FROM house"))
 def f6_empty_to_missing(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return impute.empty_to_missing(test)
+    return impute.empty_to_missing(whole_house(spark, sf_dir))
 
 
 # ------------------------------------------------ F7-F14 scale and encode
@@ -419,6 +422,20 @@ def f12_target_scaled(spark, sf_dir):
     return fitted.transform(train).select("id", rnd(F.col("target")).alias("target"))
 
 
+@register("f12_target_normalized", with_house(
+    f"SELECT id, round((target - (SELECT min(target) FROM train)) / "
+    f"(SELECT max(target) - min(target) FROM train), {R}) AS target FROM train"))
+def f12_target_normalized(spark, sf_dir):
+    fitted, train, _ = _fit_standard(spark, sf_dir, keep_target_separate=False, method="normalize")
+    return fitted.transform(train).select("id", rnd(F.col("target")).alias("target"))
+
+
+@register("f12_target_none", with_house("SELECT id, target FROM train"))
+def f12_target_none(spark, sf_dir):
+    fitted, train, _ = _fit_standard(spark, sf_dir, keep_target_separate=False, method="none")
+    return fitted.transform(train).select("id", "target")
+
+
 @register("f12_target_constants", with_house(
     f"SELECT round(stddev_pop(target), {R}) AS sigma, round(avg(target), {R}) AS mu FROM train"))
 def f12_target_constants(spark, sf_dir):
@@ -453,59 +470,52 @@ def _dummy_sql(cols_vals: dict[str, list[str]], prefix=None, sep="_", dummy_na=F
     return ", ".join(out)
 
 
-# categories of the test part (MACHINERY present, '' is a value of priority)
-TEST_VALUES = {"segment": SEGMENTS, "priority": sorted([""] + PRIORITIES),
+# categories of the whole table ('' is a value of priority)
+HOUSE_VALUES = {"segment": SEGMENTS, "priority": sorted([""] + PRIORITIES),
                "status": STATUSES, "rare": PRIORITIES}
-TEST_OTHERS = "id, acctbal, nation, const"
+HOUSE_OTHERS = "id, acctbal, nation, const"
 
 
-@register("f15_dummies", with_house(f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES)} FROM test"))
+@register("f15_dummies", with_house(f"SELECT {HOUSE_OTHERS}, {_dummy_sql(HOUSE_VALUES)} FROM house"))
 def f15_dummies(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test)
+    return encode.dummies(whole_house(spark, sf_dir))
 
 
 @register("f15a_dummy_na", with_house(
-    f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES, dummy_na=True)} FROM test"))
+    f"SELECT {HOUSE_OTHERS}, {_dummy_sql(HOUSE_VALUES, dummy_na=True)} FROM house"))
 def f15a_dummy_na(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test, dummy_na=True)
+    return encode.dummies(whole_house(spark, sf_dir), dummy_na=True)
 
 
 @register("f15b_drop_first", with_house(
-    f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES, drop_first=True)} FROM test"))
+    f"SELECT {HOUSE_OTHERS}, {_dummy_sql(HOUSE_VALUES, drop_first=True)} FROM house"))
 def f15b_drop_first(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test, drop_first=True)
+    return encode.dummies(whole_house(spark, sf_dir), drop_first=True)
 
 
 @register("f15c_prefix", with_house(
-    f"SELECT {TEST_OTHERS}, "
-    f"{_dummy_sql(TEST_VALUES, prefix={'segment': 'seg', 'priority': 'pri'}, sep='=')} FROM test"))
+    f"SELECT {HOUSE_OTHERS}, "
+    f"{_dummy_sql(HOUSE_VALUES, prefix={'segment': 'seg', 'priority': 'pri'}, sep='=')} FROM house"))
 def f15c_prefix(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test, prefix={"segment": "seg", "priority": "pri"}, prefix_sep="=")
+    return encode.dummies(whole_house(spark, sf_dir), prefix={"segment": "seg", "priority": "pri"}, prefix_sep="=")
 
 
 @register("f15d_columns", with_house(
     "SELECT id, acctbal, nation, segment, priority, rare, const, "
-    f"{_dummy_sql({'status': STATUSES})} FROM test"))
+    f"{_dummy_sql({'status': STATUSES})} FROM house"))
 def f15d_columns(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test, columns=["status"])
+    return encode.dummies(whole_house(spark, sf_dir), columns=["status"])
 
 
 @register("f15e_dtype_int32", with_house(
-    f"SELECT {TEST_OTHERS}, {_dummy_sql(TEST_VALUES, cast='INTEGER')} FROM test"))
+    f"SELECT {HOUSE_OTHERS}, {_dummy_sql(HOUSE_VALUES, cast='INTEGER')} FROM house"))
 def f15e_dtype_int32(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test, dtype="int32")
+    return encode.dummies(whole_house(spark, sf_dir), dtype="int32")
 
 
 @register("f15f_sparse")
 def f15f_sparse(spark, sf_dir):
-    _, test = house_parts(spark, sf_dir)
-    return encode.dummies(test, dummy_na=True, sparse=True)
+    return encode.dummies(whole_house(spark, sf_dir), dummy_na=True, sparse=True)
 
 
 def _dummy_array_sql(cols_vals: dict[str, list[str]]) -> str:
@@ -518,12 +528,12 @@ def _dummy_array_sql(cols_vals: dict[str, list[str]]) -> str:
 
 
 @register("f15f_sparse_as_arrays", with_house(
-    f"SELECT {TEST_OTHERS}, {_dummy_array_sql(TEST_VALUES)} FROM test"))
+    f"SELECT {HOUSE_OTHERS}, {_dummy_array_sql(HOUSE_VALUES)} FROM house"))
 def f15f_sparse_as_arrays(spark, sf_dir):
     """F15f's sparse vectors read back as arrays, so SQL can check them."""
     from pyspark.ml.functions import vector_to_array
     sp = f15f_sparse(spark, sf_dir)
-    return sp.select(*[vector_to_array(c).alias(c) if c in TEST_VALUES else F.col(c)
+    return sp.select(*[vector_to_array(c).alias(c) if c in HOUSE_VALUES else F.col(c)
                        for c in sp.columns])
 
 
@@ -532,11 +542,12 @@ JOINT_VALUES = {"segment": SEGMENTS, "priority": sorted([""] + PRIORITIES),
 
 
 @register("f16_joint_encoding", with_house(
-    "SELECT id, acctbal, nation, const, CAST(NULL AS DOUBLE) AS target, "
-    f"{_dummy_sql(JOINT_VALUES, dummy_na=True, cast='INTEGER')} FROM test"))
+    "SELECT id, acctbal, nation, const, CASE WHEN origin = 'train' THEN target END AS target, origin, "
+    f"{_dummy_sql(JOINT_VALUES, dummy_na=True, cast='INTEGER')} FROM house"))
 def f16_joint_encoding(spark, sf_dir):
+    """Both halves, each as it is taken back out of the stack."""
     train, test = house_parts(spark, sf_dir)
-    return encode.joint_dummies(train, test, dummy_na=True, dtype="int32")[1]
+    return align.stack_tagged(*encode.joint_dummies(train, test, dummy_na=True, dtype="int32"))
 
 
 # ------------------------------------------------- F17-F19 image / vector
@@ -907,7 +918,7 @@ def m2_sgd_minibatch(spark, sf_dir):
     s4 = _s4(spark, sf_dir)
     fit_part, val_part = split.holdout(s4, "id", 80)
     res = sgd.linear_sgd(spark, fit_part, ["x0", "x1"], "y", key="id", valid=val_part,
-                         lr=M2_LR, epochs=M2_EPOCHS, batch_size=10, partitions=8)
+                         lr=M2_LR, epochs=M2_EPOCHS, batch_size=10, rows_per_part=20_000)
     return spark.createDataFrame(
         [(c["epoch"], c["train_rmse"], c["valid_rmse"]) for c in res.curve],
         "epoch int, train_rmse double, valid_rmse double")
@@ -932,7 +943,7 @@ def m3_softmax_fit(spark, sf_dir):
 def m4_perceptron_fit(spark, sf_dir):
     fit_part, test_part = _embedding_parts(spark, sf_dir)
     dim = len(fit_part.select("features").first()[0])
-    est = models.perceptron([dim, 32, N_CLASSES], label="label", max_iter=50)
+    est = models.perceptron([dim, 256, N_CLASSES], label="label", max_iter=50)
     return models.fit_score(est, fit_part, test_part, keep=("vec_id", "label"))
 
 
@@ -943,7 +954,7 @@ def _sgd_classifier(spark, sf_dir, hidden, lr, step, reduction):
     res = sgd.train_dense(spark, fit_part, "x", "label", hidden, key="vec_id",
                           valid=test_part, out_dim=N_CLASSES, loss="softmax", lr=lr,
                           epochs=10, batch_size=256, step=step, gamma=0.2,
-                          reduction=reduction, partitions=4)
+                          reduction=reduction, rows_per_part=5_000)
     return spark.createDataFrame(
         [(c["epoch"], c["train_accuracy"], c["valid_accuracy"]) for c in res.curve],
         "epoch int, train_accuracy double, valid_accuracy double")
@@ -966,10 +977,14 @@ def m4_relu_perceptron_sgd(spark, sf_dir):
 
 # ------------------------------------------- house design for the learners
 
+# filled from train; missing segments stay a category of their own
+FILLED = ["acctbal", "nation", "const", "priority", "status"]
+
+
 def _design(spark, sf_dir, keep_target_separate=True):
     train, test = house_parts(spark, sf_dir)
     return house.prepare(train, test, "id", "target", alpha=0.5,
-                         keep_target_separate=keep_target_separate)
+                         keep_target_separate=keep_target_separate, fill=FILLED)
 
 
 def _design_vectors(spark, sf_dir):
@@ -979,16 +994,55 @@ def _design_vectors(spark, sf_dir):
     return tr, te
 
 
+def _flagship_sql() -> str:
+    """Both parts as ``prepare`` leaves them; ``rare`` is pruned."""
+    mode = ("(SELECT {c} FROM kept WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)")
+    cols = [f"coalesce(CAST({c} AS DOUBLE), (SELECT CAST(median({c}) AS DOUBLE) FROM kept)) AS {c}"
+            for c in NUM_FEATS]
+    cols += [f"coalesce({c}, {mode.format(c=c)}) AS {c}" for c in ("priority", "status")] + ["segment"]
+    out = [f"round(({c} - (SELECT avg({c}) FROM ftrain)) / (SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1.0 "
+           f"ELSE stddev_pop({c}) END FROM ftrain), {R}) AS {q('num__' + c)}" for c in NUM_FEATS]
+    seen = _train_categories()
+    for c in ("segment", "priority", "status"):
+        out += [f"CAST(coalesce(nullif({c}, ''), 'missing_value') = {lit(v)} AS DOUBLE) AS {q(f'cat__{c}_{v}')}"
+                for v in seen[c]]
+    return with_house(
+        f"SELECT 'train' AS origin, id, target, {', '.join(out)} FROM ftrain UNION ALL "
+        f"SELECT 'test' AS origin, id, NULL AS target, {', '.join(out)} FROM ftest",
+        ",\nkept AS (SELECT * FROM train WHERE target IS NOT NULL),\n"
+        f"ftrain AS (SELECT id, target, {', '.join(cols)} FROM kept),\n"
+        f"ftest AS (SELECT id, {', '.join(cols)} FROM test)")
+
+
+@register("flagship", _flagship_sql())
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train-fitted preparation of the house-like test table: drop rows
-    without target, prune sparse columns, fill, scale and one-hot."""
-    return _design(spark, sf_dir).test
+    """Train-fitted preparation of the house-like tables: drop rows without
+    target, prune sparse columns, fill the named columns, scale, one-hot."""
+    d = _design(spark, sf_dir)
+    return _rounded(align.stack_tagged(d.train, d.test), [f"num__{c}" for c in NUM_FEATS])
+
+
+def _tree_sql() -> str:
+    num = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM kept)), {R}) AS {c}"
+                    for c in NUM_FEATS)
+    dummies = _dummy_sql(JOINT_VALUES, dummy_na=True, cast="INTEGER")
+    return with_house(
+        f"SELECT 'train' AS origin, id, target, {num}, {dummies} FROM kept UNION ALL "
+        f"SELECT 'test' AS origin, id, NULL AS target, {num}, {dummies} FROM test",
+        ",\nkept AS (SELECT * FROM train WHERE target IS NOT NULL)")
+
+
+@register("tree_preparation", _tree_sql())
+def tree_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tree learners see: numbers filled from train means, categories
+    dummy-coded together, missing ones flagged in their ``_nan`` columns."""
+    train, test = house_parts(spark, sf_dir)
+    return _rounded(align.stack_tagged(*house.tree_design(train, test, "id", "target")), NUM_FEATS)
 
 
 # small settings for the registered queries; the reference's sizes stay
 # the function defaults (600 trees, 500 rounds, 128 epochs, full grids)
-DEEP = dict(hidden=(32, 16), lr=0.05, epochs=4, batch_size=64, step=80, gamma=0.7,
-            partitions=8)
+DEEP = dict(hidden=(32, 16), lr=0.05, epochs=4, batch_size=64, step=80, gamma=0.7, fill=FILLED)
 
 
 @register("m5_dense_regressor")
@@ -1008,14 +1062,14 @@ def m17_train_valid_curve(spark, sf_dir):
 @register("m6_forest_fit")
 def m6_forest_fit(spark, sf_dir):
     tr, te = _design_vectors(spark, sf_dir)
-    est = models.random_forest(label="target", num_trees=20, max_depth=8)
+    est = models.random_forest(label="target", num_trees=20, max_depth=15, cache_node_ids=True)
     return models.fit_score(est, tr, te, keep=("id",))
 
 
 @register("m7_boosting_fit")
 def m7_boosting_fit(spark, sf_dir):
     tr, te = _design_vectors(spark, sf_dir)
-    est = models.boosted_trees(label="target", max_iter=10, max_depth=3)
+    est = models.boosted_trees(label="target", max_iter=10)
     return models.fit_score(est, tr, te, keep=("id",))
 
 
@@ -1043,7 +1097,7 @@ def m1_linear_part(spark, sf_dir):
 @register("m6_forest_part")
 def m6_forest_part(spark, sf_dir):
     fit_part, test_part = _part_parts(spark, sf_dir)
-    est = models.random_forest(label="p_retailprice", num_trees=50, max_depth=15)
+    est = models.random_forest(label="p_retailprice", num_trees=50, max_depth=15, cache_node_ids=True)
     return models.fit_score(est, fit_part, test_part, keep=("p_partkey",))
 
 
@@ -1086,7 +1140,7 @@ def m13_cv_mean_predictor(spark, sf_dir):
 @register("m13_cv_boosting")
 def m13_cv_boosting(spark, sf_dir):
     train, test = house_parts(spark, sf_dir)
-    est = models.boosted_trees(label="target", max_iter=5, max_depth=3)
+    est = models.boosted_trees(label="target", max_iter=5)
     scores, _ = house.tree_flow(spark, train, test, "id", "target", estimator=est, k=5)
     return scores
 
@@ -1104,7 +1158,7 @@ def m16_tree_flow_predictions(spark, sf_dir):
     and test together (with the NaN column), refit boosting on all train
     rows, score the test rows (``id, target``)."""
     train, test = house_parts(spark, sf_dir)
-    est = models.boosted_trees(label="target", max_iter=5, max_depth=3)
+    est = models.boosted_trees(label="target", max_iter=5)
     _, preds = house.tree_flow(spark, train, test, "id", "target", estimator=est,
                                with_scores=False)
     return preds
@@ -1140,20 +1194,20 @@ def a13_neg_scorers(spark, sf_dir):
 @register("m14_grid_forest")
 def m14_grid_forest(spark, sf_dir):
     tr, _ = _design_vectors(spark, sf_dir)
-    data = split.with_folds(tr, "id", 3)
+    data = split.with_folds(tr, "id", 5)
     est = models.random_forest(label="target", num_trees=4, max_depth=4)
     _, table = models.grid_search(spark, est, data, {"numTrees": [4, 8], "maxDepth": [3, 5]},
-                                  "target", 3)
+                                  "target", 5, metric="mae", parallelism=2)
     return table
 
 
 @register("m15_grid_boosting")
 def m15_grid_boosting(spark, sf_dir):
     tr, _ = _design_vectors(spark, sf_dir)
-    data = split.with_folds(tr, "id", 3)
-    est = models.boosted_trees(label="target", max_iter=3, max_depth=2)
+    data = split.with_folds(tr, "id", 5)
+    est = models.boosted_trees(label="target", max_iter=3, max_depth=5)
     _, table = models.grid_search(spark, est, data, {"maxIter": [3, 6], "stepSize": [0.05, 0.1]},
-                                  "target", 3)
+                                  "target", 5, parallelism=2)
     return table
 
 

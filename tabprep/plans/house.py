@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.kinds import split_kinds
-from tabprep.functions.missing import MISSING_LABEL, qcol
+from tabprep.functions.missing import MISSING_LABEL, is_missing, qcol
 from tabprep.operators import encode, impute, profile, split, stats
 from tabprep.plans import models, sgd
 
@@ -46,8 +46,12 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
             alpha: float = 0.4, numeric_fill: str = "median",
             numeric_method: str = "standardize",
             keep_target_separate: bool = True,
-            max_categories: int | None = 100_000) -> Design:
-    """P1 + F1 + F2 + F7-F12 with shared passes over the train table:
+            max_categories: int | None = 100_000,
+            fill: Sequence[str] | None = None, persist: bool = False) -> Design:
+    """P1 + F1 + F2 + F7-F12 with shared passes over the train table.
+    ``fill`` names the columns filled from train statistics (default: the
+    numeric ones); other missing categories stay a category of their own and
+    other missing numbers stay missing.
 
     1. one aggregate: row count, missing count of every feature (the F1
        profile) and moments of the numeric ones and the target (mean fill,
@@ -62,9 +66,9 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
     ``TableEncoder.fit``) up to floating rounding."""
     kept, _ = profile.split_missing_target(train, target)
     feats = [c for c in kept.columns if c not in (key, target)]
-    # fitting reads the train table three or four times: keep it for the
-    # fitting phase only; the returned tables recompute from source
-    cached = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    # fitting reads a few columns of the train table three or four times; by
+    # default it scans them again, `persist` keeps the whole table meanwhile
+    cached = kept.persist(StorageLevel.MEMORY_AND_DISK) if persist else kept
     try:
         num, cat = split_kinds(cached, feats)
         rows, missing, mom = stats.summary(cached, feats, num + [target])
@@ -79,27 +83,31 @@ def prepare(train: DataFrame, test: DataFrame, key: str, target: str,
         cat = [c for c in cat if c not in sparse]
         counts = stats.category_counts(cached, cat, max_categories)
         modes = {c: stats.mode_of(counts[c]) for c in cat}
-        imp = impute.Imputer(numeric=numeric_fill, exclude=(key, target)).fit(
+        filled = [c for c in num + cat if c in (num if fill is None else fill)]
+        imp = impute.Imputer(numeric=numeric_fill, columns=filled).fit(
             tr, moments=mom, modes=modes)
-        cats = {c: _categories_after_fill(counts[c], modes[c], rows) for c in cat}
-        filled_mom = {n: stats.moments_after_fill(mom[n], imp.numeric[n], rows) for n in num}
+        cats = {c: _categories_seen(counts[c], missing[c] > 0 and (c not in filled or modes[c] is None))
+                for c in cat}
+        filled_mom = {n: stats.moments_after_fill(mom[n], imp.numeric[n], rows) if n in filled else mom[n]
+                      for n in num}
         filled_mom[target] = mom[target]
         enc = encode.TableEncoder(numeric_method, keep_target_separate, target=target,
                                   key=key, max_categories=max_categories
                                   ).fit(imp.transform(tr), categories=cats, moments=filled_mom)
     finally:
-        cached.unpersist()
+        if persist:
+            cached.unpersist()
     tr_f, te_f = imp.transform(tr), imp.transform(te)
     return Design(enc.transform(tr_f), enc.transform(te_f), enc.output_columns, enc,
                   imp, dropped, key, target)
 
 
-def _categories_after_fill(counts: dict[str, int], mode: str | None, rows: int) -> list[str]:
-    """Sorted categories of a column after the mode fill (F2), the constant
-    fill (F5) and empty -> label (F6): the mode is one of the values, an
-    all-missing column becomes the label, and so does the empty string."""
+def _categories_seen(counts: dict[str, int], some_missing: bool) -> list[str]:
+    """Sorted categories of a column after the mode fill where it applies
+    (F2; the mode is one of the values), the constant fill of what is still
+    missing (F5) and empty -> label (F6)."""
     vals = {MISSING_LABEL if v == "" else v for v in counts}
-    if mode is None and rows > 0:
+    if some_missing:
         vals.add(MISSING_LABEL)
     return sorted(vals)
 
@@ -115,10 +123,11 @@ def deep_flow(spark: SparkSession, train: DataFrame, test: DataFrame, key: str,
               hidden: Sequence[int] = (1024, 512, 256, 64), lr: float = 0.2,
               epochs: int = 128, batch_size: int = 64, step: int = 80, gamma: float = 0.7,
               alpha: float = 0.4, partitions: int | None = None, seed: int = 0,
-              mode: str = "local") -> tuple[DataFrame, DataFrame]:
+              mode: str = "local", fill: Sequence[str] | None = None,
+              ) -> tuple[DataFrame, DataFrame]:
     """Returns (test predictions ``key, target`` on the original scale,
     train/validation curve one row per epoch)."""
-    d = prepare(train, test, key, target, alpha, keep_target_separate=False)
+    d = prepare(train, test, key, target, alpha, keep_target_separate=False, fill=fill)
     tr = with_feature_array(d.train, d.features)
     te = with_feature_array(d.test, d.features)
     fit_part, val_part = split.holdout(tr, key, 80)
@@ -134,20 +143,43 @@ def deep_flow(spark: SparkSession, train: DataFrame, test: DataFrame, key: str,
     return preds, curve
 
 
+def tree_design(train: DataFrame, test: DataFrame, key: str, target: str,
+                fill_train: Sequence[str] | None = None, fill_test: Sequence[str] | None = None,
+                numeric_missing: str = "impute") -> tuple[DataFrame, DataFrame]:
+    """F4 + F16: (train rows with a target, test rows), filled and dummy-coded
+    together with a ``_nan`` column per category.  ``fill_train`` and
+    ``fill_test`` name the columns filled from train means and modes (default:
+    the numeric ones, which the trees need; a list replaces that); a missing
+    category that is not listed keeps its meaning in the ``_nan`` column.
+    ``numeric_missing="indicator"`` also adds ``<column>_isna`` for numeric
+    columns, as it was before the fill."""
+    if numeric_missing not in ("impute", "indicator"):
+        raise ValueError("numeric_missing must be 'impute' or 'indicator'")
+    kept, _ = profile.split_missing_target(train, target)
+    num, _ = split_kinds(kept, [c for c in kept.columns if c not in (key, target)])
+
+    def filled(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+        imp = impute.Imputer(numeric="mean", columns=list(num if columns is None else columns)).fit(kept)
+        if numeric_missing == "indicator":
+            df = df.select("*", *[is_missing(df, c).cast("int").alias(f"{c}_isna") for c in num])
+        return imp.transform(df)
+
+    # the target rides along in the stack (test gets NULL there), so the
+    # indicator columns line up without any join back
+    tr_d, te_d = encode.joint_dummies(filled(kept, fill_train), filled(test, fill_test),
+                                      dummy_na=True, dtype="int32")
+    return tr_d, te_d.drop(target)
+
+
 def tree_flow(spark: SparkSession, train: DataFrame, test: DataFrame, key: str, target: str,
               estimator=None, k: int = 5, key_as_feature: bool = True,
-              parallelism: int = 2, with_scores: bool = True
-              ) -> tuple[DataFrame | None, DataFrame]:
+              parallelism: int = 1, with_scores: bool = True,
+              fill_train: Sequence[str] | None = None, fill_test: Sequence[str] | None = None,
+              numeric_missing: str = "impute") -> tuple[DataFrame | None, DataFrame]:
     """Returns (fold scores: fold, n, neg_rmse, neg_mae, or None without
     ``with_scores``; test predictions ``key, target`` from the model refit
     on all train rows)."""
-    kept, _ = profile.split_missing_target(train, target)
-    imp = impute.Imputer(numeric="mean", exclude=(key, target)).fit(kept)
-    tr_f, te_f = imp.transform(kept), imp.transform(test)
-    # the target rides along in the stack (test gets NULL there), so the
-    # indicator columns line up without any join back
-    tr_d, te_d = encode.joint_dummies(tr_f, te_f, dummy_na=True, dtype="int32")
-    te_d = te_d.drop(target)
+    tr_d, te_d = tree_design(train, test, key, target, fill_train, fill_test, numeric_missing)
     feats = [c for c in tr_d.columns if c != target and (c != key or key_as_feature)]
     est = estimator or models.boosted_trees(label=target, max_iter=500)
     data = split.with_folds(models.vectorize(tr_d, feats, keep=(key, target)), key, k)

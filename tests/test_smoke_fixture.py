@@ -96,7 +96,8 @@ def test_prepare_shared_passes_equal_separate_operators(spark):
     from tabprep.sources import tables
     from conftest import SMALL
     train, test = tables.house_train_test(spark, SMALL)
-    d = house.prepare(train, test, "id", "target", alpha=0.5, keep_target_separate=False)
+    every = ["acctbal", "nation", "const", "segment", "priority", "status"]
+    d = house.prepare(train, test, "id", "target", alpha=0.5, keep_target_separate=False, fill=every)
     kept, _ = profile.split_missing_target(train, "target")
     dropped, tr, te = profile.prune_sparse_columns(kept, test, 0.5, target="target", key="id")
     assert sorted(map(tuple, d.dropped.collect())) == sorted(map(tuple, dropped.collect()))
@@ -119,7 +120,21 @@ def test_prepare_on_smoke_pair(pair):
                        .monotonically_increasing_id())
     tr = tr.select("k", "Age", "Salary", "Department", "City", "Satisfaction_Score")
     te = te.withColumn("k", __import__("pyspark.sql.functions", fromlist=["x"]).lit(0))
-    d = house.prepare(tr, te, "k", "Satisfaction_Score", alpha=0.5)
+    d = house.prepare(tr, te, "k", "Satisfaction_Score", alpha=0.5,
+                      fill=["Age", "Salary", "Department", "City"])
     assert d.features == [
         "num__Age", "num__Salary", "cat__Department_HR", "cat__Department_IT",
         "cat__Department_Sales", "cat__City_Kyoto", "cat__City_Osaka", "cat__City_Tokyo"]
+
+
+def test_prepare_keeps_unlisted_missing_categories(spark):
+    """A missing category that is not filled stays a category of its own."""
+    from tabprep.plans import house
+    from tabprep.sources import tables
+    from conftest import SMALL
+    train, test = tables.house_train_test(spark, SMALL)
+    d = house.prepare(train, test, "id", "target", alpha=0.5)
+    assert d.train.where("cat__segment_missing_value = 1").count() > 0
+    tr, te = house.tree_design(train, test, "id", "target", numeric_missing="indicator")
+    assert tr.where("segment_nan = 1").count() > 0 and te.where("rare_nan = 1").count() > 0
+    assert tr.where("acctbal_isna = 1").count() == train.where("target IS NOT NULL AND acctbal IS NULL").count()

@@ -146,12 +146,14 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     keys = written(texts.mapInPandas(sketch, "node binary, keys array<long>"), "sketches")
     rows = keys.dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
     rows = written(rows, "sketch-rows")
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the joins below are planned (and split, where a sketch
+    # is hot) for themselves and not upon the exchange of the aggregate
+    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-sketches")
     grouped = written(rows.join(shared, "key"), "sketch-groups")
     support = grouped.groupBy("node").agg(F.sum("n").alias("support"))
-    centre = (grouped.join(support, "node")
-              .groupBy("key").agg(F.max(F.struct("support", "node")).alias("best"))
-              .select("key", F.col("best.node").alias("centre")))
+    supported = written(grouped.join(support, "node").select("key", "support", "node"), "supported")
+    centre = written(supported.groupBy("key").agg(F.max(F.struct("support", "node")).alias("best"))
+                     .select("key", F.col("best.node").alias("centre")), "centres")
     pairs = written(grouped.join(centre, "key").where("node <> centre")
                     .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct(),
                     "candidates")

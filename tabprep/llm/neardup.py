@@ -158,7 +158,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
                     .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct(),
                     "candidates")
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    needed = written(texts.join(ends, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
+    # a merge join at every size: what it costs follows the texts alone
+    needed = written(texts.join(ends.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict = {}  # of the last texts; centres come often
@@ -218,7 +219,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     docs[f"`{id_col}`"].alias("id"))
     out = gone.select(F.col(id_col).alias("id"), "node").distinct()
     same = (d["id"].eqNullSafe(out["id"])) & (d["node"] == out["node"])
-    kept = d.join(out, same, "left_anti")
+    kept = d.join(out.hint("merge"), same, "left_anti")
     if again.isEmpty():
         return kept.select("row.*")
     doubled = (found.join(again.select("root"), "root", "left_semi")

@@ -229,6 +229,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         .otherwise(F.struct(a["out"].alias("out"), F.greatest(a["done"], s["end"]).alias("done"))),
         lambda a: F.concat(a["out"], F.substring(text, (a["done"] + 1).cast("int"), F.length(text))))
     new = F.when(F.col("k.spans").isNotNull(), merged).otherwise(text)
-    return (d.join(found.alias("k"), F.expr(f"d.h = k.h and d.row.`{id_col}` <=> k.id"), "left")
+    # a merge join at every size: what it costs follows the texts alone
+    return (d.join(found.hint("merge").alias("k"), F.expr(f"d.h = k.h and d.row.`{id_col}` <=> k.id"), "left")
             .withColumn("new", new)
             .select(*[(F.col("new") if c == text_col else F.col(f"d.row.`{c}`")).alias(c) for c in docs.columns]))

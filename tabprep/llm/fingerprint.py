@@ -41,13 +41,15 @@ BLOCK_CHARS = 2_000_000
 
 
 def digests(text: str) -> np.ndarray:
-    """64-bit digests of the text's cells, all different."""
+    """64-bit digests of the text's cells, all different: a cell's hash,
+    mixed with how often the cell came before."""
     seen: Counter = Counter()
-    out = []
+    hashes, before = [], []
     for cell in CELL.findall(text):
-        out.append(xxhash.xxh3_64_intdigest(cell.encode("utf-8", "replace"), seed=seen[cell]))
+        hashes.append(xxhash.xxh3_64_intdigest(cell.encode("utf-8", "replace")))
+        before.append(seen[cell])
         seen[cell] += 1
-    return np.array(out, np.uint64)
+    return np.unique(_mixed(np.array(hashes, np.uint64) + np.array(before, np.uint64) * SPREAD[3], 0))
 
 
 def _mixed(x: np.ndarray, j: int) -> np.ndarray:

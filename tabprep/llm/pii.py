@@ -79,22 +79,25 @@ def _valid(kind: Column, m: Column) -> Column:
             .when(kind == "phone", F.length(d).between(10, 15)).otherwise(False))
 
 
-def _matches(kind: str, pattern: str) -> Column:
-    found = F.regexp_extract_all("t", F.lit(pattern), F.lit(0))
-    gaps = F.split("t", pattern, -1)
-    spans = F.transform(F.sequence(F.lit(1), F.size(found)), lambda i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("i"),
-        F.length(F.get(gaps, i - 1)).alias("gap"), F.get(found, i - 1).alias("m"),
-        F.right(F.get(gaps, i - 1), F.lit(40)).alias("pre"), F.left(F.get(gaps, i), F.lit(8)).alias("post")))
-    return F.when(F.expr(NEEDS[kind]) & (F.size(found) > 0), spans).otherwise(F.array())
+def _spans(kind: str) -> Column:
+    """Matches with the gap before each one and the text around it, from the
+    columns of matches and gaps (evaluated once, not per match)."""
+    found, gaps = F.col(f"m_{kind}"), F.col(f"g_{kind}")
+    spans = F.transform(found, lambda m, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("i"), F.length(F.get(gaps, i)).alias("gap"), m.alias("m"),
+        F.right(F.get(gaps, i), F.lit(40)).alias("pre"), F.left(F.get(gaps, i + 1), F.lit(8)).alias("post")))
+    return F.coalesce(spans, F.array())
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(a row ``id, h`` per document, its candidate spans as rows
     ``id, h, kind, m, pre, post, start, end``)."""
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
-    per_doc = written(base.select("id", "h", F.concat(*[_matches(k, p) for k, p in PATTERNS.items()]).alias("found")),
-                      "pii-candidates")
+    matches = base.withColumns({f"m_{k}": F.when(F.expr(NEEDS[k]), F.regexp_extract_all("t", F.lit(p), F.lit(0)))
+                                for k, p in PATTERNS.items()})
+    gaps = matches.withColumns({f"g_{k}": F.when(F.size(f"m_{k}") > 0, F.split("t", p, -1))
+                                for k, p in PATTERNS.items()})
+    per_doc = written(gaps.select("id", "h", F.concat(*map(_spans, PATTERNS)).alias("found")), "pii-candidates")
     so_far = W.partitionBy("id", "h", "kind").orderBy("i")
     rows = (per_doc.select("id", "h", F.explode("found").alias("c")).select("id", "h", "c.*").distinct()
             .withColumn("end", F.sum(F.col("gap") + F.length("m")).over(so_far))

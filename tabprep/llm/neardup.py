@@ -12,8 +12,9 @@ Work stays linear in the input whatever the groups are:
 
 * equal texts are one node, told by a 128-bit digest;
 * a group of texts with a common sketch is not paired up: each is compared
-  with the group's centre, the text whose sketches most others share (the
-  original of a family of edited copies).  Classes are the connected parts of
+  with the group's two centres, the texts whose sketches most others share
+  (the original of a family of edited copies, or the least edited ones).
+  Classes are the connected parts of
   the verified links, found by star contraction;
 * every step groups with partial aggregates or joins that Spark can split.
 """
@@ -152,9 +153,12 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     grouped = written(rows.join(shared, "key"), "sketch-groups")
     support = grouped.groupBy("node").agg(F.sum("n").alias("support"))
     supported = written(grouped.join(support, "node").select("key", "support", "node"), "supported")
-    centre = written(supported.groupBy("key").agg(F.max(F.struct("support", "node")).alias("best"))
-                     .select("key", F.col("best.node").alias("centre")), "centres")
-    pairs = written(grouped.join(centre, "key").where("node <> centre")
+    best = F.max(F.struct("support", "node")).alias("best")
+    first = written(supported.groupBy("key").agg(best).select("key", F.col("best.node").alias("first")), "centres")
+    second = written(supported.join(first, "key").where("node <> first").groupBy("key").agg(best)
+                     .select("key", F.col("best.node").alias("second")), "second-centres")
+    pairs = written(grouped.join(first.join(second, "key"), "key")
+                    .select("node", F.explode(F.array("first", "second")).alias("centre")).where("node <> centre")
                     .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct(),
                     "candidates")
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()

@@ -8,15 +8,21 @@ the least hashes and their order must agree.  Candidates are verified by a
 banded alignment of the two sequences: the longest common subsequence inside
 the band that the asked similarity leaves, over the runs of both.
 
-Work stays linear in the input whatever the groups are:
+How work follows the input:
 
 * equal texts are one node, told by a 128-bit digest;
-* a group of texts with a common sketch is not paired up: each is compared
-  with the group's two centres, the texts whose sketches most others share
-  (the original of a family of edited copies, or the least edited ones).
+* a group of texts with a common sketch is not paired up: each is first
+  compared with the group's two centres, the texts whose sketches most others
+  share (the original of a family of edited copies, or the least edited ones).
+  Where that leaves a group in more than one class, its texts are joined on
+  their rarest runs.  Two texts that are alike enough share one of these, at
+  a place that leaves room for the runs they must have in common, so no pair
+  of a group is passed over unless it cannot be alike or is in one class
+  already.  Texts with common rare runs that are not alike are all compared,
+  however many they are.
   Classes are the connected parts of
   the verified links, found by star contraction;
-* every step groups with partial aggregates or joins that Spark can split.
+* every other step groups with partial aggregates or joins that Spark can split.
 """
 
 from __future__ import annotations
@@ -28,16 +34,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, text_of, utf8, written
+from .common import by_value, ship, shipped, text_of, top_bits, utf8, written
 
 by_value(__name__)
 
 K, SKETCHES, PICK, SIMILAR = 5, 16, 3, 0.8
 WORD = re.compile(r"\w+")
 CACHED_WORDS = 500_000
+CELL_BITS = 20  # counters of runs; they only order runs, no result depends on them
 
 _words: dict[str, int] = {}  # hashes of words, one table per worker process
 
@@ -127,6 +135,65 @@ def components(edges: DataFrame) -> DataFrame:
         now = written(small, "parts")
 
 
+def rarest(cells: Broadcast, least: float):
+    """(node, root, runs) -> a row per run that two texts alike enough must
+    have one of in common: the first ones in a fixed order, rare ones first,
+    with their place in that order and the text's number of runs ``n``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = shipped(cells)
+        for batch in batches:
+            heads, places, sizes = [], [], []
+            for r in batch["runs"]:
+                r = np.asarray(r, np.int64)
+                often = counts[(r.view(np.uint64) >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                head = np.lexsort((r, often))[:len(r) - int(np.ceil(least * len(r) - 1e-6)) + 1]
+                place = np.flatnonzero(often[head] > 1)  # a run of one text is shared by none
+                heads.append(r[head[place]])
+                places.append(place)
+                sizes.append(len(place))
+            if not sum(sizes):
+                continue
+            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), sizes),
+                                "root": np.repeat(batch["root"].to_numpy(), sizes),
+                                "n": np.repeat(batch["runs"].map(len).to_numpy(np.int32), sizes),
+                                "place": np.concatenate(places).astype(np.int32), "run": np.concatenate(heads)})
+
+    return run
+
+
+def uncompared(grouped: DataFrame, found: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` of texts of different classes (by the links ``found``)
+    that may be alike, among the texts whose sketch groups (``key, node``) hold
+    more than one class.  None that is alike is left out."""
+
+    def run_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"node": batch["node"], "root": batch["root"],
+                                "runs": [runs(t).astype(np.int64) for t in batch["t"]]})
+
+    of_class = written(grouped.select("key", "node").join(components(found).hint("merge"), "node", "left")
+                       .select("key", "node", F.coalesce("root", "node").alias("root")), "classed-groups")
+    split = of_class.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    nodes = written(of_class.join(split.select("key").hint("merge"), "key", "left_semi").select("node", "root").distinct(),
+                    "split-nodes")
+    listed = written(texts.join(nodes.hint("merge"), "node").mapInPandas(run_lists, "node binary, root binary, runs array<long>"),
+                     "split-runs")
+    counted = (listed.select(F.explode("runs").alias("run")).groupBy(top_bits(F.col("run"), CELL_BITS).alias("cell"))
+               .agg(F.count(F.lit(1)).alias("n")).toArrow())
+    cells = np.zeros(1 << CELL_BITS, np.int64)
+    cells[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    heads = written(listed.mapInPandas(rarest(ship(grouped.sparkSession, cells), least),
+                                       "node binary, root binary, n int, place int, run long"), "rarest-runs")
+    x, y = (heads.select("run", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "n", "place")]) for side in "ab")
+    # the first common run of two texts alike enough leaves both this room
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    may = (F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (
+        room * (1 + least) >= (F.col("n_a") + F.col("n_b")) * least - 1e-6)
+    return written(x.join(y.hint("merge"), "run").where(may)
+                   .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "uncompared")
+
+
 def node_of(text_col: str):
     """The node of a text: its 128-bit digest."""
     return F.unhex(F.md5(utf8(text_of(text_col))))
@@ -178,9 +245,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
                 near.append(similarity(known[node_a], known[node_b], least) >= least)
             yield batch.loc[near, ["a", "b"]]
 
-    sides = (pairs.join(needed.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
-             .join(needed.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b"))
-    return written(sides.select("a", "b", "ta", "tb").mapInPandas(verify, "a binary, b binary"), "links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        sides = (pairs.join(needed.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
+                 .join(needed.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b"))
+        return written(sides.select("a", "b", "ta", "tb").mapInPandas(verify, "a binary, b binary"), "links")
+
+    found = verified(pairs)
+    return found.unionAll(verified(uncompared(grouped, found, needed, least)))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILAR) -> DataFrame:

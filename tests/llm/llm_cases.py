@@ -38,3 +38,17 @@ def prose(seed, n, words=400):
         w = rng.choice(vocab)
         out.append(w + rng.choice([" ", " ", " ", " ", " ", " ", ", ", ". ", ".\n"]))
     return "".join(out).strip()
+
+
+def small_families(count=100):
+    """Pairs of edited copies around one passage that all of them share."""
+    passage, texts = prose(31, 160, 2000).split(" "), []
+    for family in range(count):
+        own = prose(5000 + family, 20, 3000).split(" ")
+        for k in range(2):
+            w = passage + own
+            rng = random.Random(10 * family + k)
+            for i in rng.sample(range(len(w)), 2):
+                w[i] = f"new{rng.randrange(10 ** 6)}"
+            texts.append(" ".join(w))
+    return texts

@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
-from llm_cases import DOCS, empty, messy, prose
+from llm_cases import DOCS, empty, messy, prose, small_families
 from tabprep.llm import decontaminate, fingerprint, htmltext, neardup, packing, pii, sharding, substrings
 
 
@@ -469,3 +469,17 @@ def test_links_are_found_by_brute_force_share(spark):
     assert sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)
     linked = {x for p in pairs for x in p}
     assert all(got[i] == i for i in range(150) if i not in linked)
+
+
+def test_every_pair_of_a_sketch_group_is_compared(spark):
+    """Small families around one shared passage: every pair at 0.8 or more that
+    has a sketch in common ends in one class, whoever the group's centres are."""
+    texts = small_families()
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(
+        spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], DOCS)).collect()}
+    runs = [neardup.runs(t) for t in texts]
+    keys = [set(neardup.sketches(r).tolist()) for r in runs]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)
+             if keys[i] & keys[j] and neardup.similarity(runs[i], runs[j]) >= 0.8]
+    assert len(pairs) > 30 and len(set(got.values())) > 100
+    assert [(i, j) for i, j in pairs if got[i] != got[j]] == []

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import SMALL
-from llm_cases import DOCS, empty, messy, prose
+from llm_cases import DOCS, empty, messy, prose, small_families
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -144,3 +144,13 @@ def test_pipeline_equals_its_operators(spark):
     want = {tuple(r)[:5] for r in packing.pack(masked, public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens").collect()}
     assert run == want
+
+
+def test_stage_leaves_no_near_copies_around_a_shared_passage(spark):
+    docs = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in enumerate(small_families())], DOCS)
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SMALL).collect()
+    left = [neardup.runs(r["text"]) for r in kept]
+    keys = [set(neardup.sketches(r).tolist()) for r in left]
+    assert 100 < len(left) < 200
+    assert not [1 for i, r in enumerate(left) for j in range(i)
+                if keys[i] & keys[j] and neardup.similarity(r, left[j]) >= 0.8]

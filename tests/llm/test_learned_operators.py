@@ -154,3 +154,19 @@ def test_stage_leaves_no_near_copies_around_a_shared_passage(spark):
     assert 100 < len(left) < 200
     assert not [1 for i, r in enumerate(left) for j in range(i)
                 if keys[i] & keys[j] and neardup.similarity(r, left[j]) >= 0.8]
+
+
+def test_stages_drop_the_planted_documents(spark):
+    """A toxic document, no copy of another, goes at the first stage, a near
+    copy at the second."""
+    docs, labels = read(spark, SMALL, "documents"), read(spark, SMALL, "labels")
+    toxic = docs.join(labels.where("toxic = 1").select("doc_id"), "doc_id").orderBy("doc_id").collect()
+    clean = prose(702, 300, 3000)
+    rows = [(10_002, clean, "en", "x", 1), (10_100, " ".join(r["text"] for r in toxic), "en", "x", 1),
+            (10_102, clean + " mail me@some.example.org", "en", "x", 1)]
+    out, kept, stages = docs.unionByName(spark.createDataFrame(rows, DOCS)), {}, dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "near_duplicates"):
+        out = spark.createDataFrame(stages[name](spark, out, SMALL).collect(), DOCS)
+        kept[name] = {r["doc_id"] for r in out.collect()}
+    assert 10_100 not in kept["toxicity"] and {10_002, 10_102} <= kept["toxicity"]
+    assert 10_002 in kept["near_duplicates"] and 10_102 not in kept["near_duplicates"]

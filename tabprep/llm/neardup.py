@@ -256,8 +256,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILAR) -> DataFrame:
     """One row per document: ``id_col, class_id`` (the least id of its class),
-    ``n_links`` (verified links of its text to other texts), ``node`` and
-    ``root`` (digests of its text and of its class).
+    ``n_links`` (verified links of its text to group centres and to texts of
+    other classes; not all texts that are like it), ``node`` and ``root``
+    (digests of its text and of its class).
 
     Defined cases: null texts count as empty; texts without words are like
     equal texts only; a null id gets its class's least other id, or null;

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, fingerprint, htmltext, neardup, packing, pii, quality, sharding,
-               substrings, toxicity)
+from . import (collocations, decontaminate, divergence, fingerprint, htmltext, neardup, packing, pii, quality,
+               sharding, substrings, toxicity)
 from .common import read
 from .labelled import held_out
 
@@ -99,6 +99,75 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+word AS (SELECT row_id, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM word GROUP BY ALL HAVING count(DISTINCT row_id) >= 30),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+cnt AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+tot AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM grp LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+share AS (
+  SELECT lang, source, term, coalesce(cnt.n, 0) AS n,
+         1 + (1000000000 * (coalesce(cnt.n, 0) + 5)) // (tot.total + 5 * v) AS p,
+         1 + (1000000000 * (kept.n + 5)) // (size.total + 5 * v) AS q
+  FROM kept JOIN size USING (lang) JOIN tot USING (lang) LEFT JOIN cnt USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+             FROM share x JOIN share y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) d
+    ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+term AS (SELECT lang, source, term AS item, p - q AS value FROM share WHERE n > 0 AND p > q),
+every AS (SELECT *, 'pair' AS part FROM pair UNION ALL BY NAME SELECT *, 'term' AS part FROM term)
+SELECT * FROM (SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+words AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k)),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM gram GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cut AS (
+  SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS first, array_to_string(w[c + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, a, x.f AS l, y.f AS r, (1000000 * a * a) // (x.f * y.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000000 * a * a) // (x.f * y.f), c) AS best
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = first JOIN f y ON y.lang = c.lang AND y.phrase = rest),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM cand WHERE k = 3)
+  GROUP BY ALL)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+         l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+  FROM scored JOIN n USING (lang) LEFT JOIN inside USING (lang, phrase)
+  WHERE best = 1 AND (longer IS NULL OR 100 * longer < 50 * a))
+WHERE rank <= 2000
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_repeated_substrings, op2_decontamination, op3_fingerprints, op4_pii, op5_quality, op6_packing, op7_sharding,
-                                  op8_html_text, op9_toxicity, op10_near_duplicates)}
-ORACLE = {"op2_decontamination": OP2_SQL}
+                                  op8_html_text, op9_toxicity, op10_near_duplicates, op11_source_divergence, op12_collocations)}
+ORACLE = {"op2_decontamination": OP2_SQL, "op11_source_divergence": OP11_SQL, "op12_collocations": OP12_SQL}

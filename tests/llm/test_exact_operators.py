@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -369,7 +370,90 @@ def test_page_without_article_uses_words_and_links():
             "<p>Zwq short.</p><p>It was in the town that the rest of the story was told to all of us.</p><div><a>x</a> | <a>y and the z of it</a></div></body>")
     assert htmltext.main_text(page).split("\n") == [
         "This is the first part of the text, and it is long enough to be it.", "Zwq short.",
-        "It was in the town that the rest of the story was told to all of us."] or "Menu of" in htmltext.main_text(page)
+        "It was in the town that the rest of the story was told to all of us."]
+
+
+STORY = ["It was in the town that the first part of the story was told to all of us.",
+         "And this is the rest of the story that was told in the town to all of them."]
+
+
+@pytest.mark.parametrize("opening", [
+    '<div class="content with-sidebar">', '<article class="post no-comments">', '<main class="page has-login">',
+    '<div class="article search-engine-news">', '<form id="aspnetForm">', '<div class="layout-ad">', "<div>",
+    '<header class="top"><h1>x y</h1></header><div id="has-cookie-notice">'])
+def test_names_are_evidence_not_a_veto(opening):
+    page = f"<body><nav><a>Home</a></nav>{opening}<h2>The Title</h2><p>{STORY[0]}<p>Brief.<p>{STORY[1]}<footer>imprint of the site</footer>"
+    assert [x for x in htmltext.main_text(page).split("\n") if x != "x y"] == ["The Title", STORY[0], "Brief.", STORY[1]]
+
+
+@pytest.mark.parametrize("header", ['<header class="entry-header"><h1>The Title</h1></header>',
+                                    '<div class="post-header"><h1>The Title</h1></div>', "<header><h1>The Title</h1></header>"])
+def test_titles_in_headers_of_articles_stay(header):
+    page = f"<header><p>Site</p></header><article>{header}<p>{STORY[0]}</p></article>"
+    assert htmltext.main_text(page) == "The Title\n" + STORY[0]
+
+
+def test_furniture_goes_whatever_it_says():
+    box = "".join(f'<div class="{c}"><p>{STORY[1]} {i}.</p></div>' for i, c in enumerate(
+        ("sidebar", "post-comments", "comment-list", "cookie-notice", "ad-slot", "newsletter", "siteFooter", "related posts")))
+    assert htmltext.main_text(f"<article><p>{STORY[0]}</p>{box}</article>{box}") == STORY[0]
+    short = "<p>Subscribe now</p><div>Cookie notice: we use cookies</div><p>Advertisement</p>"
+    assert htmltext.main_text(f"<article><p>{STORY[0]}</p>{short}<p>{STORY[1]}</p></article>") == "\n".join(STORY)
+
+
+def test_languages_without_known_stop_words():
+    polish = ["Wczoraj wieczorem mieszkańcy miasta spotkali się z burmistrzem, aby porozmawiać o nowym moście nad rzeką.",
+              "Budowa rozpocznie się wiosną przyszłego roku i potrwa według planu około dwudziestu czterech miesięcy."]
+    chinese = ["昨天晚上，城市的居民与市长会面，讨论了河上新桥的建设计划以及未来两年的工程安排。", "工程将于明年春天开始，预计持续大约二十四个月，费用由市政府承担。"]
+    for lines in (polish, chinese):
+        page = "<nav><a>x</a></nav><div><a>Menu</a></div>" + "".join(f"<p>{x}</p>" for x in lines) + "<div><a>a</a> <a>b</a></div>"
+        assert htmltext.main_text(page) == "\n".join(lines)
+
+
+def test_story_beside_a_teaser_article():
+    page = f"<div><p>{STORY[0]}</p><p>Brief.</p><p>{STORY[1]}</p></div><article><p>A teaser</p></article>"
+    assert htmltext.main_text(page).split("\n")[:3] == [STORY[0], "Brief.", STORY[1]]
+
+
+def decided_by_force(blocks, first):
+    """The second pass, each block by itself."""
+    out = []
+    for i, (b, label) in enumerate(zip(blocks, first)):
+        if label is None:
+            near = [(abs(i - j), j > i, first[j]) for j, c in enumerate(blocks) if c.region == b.region and first[j] is not None]
+            before, after = (min((x for x in near if x[1] is side), default=None) for side in (False, True))
+            if b.heading and after:
+                label = after[2]
+            elif not near:
+                label = b.region > 0
+            else:
+                least = {x[2] for x in (before, after) if x and x[0] == min(y[0] for y in (before, after) if y)}
+                label = least.pop() if len(least) == 1 else b.region > 0
+        out.append(label)
+    return out
+
+
+def test_second_pass_equals_brute_force():
+    rng = random.Random(9)
+    for _ in range(300):
+        blocks, first = [], []
+        for _ in range(rng.randrange(1, 30)):
+            kind, region = rng.choice("good bad open open".split()), rng.randrange(3)
+            text, links = {"good": (STORY[0], 0.0), "bad": ("a link", 1.0), "open": ("zwq", 0.0)}[kind]
+            blocks.append(htmltext.Block(text, links, region, (), rng.random() < 0.2))
+            first.append({"good": True, "bad": False, "open": None}[kind])
+        inside = sum(b.region > 0 for b, x in zip(blocks, first) if x)
+        if any(b.region for b in blocks) and inside >= sum(b.region == 0 for b, x in zip(blocks, first) if x):
+            first = [x if b.region else False for b, x in zip(blocks, first)]
+        assert htmltext.decide(blocks, []) == decided_by_force(blocks, first)
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "</b>" * 20_000, "<b>" * 20_000 + "<p>x" * 20_000, '<a title="x>' * 20_001,
+                                  "<div class='ad'>" * 20_000 + "x", "<p>" + "&" * 100_000 + "<" * 100_000, "<b><i>" * 20_000 + "</b>" * 20_000])
+def test_time_is_linear_in_the_page(page):
+    start = time.process_time()
+    htmltext.main_text(page)
+    assert time.process_time() - start < 1.5
 
 
 def test_broken_pages(spark):

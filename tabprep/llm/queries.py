@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, decontaminate, divergence, fingerprint, htmltext, neardup, packing, pii, quality,
-               sharding, substrings, toxicity)
+from . import (collocations, decontaminate, divergence, fingerprint, htmltext, licenses, neardup, packing, pii,
+               quality, sharding, substrings, toxicity)
 from .common import read
 from .labelled import held_out
 
@@ -168,6 +168,45 @@ WHERE rank <= 2000
 """
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+_LABELLED = ", ".join("('{}', '{}')".format(*x) for x in licenses.TEMPLATES)
+_PHRASES = ", ".join(f"('{label}', '{phrase}')" for phrase, label in licenses.PHRASES.items())
+_WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP13_SQL = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+template AS (SELECT DISTINCT label, list_sort(list_distinct({_WORDS.format("t")})) AS words FROM (VALUES {_LABELLED}) x(label, t)),
+phrase AS (SELECT label, {_WORDS.format("t")} AS words FROM (VALUES {_PHRASES}) x(label, t)),
+sentence AS (
+  SELECT row_id, {_WORDS.format("s")} AS w
+  FROM (SELECT row_id, unnest(regexp_split_to_array(t, '[.!?]+[\x09-\x0D\x20]|\n[\x09-\x0D\x20]*\n')) AS s FROM doc)),
+block AS (
+  SELECT row_id, list_distinct(w[i + 1:i + 64]) AS words
+  FROM (SELECT row_id, w, unnest(list_concat([0], range(32, greatest(len(w) - 32, 32), 32))) AS i FROM sentence WHERE len(w) > 0)),
+met AS (
+  SELECT row_id, label, len(list_intersect(block.words, template.words)) AS n, len(template.words) AS size FROM block, template),
+similar AS (SELECT row_id, label, max(n / size) AS share FROM met WHERE 10 * n >= 8 * size GROUP BY ALL),
+place AS (
+  SELECT row_id, label, i - 1 AS place
+  FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc) JOIN phrase ON w[i:i + len(words) - 1] = words),
+base AS (
+  SELECT row_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY row_id),
+every AS (
+  SELECT row_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share
+  FROM (SELECT row_id, label, share FROM similar UNION ALL SELECT row_id, label, 1.0 FROM place) GROUP BY row_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM doc LEFT JOIN base USING (row_id) LEFT JOIN every USING (row_id)
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_repeated_substrings, op2_decontamination, op3_fingerprints, op4_pii, op5_quality, op6_packing, op7_sharding,
-                                  op8_html_text, op9_toxicity, op10_near_duplicates, op11_source_divergence, op12_collocations)}
-ORACLE = {"op2_decontamination": OP2_SQL, "op11_source_divergence": OP11_SQL, "op12_collocations": OP12_SQL}
+                                  op8_html_text, op9_toxicity, op10_near_duplicates, op11_source_divergence, op12_collocations, op13_license_scan)}
+ORACLE = {"op2_decontamination": OP2_SQL, "op11_source_divergence": OP11_SQL, "op12_collocations": OP12_SQL,
+          "op13_license_scan": OP13_SQL}

@@ -189,7 +189,7 @@ block AS (
   FROM (SELECT row_id, w, unnest(list_concat([0], range(32, greatest(len(w) - 32, 32), 32))) AS i FROM sentence WHERE len(w) > 0)),
 met AS (
   SELECT row_id, label, len(list_intersect(block.words, template.words)) AS n, len(template.words) AS size FROM block, template),
-similar AS (SELECT row_id, label, max(n / size) AS share FROM met WHERE 10 * n >= 8 * size GROUP BY ALL),
+alike AS (SELECT row_id, label, max(n / size) AS share FROM met WHERE 10 * n >= 8 * size GROUP BY ALL),
 place AS (
   SELECT row_id, label, i - 1 AS place
   FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc) JOIN phrase ON w[i:i + len(words) - 1] = words),
@@ -198,7 +198,7 @@ base AS (
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY row_id),
 every AS (
   SELECT row_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share
-  FROM (SELECT row_id, label, share FROM similar UNION ALL SELECT row_id, label, 1.0 FROM place) GROUP BY row_id)
+  FROM (SELECT row_id, label, share FROM alike UNION ALL SELECT row_id, label, 1.0 FROM place) GROUP BY row_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score

@@ -2,16 +2,20 @@
 
 Texts are cut into pieces at punctuation and pieces into words.  A window of
 ``max_words - 1`` words whose hash falls on a fixed residue is a trigger: a
-piece is parsed into chunks that run from one trigger to the next one, which
-both chunks share.  Since triggers depend on content alone, passages that
-repeat give the same chunks wherever they stand, and the dictionary of
-distinct chunks with their parse frequencies is all that is looked at again.
+long piece is parsed into chunks that run from one trigger to the next one,
+which both chunks share; a short piece is one chunk.  Since the parse depends
+on content alone, passages that repeat give the same chunks wherever they
+stand, and the dictionary of distinct chunks with their parse frequencies is
+all that is looked at again.
 
 Each phrase of up to ``max_words`` words lies in the chunk in which it starts;
 phrases that start in a chunk's closing trigger belong to the next chunk, so
 overlaps are counted once.  Phrases inside distinct chunks are counted with
-the chunk's frequency, then scored by joins of the frequent phrases with their
-parts.  No prefix and no sketch takes part: counts are exact.
+the chunk's frequency, one length after the other: a phrase that occurs
+``least`` times holds two shorter ones that do, so a phrase is counted only if
+both may.  That is read off a Bloom filter of the frequent shorter phrases.
+Its size has a fixed bound; a filter that is too small for a corpus lets more
+phrases through and drops none, so counts are exact at every size.
 """
 
 from __future__ import annotations
@@ -19,18 +23,24 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from .common import by_value, text_of, utf8, written
+from .common import by_value, release, ship, shipped, text_of, utf8, written
 
 by_value(__name__)
 
-#: One window in so many is a trigger; a chunk without one is cut at LONGEST words.
-EVERY, LONGEST = 24, 4_096
-#: A task's counts go on when it holds so many.
-ENTRIES = 400_000
+#: Pieces of up to SHORT words are one chunk; in longer ones one window in
+#: EVERY is a trigger, and a chunk without one is cut at LONGEST words.
+SHORT, EVERY, LONGEST = 24, 24, 4_096
+#: A task's dictionary goes on when it holds so many chunks, and its phrases
+#: are counted by so many words at a time.
+ENTRIES, WORDS = 400_000, 1_500_000
+#: Bits of a filter: so many for a phrase, and at most (2**27 bits are 16 MB).
+FILTER_EACH, FILTER_MOST = 16, 1 << 27
 # What ends a piece, and what stands between words beside space.
 ENDS, TAB = b".,;:!?\x0a\x0b\x0c\x0d", 9
 #: A-Z in lower case, piece ends as line feeds, tabs as spaces.
@@ -41,9 +51,8 @@ def chunks(words: list[bytes], overlap: int, marks: dict) -> list[tuple[bytes, b
     """The parse of a piece: chunks as joined words, and whether the chunk is
     closed by a trigger (of ``overlap`` words) that the next one shares."""
     out, at, n = [], 0, len(words)
-    if n > overlap + 1:
-        codes = [marks.get(w) or marks.setdefault(w, zlib.crc32(w) + 1) for w in words]
-        windows = codes
+    if n > max(SHORT, overlap):
+        windows = codes = [marks.get(w) or marks.setdefault(w, zlib.crc32(w) + 1) for w in words]
         for k in range(1, overlap):
             windows = [a * 31 + b for a, b in zip(windows, codes[k:])]
         stops = [i for i, x in enumerate(windows) if not x * 2654435761 % 4294967291 % EVERY]
@@ -58,80 +67,180 @@ def chunks(words: list[bytes], overlap: int, marks: dict) -> list[tuple[bytes, b
     return out
 
 
-def _rows(counts: dict, names: list[str], key_types: list) -> pa.RecordBatch:
-    """Record batches of the counts, emptied."""
-    for lang, mine in counts.items():
-        keys = list(mine)
-        for a in range(0, len(keys), 50_000):
-            some = keys[a:a + 50_000]
-            columns = zip(*some) if len(key_types) > 1 else [some]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(some), pa.string()), *[pa.array(list(c), t) for c, t in zip(columns, key_types)],
-                 pa.array([mine[k] for k in some], pa.int64())], names)
-    counts.clear()
-
-
 def _parsed(overlap: int):
+    """(lang, bytes) -> rows ``lang, chunk, closed, f``."""
     def task(batches):
         counts, marks = {}, {}
+
+        def rows():
+            for (lang, closed), mine in counts.items():
+                keys = list(mine)
+                for a in range(0, len(keys), 50_000):
+                    some = keys[a:a + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()), pa.array([closed] * len(some), pa.bool_()),
+                         pa.array([mine[k] for k in some], pa.int64())], ["lang", "chunk", "closed", "f"])
+            counts.clear()
+
         for batch in batches:
             for lang, data in zip(batch.column(0), batch.column(1)):
-                mine = counts.setdefault(lang.as_py(), Counter())
+                lang = lang.as_py()
+                whole = counts.setdefault((lang, False), Counter())
+                short = []
                 for piece in data.as_py().translate(PIECES).split(b"\n"):
                     words = piece.split()
-                    if words:
-                        mine.update(chunks(words, overlap, marks))
+                    if len(words) <= SHORT:
+                        if words:
+                            short.append(b" ".join(words))
+                        continue
+                    for chunk, closed in chunks(words, overlap, marks):
+                        counts.setdefault((lang, closed), Counter())[chunk] += 1
+                whole.update(short)
                 if sum(map(len, counts.values())) > ENTRIES:
-                    yield from _rows(counts, ["lang", "chunk", "closed", "f"], [pa.binary(), pa.bool_()])
+                    yield from rows()
                 if len(marks) > ENTRIES:
                     marks.clear()
-        yield from _rows(counts, ["lang", "chunk", "closed", "f"], [pa.binary(), pa.bool_()])
+        yield from rows()
     return task
 
 
-def phrases(chunk: bytes, closed: bool, max_words: int) -> list[bytes]:
-    """All phrases that start in the chunk but not in its closing trigger."""
-    w = chunk.split(b" ")
-    own = w[:len(w) - (max_words - 1)] if closed else w
-    out = list(own)
-    for k in range(2, max_words + 1):
-        out += map(b" ".join, zip(own, *(w[i:] for i in range(1, k))))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    return x ^ (x >> np.uint64(29))
+
+
+def hashes(lang: str, words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` among the word hashes of a language."""
+    out = _mixed(words + np.uint64(xxhash.xxh3_64_intdigest(lang.encode())))
+    for i in range(1, k):
+        out = _mixed(out[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[i:])
     return out
 
 
-def _counted(max_words: int):
-    """Phrases with their weighted counts; the empty phrase counts words."""
+def _word_hashes(vocabulary) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in vocabulary], np.uint64)
+
+
+def _bits(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a hash in a filter of ``size`` bits."""
+    return (h & np.uint64(size - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def inside(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes the filter (64-bit words) may hold."""
+    a, b = _bits(h, 64 * len(bits))
+    held = lambda p: (bits[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)
+    return (held(a) & held(b)).astype(bool)
+
+
+def filter_of(frequent: DataFrame, k: int) -> np.ndarray:
+    """A filter of the frequent phrases of ``k`` words (``lang, phrase``)."""
+    n = frequent.count()
+    size = min(FILTER_MOST, 1 << max(10, (FILTER_EACH * n).bit_length()))
+
     def task(batches):
-        counts, held = {}, 0
+        for batch in batches:
+            found: dict[str, list] = {}
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found.setdefault(lang, []).append(phrase.split(b" "))
+            every = [np.concatenate(_bits(np.concatenate(
+                [hashes(lang, _word_hashes(w), k) for w in phrases]), size)) for lang, phrases in found.items()]
+            places = np.unique(np.concatenate(every)) if every else np.zeros(0, np.int64)
+            slots, first = np.unique(places >> 6, return_index=True)
+            words = np.bitwise_or.reduceat(np.uint64(1) << (places & 63).astype(np.uint64), first) if len(places) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(words.view(np.int64))], ["slot", "bits"])
+
+    # at most FILTER_MOST / 64 rows, whatever the corpus
+    got = (frequent.select("lang", "phrase").mapInArrow(task, "slot long, bits long")
+           .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow())
+    bits = np.zeros(size // 64, np.uint64)
+    bits[got["slot"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def counted(lang: str, found: list[bytes], closed: list[bool], f: list[int], k: int, overlap: int,
+            bits: np.ndarray | None) -> tuple[list[bytes], np.ndarray, int]:
+    """Distinct phrases of ``k`` words that start in the chunks and may be
+    frequent, their weighted counts, and the weighted number of words."""
+    split = [c.split(b" ") for c in found]
+    sizes = np.array([len(w) for w in split])
+    words = [w for ws in split for w in ws]
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    vocabulary, ids = list(number), np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    weight = np.repeat(np.array(f, np.int64), sizes)
+    ends = np.cumsum(sizes)
+    place = np.arange(len(ids))
+    # a phrase starts before the closing trigger and ends inside its chunk
+    own = place < np.repeat(ends - overlap * np.array(closed, np.int64), sizes)
+    total = int(weight[own].sum())
+    last = max(0, len(ids) - k + 1)
+    here = (own & (place + k <= np.repeat(ends, sizes)))[:last]
+    if bits is not None and last:
+        may = inside(bits, hashes(lang, _word_hashes(vocabulary)[ids], k - 1))
+        here &= may[:last] & may[1:last + 1]
+    starts = place[:last][here]
+    if not len(starts):
+        return [], np.zeros(0, np.int64), total
+    # exact numbers of the phrases: (number of the shorter one, next word)
+    code = ids[starts]
+    for i in range(1, k):
+        code = np.unique(code, return_inverse=True)[1] * len(vocabulary) + ids[starts + i]
+    order = np.argsort(code, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
+    sums = np.add.reduceat(weight[starts[order]], first)
+    heads = starts[order[first]]
+    columns = [[vocabulary[i] for i in ids[heads + j].tolist()] for j in range(k)]
+    return columns[0] if k == 1 else list(map(b" ".join, zip(*columns))), sums, total
+
+
+def _counts(k: int, overlap: int, sent):
+    """Chunks -> rows ``lang, phrase, f`` of the phrases of ``k`` words; with
+    k = 1 the empty phrase counts the words."""
+    def task(batches):
+        bits, held = (shipped(sent) if sent else None), {}
+
+        def rows(lang):
+            phrases, sums, total = counted(lang, *held.pop(lang), k, overlap, bits)
+            if k == 1:
+                phrases, sums = [b"", *phrases], np.concatenate([[total], sums])
+            for a in range(0, len(phrases), 50_000):
+                some = phrases[a:a + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()),
+                                                  pa.array(sums[a:a + 50_000], pa.int64())], ["lang", "phrase", "f"])
+
+        size = Counter()
         for batch in batches:
             for lang, chunk, closed, f in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                mine = counts.setdefault(lang, Counter())
-                found = phrases(chunk, closed, max_words)
-                own = chunk.count(b" ") + 1 - (max_words - 1 if closed else 0)
-                mine[b""] += own * f
-                if f == 1:
-                    mine.update(found)
-                else:
-                    for x in found:
-                        mine[x] += f
-                held += len(found)
-                if held > ENTRIES:
-                    held = sum(map(len, counts.values()))
-                    if held > ENTRIES:
-                        yield from _rows(counts, ["lang", "phrase", "f"], [pa.binary()])
-                        held = 0
-        yield from _rows(counts, ["lang", "phrase", "f"], [pa.binary()])
+                mine = held.setdefault(lang, ([], [], []))
+                mine[0].append(chunk)
+                mine[1].append(closed)
+                mine[2].append(f)
+                size[lang] += chunk.count(b" ") + 1
+                if sum(size.values()) > WORDS:
+                    for x in list(held):
+                        yield from rows(x)
+                    size.clear()
+        for x in list(held):
+            yield from rows(x)
     return task
 
 
-def phrase_counts(docs: DataFrame, max_words: int = 3, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, phrase, f`` for every phrase of up to ``max_words`` words, as
-    bytes; the empty phrase of a language counts its words."""
+def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 1, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, phrase, f`` for every phrase of up to ``max_words`` words that
+    occurs ``least`` times; the empty phrase of a language counts its words."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), utf8(text_of(text_col)).alias("data"))
-    dictionary = (texts.mapInArrow(_parsed(max_words - 1), "lang string, chunk binary, closed boolean, f long")
-                  .groupBy("lang", "chunk", "closed").agg(F.sum("f").alias("f")))
-    return (dictionary.mapInArrow(_counted(max_words), "lang string, phrase binary, f long")
-            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+    dictionary = written(texts.mapInArrow(_parsed(max_words - 1), "lang string, chunk binary, closed boolean, f long")
+                         .groupBy("lang", "chunk", "closed").agg(F.sum("f").alias("f")), "chunks")
+    every, sent = None, None
+    for k in range(1, max_words + 1):
+        release(docs.sparkSession)  # the shuffles of the step before go
+        found = (dictionary.mapInArrow(_counts(k, max_words - 1, sent), "lang string, phrase binary, f long")
+                 .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.length("phrase") == 0)))
+        found = written(found, "phrases")
+        every = found if every is None else every.unionAll(found)
+        if k < max_words:
+            sent = ship(docs.sparkSession, filter_of(found.where(F.length("phrase") > 0), k))
+    return every.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def collocations(docs: DataFrame, max_words: int = 3, least: int = 10, inside_percent: int = 50, top: int = 2000,
@@ -147,9 +256,7 @@ def collocations(docs: DataFrame, max_words: int = 3, least: int = 10, inside_pe
     then by UTF-8 bytes; ties between cuts go to the first; repeated rows count
     each time; an empty table gives no rows; other columns are ignored.
     """
-    counts = phrase_counts(docs, max_words, text_col, lang_col)
-    frequent = written(counts.where((F.col("f") >= least) | (F.length("phrase") == 0))
-                       .withColumn("phrase", F.col("phrase").cast("string")), "frequent-phrases")
+    frequent = phrase_counts(docs, max_words, least, text_col, lang_col)
     known = frequent.where("phrase != ''")
     words = F.split("phrase", " ")
     found = known.withColumn("w", words).withColumn("k", F.size("w")).where("k >= 2")

@@ -119,9 +119,11 @@ def collocations_by_force(rows, least, top, longest=3):
     return out
 
 
-@pytest.mark.parametrize("every, longest, entries", [(24, 4096, 400_000), (2, 3, 40), (10 ** 9, 5, 100)])
-def test_collocations_equal_brute_force(spark, monkeypatch, every, longest, entries):
-    for name, value in (("EVERY", every), ("LONGEST", longest), ("ENTRIES", entries)):
+@pytest.mark.parametrize("every, longest, entries, most", [(24, 4096, 400_000, 1 << 27), (2, 3, 40, 1 << 10), (10 ** 9, 5, 100, 1 << 12)])
+def test_collocations_equal_brute_force(spark, monkeypatch, every, longest, entries, most):
+    """Also with a filter too small for the phrases."""
+    for name, value in (("EVERY", every), ("LONGEST", longest), ("ENTRIES", entries), ("WORDS", entries), ("FILTER_MOST", most),
+                        ("SHORT", min(every, 24))):
         monkeypatch.setattr(collocations, name, value)
     docs = varied(spark, 2, 200)
     rows = docs.collect()
@@ -139,13 +141,27 @@ def test_collocations_of_messy_and_empty_tables(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"dd"]), min_size=1, max_size=60), st.integers(1, 4))
-def test_chunks_hold_every_phrase_once(words, overlap):
-    found = Counter()
-    for chunk, closed in collocations.chunks(words, overlap, {}):
-        found.update(collocations.phrases(chunk, closed, overlap + 1))
-    want = Counter(b" ".join(words[i:i + k]) for k in range(1, overlap + 2) for i in range(len(words) - k + 1))
-    assert found == want
+@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"dd"]), min_size=1, max_size=60), st.integers(1, 4), st.integers(1, 3))
+def test_chunks_hold_every_phrase_once(words, overlap, times):
+    short, collocations.SHORT, collocations.EVERY = collocations.SHORT, 3, 3
+    try:
+        found = collocations.chunks(words, overlap, {})
+    finally:
+        collocations.SHORT, collocations.EVERY = short, 24
+    for k in range(1, overlap + 2):
+        got, sums, total = collocations.counted("en", *map(list, zip(*found)), [times] * len(found), k, overlap, None)
+        want = Counter(b" ".join(words[i:i + k]) for i in range(len(words) - k + 1))
+        assert dict(zip(got, sums.tolist())) == {g: times * n for g, n in want.items()} and total == times * len(words)
+
+
+def test_filter_holds_all_it_was_given(spark):
+    rng = random.Random(5)
+    phrases = [("en" if i % 2 else "de", b"w%d w%d" % (rng.randrange(900), rng.randrange(900))) for i in range(3000)]
+    df = spark.createDataFrame([(a, bytearray(b)) for a, b in phrases], "lang string, phrase binary").repartition(4)
+    bits = collocations.filter_of(df, 2)
+    found = lambda lang, w: collocations.inside(bits, collocations.hashes(lang, collocations._word_hashes(w), 2)).all()
+    assert all(found(a, b.split(b" ")) for a, b in phrases)
+    assert sum(found("en", [b"x%d" % i, b"y"]) for i in range(2000)) < 200
 
 
 def test_repeated_passages_share_their_chunks():

@@ -38,7 +38,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, ship, shipped, text_of, top_bits, utf8, written
+from .common import by_value, release, ship, shipped, text_of, top_bits, utf8, written
 
 by_value(__name__)
 
@@ -133,6 +133,7 @@ def components(edges: DataFrame) -> DataFrame:
                  .unionAll(low.select("u", F.col("m").alias("v")))
                  .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
         now = written(small, "parts")
+        release(edges.sparkSession)
 
 
 def rarest(cells: Broadcast, least: float):
@@ -251,6 +252,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         return written(sides.select("a", "b", "ta", "tb").mapInPandas(verify, "a binary, b binary"), "links")
 
     found = verified(pairs)
+    release(docs.sparkSession)  # many small plans: what finished ones left in the driver goes
     return found.unionAll(verified(uncompared(grouped, found, needed, least)))
 
 

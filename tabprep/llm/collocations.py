@@ -11,9 +11,10 @@ all that is looked at again.
 Each phrase of up to ``max_words`` words lies in the chunk in which it starts;
 phrases that start in a chunk's closing trigger belong to the next chunk, so
 overlaps are counted once.  Phrases inside distinct chunks are counted with
-the chunk's frequency, one length after the other: a phrase that occurs
-``least`` times holds two shorter ones that do, so a phrase is counted only if
-both may.  That is read off a Bloom filter of the frequent shorter phrases.
+the chunk's frequency, from short to long: a phrase that occurs
+``least`` times holds two shorter ones that do, so one of three words or more
+is counted only if both may.  That is read off a Bloom filter of the frequent
+shorter phrases.
 Its size has a fixed bound; a filter that is too small for a corpus lets more
 phrases through and drops none, so counts are exact at every size.
 """
@@ -158,9 +159,9 @@ def filter_of(frequent: DataFrame, k: int) -> np.ndarray:
     return bits
 
 
-def counted(lang: str, found: list[bytes], closed: list[bool], f: list[int], k: int, overlap: int,
+def counted(lang: str, found: list[bytes], closed: list[bool], f: list[int], lengths: tuple, overlap: int,
             bits: np.ndarray | None) -> tuple[list[bytes], np.ndarray, int]:
-    """Distinct phrases of ``k`` words that start in the chunks and may be
+    """Distinct phrases of these lengths that start in the chunks and may be
     frequent, their weighted counts, and the weighted number of words."""
     split = [c.split(b" ") for c in found]
     sizes = np.array([len(w) for w in split])
@@ -172,56 +173,64 @@ def counted(lang: str, found: list[bytes], closed: list[bool], f: list[int], k:
     place = np.arange(len(ids))
     # a phrase starts before the closing trigger and ends inside its chunk
     own = place < np.repeat(ends - overlap * np.array(closed, np.int64), sizes)
-    total = int(weight[own].sum())
-    last = max(0, len(ids) - k + 1)
-    here = (own & (place + k <= np.repeat(ends, sizes)))[:last]
-    if bits is not None and last:
-        may = inside(bits, hashes(lang, _word_hashes(vocabulary)[ids], k - 1))
-        here &= may[:last] & may[1:last + 1]
-    starts = place[:last][here]
-    if not len(starts):
-        return [], np.zeros(0, np.int64), total
-    # exact numbers of the phrases: (number of the shorter one, next word)
-    code = ids[starts]
-    for i in range(1, k):
-        code = np.unique(code, return_inverse=True)[1] * len(vocabulary) + ids[starts + i]
-    order = np.argsort(code, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
-    sums = np.add.reduceat(weight[starts[order]], first)
-    heads = starts[order[first]]
-    columns = [[vocabulary[i] for i in ids[heads + j].tolist()] for j in range(k)]
-    return columns[0] if k == 1 else list(map(b" ".join, zip(*columns))), sums, total
-
-
-def _counts(k: int, overlap: int, sent):
-    """Chunks -> rows ``lang, phrase, f`` of the phrases of ``k`` words; with
-    k = 1 the empty phrase counts the words."""
+    end = np.repeat(ends, sizes)
+    phrases, sums = [], [np.zeros(0, np.int64)]
+    for k in lengths:
+        last = max(0, len(ids) - k + 1)
+        here = (own & (place + k <= end))[:last]
+        if bits is not None and last:
+            may = inside(bits, hashes(lang, _word_hashes(vocabulary)[ids], k - 1))
+            here &= may[:last] & may[1:last + 1]
+        starts = place[:last][here]
+        if not len(starts):
+            continue
+        # exact numbers of the phrases: (number of the shorter one, next word)
+        code, most = ids[starts], len(vocabulary)
+        for i in range(1, k):
+            if most * len(vocabulary) >= 1 << 62:
+                known, code = np.unique(code, return_inverse=True)
+                most = len(known)
+            code, most = code * len(vocabulary) + ids[starts + i], most * len(vocabulary)
+        order = np.argsort(code)
+        code = code[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        sums.append(np.add.reduceat(weight[starts[order]], first))
+        heads = starts[order[first]]
+        columns = [[vocabulary[i] for i in ids[heads + j].tolist()] for j in range(k)]
+        phrases += columns[0] if k == 1 else map(b" ".join, zip(*columns))
+    return phrases, np.concatenate(sums), int(weight[own].sum())
+
+
+def _counts(lengths: tuple, overlap: int, sent):
+    """Chunks -> rows ``lang, phrase, f`` of the phrases of these lengths; with
+    single words the empty phrase counts all words."""
     def task(batches):
-        bits, held = (shipped(sent) if sent else None), {}
-
-        def rows(lang):
-            phrases, sums, total = counted(lang, *held.pop(lang), k, overlap, bits)
-            if k == 1:
-                phrases, sums = [b"", *phrases], np.concatenate([[total], sums])
-            for a in range(0, len(phrases), 50_000):
-                some = phrases[a:a + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()),
-                                                  pa.array(sums[a:a + 50_000], pa.int64())], ["lang", "phrase", "f"])
-
-        size = Counter()
+        bits, held, size = (shipped(sent) if sent else None), {}, 0
+
+        def rows():
+            for lang in list(held):
+                phrases, sums, total = counted(lang, *held.pop(lang), lengths, overlap, bits)
+                if 1 in lengths:
+                    phrases, sums = [b"", *phrases], np.concatenate([[total], sums])
+                for a in range(0, len(phrases), 50_000):
+                    some = phrases[a:a + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()),
+                                                      pa.array(sums[a:a + 50_000], pa.int64())], ["lang", "phrase", "f"])
+
+        least = min(lengths) - 1
         for batch in batches:
             for lang, chunk, closed, f in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                mine = held.setdefault(lang, ([], [], []))
-                mine[0].append(chunk)
-                mine[1].append(closed)
-                mine[2].append(f)
-                size[lang] += chunk.count(b" ") + 1
-                if sum(size.values()) > WORDS:
-                    for x in list(held):
-                        yield from rows(x)
-                    size.clear()
-        for x in list(held):
-            yield from rows(x)
+                n = chunk.count(b" ")
+                if n >= least:
+                    mine = held.setdefault(lang, ([], [], []))
+                    mine[0].append(chunk)
+                    mine[1].append(closed)
+                    mine[2].append(f)
+                    size += n + 1
+                    if size > WORDS:
+                        yield from rows()
+                        size = 0
+        yield from rows()
     return task
 
 
@@ -232,15 +241,16 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 1, text_col:
     dictionary = written(texts.mapInArrow(_parsed(max_words - 1), "lang string, chunk binary, closed boolean, f long")
                          .groupBy("lang", "chunk", "closed").agg(F.sum("f").alias("f")), "chunks")
     every, sent = None, None
-    for k in range(1, max_words + 1):
+    # single words and pairs in one pass: a filter of words holds back too few pairs to pay for another
+    for lengths in [tuple(range(1, min(2, max_words) + 1)), *((k,) for k in range(3, max_words + 1))]:
         release(docs.sparkSession)  # the shuffles of the step before go
-        found = (dictionary.mapInArrow(_counts(k, max_words - 1, sent), "lang string, phrase binary, f long")
+        found = (dictionary.mapInArrow(_counts(lengths, max_words - 1, sent), "lang string, phrase binary, f long")
                  .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.length("phrase") == 0)))
-        found = written(found, "phrases")
+        found = written(found.withColumn("k", F.size(F.split(F.col("phrase").cast("string"), " "))), "phrases")
         every = found if every is None else every.unionAll(found)
-        if k < max_words:
-            sent = ship(docs.sparkSession, filter_of(found.where(F.length("phrase") > 0), k))
-    return every.withColumn("phrase", F.col("phrase").cast("string"))
+        if lengths[-1] < max_words:
+            sent = ship(docs.sparkSession, filter_of(found.where(F.col("k") == lengths[-1]), lengths[-1]))
+    return every.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
 
 
 def collocations(docs: DataFrame, max_words: int = 3, least: int = 10, inside_percent: int = 50, top: int = 2000,

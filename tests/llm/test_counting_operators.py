@@ -149,7 +149,7 @@ def test_chunks_hold_every_phrase_once(words, overlap, times):
     finally:
         collocations.SHORT, collocations.EVERY = short, 24
     for k in range(1, overlap + 2):
-        got, sums, total = collocations.counted("en", *map(list, zip(*found)), [times] * len(found), k, overlap, None)
+        got, sums, total = collocations.counted("en", *map(list, zip(*found)), [times] * len(found), (k,), overlap, None)
         want = Counter(b" ".join(words[i:i + k]) for i in range(len(words) - k + 1))
         assert dict(zip(got, sums.tolist())) == {g: times * n for g, n in want.items()} and total == times * len(words)
 

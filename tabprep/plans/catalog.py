@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tabprep.functions import rowexpr
 from tabprep.functions.hashing import sql_key_hash
 from tabprep.operators import align, encode, impute, metrics, profile, split, stats
-from tabprep.plans import house, models, sgd
+from tabprep.plans import folds, house, models, sgd
 from tabprep.session import scratch_path
 from tabprep.sources import io, tables
 from tabprep.sources.tables import HOUSE_LIKE_SQL
@@ -911,19 +911,6 @@ def m2_gd_linear(spark, sf_dir):
         "epoch int, w0 double, w1 double, b double, loss double")
 
 
-@register("m2_sgd_minibatch")
-def m2_sgd_minibatch(spark, sf_dir):
-    """The reference's run: batch 10, lr 0.03, 3 epochs, half squared loss,
-    nominal batch division; one row per epoch (train/validation RMSE)."""
-    s4 = _s4(spark, sf_dir)
-    fit_part, val_part = split.holdout(s4, "id", 80)
-    res = sgd.linear_sgd(spark, fit_part, ["x0", "x1"], "y", key="id", valid=val_part,
-                         lr=M2_LR, epochs=M2_EPOCHS, batch_size=10, rows_per_part=20_000)
-    return spark.createDataFrame(
-        [(c["epoch"], c["train_rmse"], c["valid_rmse"]) for c in res.curve],
-        "epoch int, train_rmse double, valid_rmse double")
-
-
 # ------------------------------------------ M3, M4 classifiers (embeddings)
 
 def _embedding_parts(spark, sf_dir):
@@ -1108,17 +1095,6 @@ def m7_boosting_part(spark, sf_dir):
     return models.fit_score(est, fit_part, test_part, keep=("p_partkey",))
 
 
-@register("m14_cv_linear_part")
-def m14_cv_linear_part(spark, sf_dir):
-    p = tables.load(spark, sf_dir, "part")
-    data = split.with_folds(
-        models.vectorize(p, ["p_partkey", "p_size"], keep=("p_partkey", "p_retailprice")),
-        "p_partkey", 5)
-    _, table = models.grid_search(spark, models.linear_regression(label="p_retailprice"),
-                                  data, {"regParam": [0.0, 0.1]}, "p_retailprice", 5)
-    return table
-
-
 # ------------------------------------------------- M13-M15 folds and grids
 
 FOLD_SQL = (f", kept AS (SELECT id, target, CAST(({sql_key_hash('id', 1)}) % 5 AS INTEGER) AS fold "
@@ -1205,9 +1181,9 @@ def m14_grid_forest(spark, sf_dir):
 def m15_grid_boosting(spark, sf_dir):
     tr, _ = _design_vectors(spark, sf_dir)
     data = split.with_folds(tr, "id", 5)
-    est = models.boosted_trees(label="target", max_iter=3, max_depth=5)
-    _, table = models.grid_search(spark, est, data, {"maxIter": [3, 6], "stepSize": [0.05, 0.1]},
-                                  "target", 5, parallelism=2)
+    est = models.boosted_trees(label="target", max_depth=5)
+    _, table = folds.staged_grid(spark, est, data, {"maxIter": [2, 4, 6, 8], "stepSize": [0.05, 0.1]},
+                                 "target", 5, parallelism=2)
     return table
 
 

@@ -2,9 +2,9 @@
 (M5, M9, M17).
 
 M2, full batch.  The squared loss of a linear model only needs the means and
-covariances of features and label;
-two aggregates over the table (partial per task, one tiny final row) give
-them, and then any number of epochs runs on d x d numbers on the driver.
+co-moments of features and label (``operators.comoments``: one aggregate up to
+some tens of features); then any number of epochs runs on d x d numbers on the
+driver.  Its mini-batch form is ``plans.scan_sgd``.
 The iterates are the ones a per-epoch pass would give (one pass instead of
 one per epoch).  ``method="pass"`` runs one aggregate per epoch instead.
 
@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.missing import qcol
+from tabprep.operators.comoments import CoMoments, co_moments
 from tabprep.operators.split import epoch_order
 
 CHUNK = 8192  # floats per weight chunk sent between tasks
@@ -53,27 +54,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # ------------------------------------------------------------ M2 (linear)
 
-def _moments_of_pairs(df: DataFrame, xs: list[Column], y: Column
-                      ) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, means, covariance sums about the means) of the features and, last,
-    the label: one aggregate for the means and one of the summed outer
-    products of the centred row, a single array column whatever the number of
-    features.  Centring first keeps every digit when values are far from 0."""
-    cols = F.array(*xs, y)
-    d = len(xs) + 1
-    rows = df.select(cols.alias("z")).where(~F.exists("z", lambda v: v.isNull()))
-    one = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("z")[i]).alias(f"m{i}") for i in range(d)]).first()
-    mean = np.array([one[f"m{i}"] or 0.0 for i in range(d)])
-    centred = rows.select(F.zip_with("z", F.array(*[F.lit(float(m)) for m in mean]), lambda a, m: a - m).alias("z"))
-    # (place, product) pairs would be d^2 rows per row; partial sums are kept
-    # per task as one vector by MLlib's summarizer
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-    outer = F.flatten(F.transform("z", lambda a: F.transform("z", lambda b: a * b)))
-    total = centred.select(array_to_vector(outer).alias("o")).select(Summarizer.sum(F.col("o")).alias("s")).first()["s"]
-    return one["n"], mean, np.array(total.toArray()).reshape(d, d)
-
-
 def linear_gd(df: DataFrame, features: Sequence[str], label: str, lr: float = 0.03,
               epochs: int = 3, half: bool = True, init: Sequence[float] | None = None,
               init_bias: float = 0.0, method: str = "stats") -> list[dict]:
@@ -103,7 +83,8 @@ def linear_gd(df: DataFrame, features: Sequence[str], label: str, lr: float = 0.
         for o, lo in zip(out, losses):
             o["loss"] = lo
         return out
-    n, mean, cov = _moments_of_pairs(df, xs, y)
+    m = co_moments(df, [*xs, y]).get(None) or CoMoments(0, np.zeros(d + 1), np.zeros((d + 1, d + 1)))
+    n, mean, cov = m.n, m.mean, m.c
     mx, my, cxx, cxy, cyy = mean[:d], mean[d], cov[:d, :d], cov[:d, d], cov[d, d]
     for e in range(1, epochs + 1):
         off = w @ mx + b - my                  # mean residual

@@ -28,14 +28,29 @@ CATEGORY_METHODS = ("mode",)
 @dataclass
 class FittedImputer:
     """Fill values by column; numeric fills are doubles, category fills text
-    cast back to the column's type."""
+    cast back to the column's type.  A whole-number column keeps its type
+    where the fill is whole too or nothing is missing, as in pandas."""
     numeric: dict[str, float | None] = field(default_factory=dict)
     category: dict[str, str | None] = field(default_factory=dict)
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, missing: Sequence[str] | None = None) -> DataFrame:
+        """``missing`` names the whole-number columns of ``df`` that have
+        missing values; not given, those whose fill is fractional are counted
+        (one narrow aggregate; on a stream they are taken to have some)."""
+        whole = [n for n in self.numeric if n in df.columns and isinstance(df.schema[n].dataType, T.IntegralType)]
+        asked = [n for n in whole if self.numeric[n] is not None and not float(self.numeric[n]).is_integer()]
+        if missing is None:
+            missing = asked
+            if asked and not df.isStreaming:
+                row = df.agg(*[F.bool_or(qcol(n).isNull()).alias(f"m{i}") for i, n in enumerate(asked)]).first()
+                missing = [n for i, n in enumerate(asked) if row[f"m{i}"]]
         out = []
         for n in df.columns:
-            if n in self.numeric:
+            if n in whole and not (n in asked and n in missing):
+                v = self.numeric[n]
+                fill = F.lit(int(v)).cast(df.schema[n].dataType) if v is not None and n not in asked else None
+                out.append((qcol(n) if fill is None else F.coalesce(qcol(n), fill)).alias(n))
+            elif n in self.numeric:
                 v = self.numeric[n]
                 c = nan_to_null(df, n).cast("double")
                 out.append((c if v is None else F.coalesce(c, F.lit(float(v)))).alias(n))

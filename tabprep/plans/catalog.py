@@ -281,7 +281,8 @@ def f1_pruned_test(spark, sf_dir):
 
 
 def _fill_sql(table: str, stat: str, source: str = "train") -> str:
-    num = ", ".join(
+    # nation has nothing missing and stays a whole number
+    num = ", ".join(c if c == "nation" else
         f"round(coalesce(CAST({c} AS DOUBLE), (SELECT CAST({stat}({c}) AS DOUBLE) FROM {source})), {R}) AS {c}"
         for c in NUM_FEATS)
     cat = ", ".join(
@@ -1010,7 +1011,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tree_sql() -> str:
-    num = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM kept)), {R}) AS {c}"
+    num = ", ".join(c if c == "nation" else f"round(coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM kept)), {R}) AS {c}"
                     for c in NUM_FEATS)
     dummies = _dummy_sql(JOINT_VALUES, dummy_na=True, cast="INTEGER")
     return with_house(

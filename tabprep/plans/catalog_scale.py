@@ -11,7 +11,8 @@ from tabprep.operators import align, dictionary, permute, split
 from tabprep.plans import folds, scan_sgd
 from tabprep.plans.catalog import (CAT_FEATS, M2_EPOCHS, M2_LR, NUM_FEATS, ORACLE, R, S4_SQL, _num_sql, _r, _s4,
                                    house_parts, lit, q, register, union_sql, with_house)
-from tabprep.sources import tables
+from tabprep.session import scratch_path
+from tabprep.sources import io, tables
 
 # ------------------------------------- A9, F10, F11: dictionaries and vectors
 
@@ -224,3 +225,18 @@ def u2_glue_hot_key(spark, sf_dir):
         return o.where(F.col("o_orderkey") % 7 != out).select(k.alias("k"), F.col(column).alias(name))
 
     return align.glue_columns(keyed(3, "o_totalprice", "price", 1), keyed(1500, "o_orderpriority", "priority", 2), "k")
+
+
+# ------------------------------------- S1: records with quoted line breaks
+
+@register("s1_csv_line_breaks", "SELECT doc_id, CASE WHEN text <> '' THEN text END AS text, lang, source, "
+          "doc_id % 3 = 0 AS flag, CAST(NULL AS DOUBLE) AS nothing, n_chars FROM documents")
+def s1_csv_line_breaks(spark, sf_dir):
+    """Whole texts with their line breaks and quotes, through a CSV file."""
+    path = scratch_path(spark, "texts-csv")
+    docs = tables.load(spark, sf_dir, "documents")
+    flag = F.when(F.col("doc_id") % 3 == 0, "True").otherwise("False")
+    (docs.select("doc_id", "text", "lang", "source", flag.alias("flag"), F.lit("NA").alias("nothing"), "n_chars")
+     .write.option("header", True).option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return io.read_csv(spark, path, key="doc_id")

@@ -5,7 +5,7 @@ preview (S1-S3, S6-S8).
 ``nullValue`` token), turns any of the NA tokens into NULL in one projection,
 then types each column the way pandas would: integer if every present value
 parses as one, else floating if every present value parses as a number,
-else text.  Type inference is one aggregate over the file (per column, a
+else text; truth values as booleans, and a column without values as floating.  Type inference is one aggregate over the file (per column, a
 count of values that do not match the integer / number pattern, partial per
 task); with ``types`` given for a column it is skipped there.  Both steps are projections, so filters and column pruning
 still reach the scan.
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.missing import PANDAS_NA_TOKENS, qcol
+from tabprep.sources import records
 
 
 def _na_to_null(c, tokens: Sequence[str]):
@@ -32,10 +33,14 @@ FLOAT_PATTERN = (r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
                  r"|(?i:inf|infinity))\s*$")
 
 
+# The spellings of truth values that pandas' parser takes.
+BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """pandas-like type of every text column: 'bigint', 'decimal(20,0)' (whole
-    numbers up to 2^64 - 1), 'double' or 'string' (also for whole numbers
-    beyond that).  One aggregate: per column, the count of present values that
+    """pandas-like type of every text column: 'boolean', 'bigint',
+    'decimal(20,0)' (whole numbers up to 2^64 - 1), 'double' (also where nothing
+    is present) or 'string' (also for whole numbers beyond that).  One aggregate: per column, the count of present values that
     do not look like an integer / a number (regular expressions, JVM side; a
     failed ``try_cast`` costs an exception per value, so casts run only on
     columns known to parse), and the range of integers of 19 digits or more."""
@@ -43,7 +48,8 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     aggs = []
     for i, c in enumerate(cols):
         x = qcol(c)
-        aggs += [F.count_if(x.isNotNull() & ~x.rlike(INT_PATTERN)).alias(f"i{i}"),
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNotNull() & ~x.isin(*BOOLEANS)).alias(f"b{i}"),
+                 F.count_if(x.isNotNull() & ~x.rlike(INT_PATTERN)).alias(f"i{i}"),
                  F.count_if(x.isNotNull() & ~x.rlike(FLOAT_PATTERN)).alias(f"d{i}")]
         digits = F.regexp_replace(x, r"^\s*[+-]?0*|\s*$", "")
         wide = F.when(x.rlike(INT_PATTERN) & (F.length(digits) >= 19), digits)
@@ -58,7 +64,11 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
-        if row[f"i{i}"] == 0:
+        if row[f"n{i}"] == 0:
+            out[c] = "double"  # nothing present
+        elif row[f"b{i}"] == 0:
+            out[c] = "boolean"
+        elif row[f"i{i}"] == 0:
             top = int(row[f"p{i}"]["v"]) if row[f"p{i}"] else 0
             low = int(row[f"m{i}"]["v"]) if row[f"m{i}"] else 0
             if top < 1 << 63 and low <= 1 << 63:
@@ -81,10 +91,14 @@ def read_csv(spark: SparkSession, path: str, key: str | None = None,
     """S1 (``key`` named: it comes first and is never a feature), S2
     (``key=None``: every column stays, an ``Id`` column is then an ordinary
     feature), S3 (``drop``: columns removed at load).  ``types`` maps column
-    name to a Spark type and skips inference for those columns."""
+    name to a Spark type and skips inference for those columns.  Line breaks
+    inside quotes are kept, and such files are still read in splits (see
+    ``records``); column names hold none."""
     raw = (spark.read.option("header", True).option("sep", sep)
            .option("inferSchema", False).option("mode", "FAILFAST")
            .option("escape", '"').csv(path))
+    if records.has_broken_lines(spark, path):
+        raw = records.parsed(spark, path, raw.columns, sep)
     raw = raw.drop(*[c for c in drop if c in raw.columns])
     text = raw.select(*[_na_to_null(qcol(c), na_tokens).alias(c) for c in raw.columns])
     given = dict(types or {})

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.hashing import sql_key_hash
 from tabprep.operators import align, dictionary, permute, split
-from tabprep.plans import folds, scan_sgd
+from tabprep.plans import folds, models, scan_sgd
 from tabprep.plans.catalog import (CAT_FEATS, M2_EPOCHS, M2_LR, NUM_FEATS, ORACLE, R, S4_SQL, _num_sql, _r, _s4,
                                    house_parts, lit, q, register, union_sql, with_house)
 from tabprep.session import scratch_path
 from tabprep.sources import io, tables
+from tabprep.streaming import profile_state
+from tabprep.streaming.score import read_table_stream
 
 # ------------------------------------- A9, F10, F11: dictionaries and vectors
 
@@ -240,3 +242,126 @@ def s1_csv_line_breaks(spark, sf_dir):
      .write.option("header", True).option("escape", '"').option("quoteAll", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return io.read_csv(spark, path, key="doc_id")
+
+
+# --------------------------- A1-A9 as state merged over a growing table
+
+_STATE_NUMBERS = ["acctbal", "nation", "target"]
+
+
+def _appended(spark, sf_dir) -> str:
+    """The state after the train rows have come in three files."""
+    train, _ = house_parts(spark, sf_dir)
+    rows, state = scratch_path(spark, "growing"), scratch_path(spark, "profile-state")
+    for i in range(3):
+        train.where(F.col("id") % 3 == i).coalesce(1).write.mode("append").parquet(rows)
+    source = read_table_stream(spark, rows, train.schema, max_files_per_trigger=1)
+    profile_state.append_profile(spark, source, state, _STATE_NUMBERS, CAT_FEATS).awaitTermination()
+    return state
+
+
+@register("a1_a8_appended", with_house(union_sql([
+    f"SELECT {lit(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS missing, CAST(count(*) AS BIGINT) AS \"rows\", "
+    f"CAST(count_if({c} IS NULL) AS DOUBLE) / count(*) AS ratio, "
+    + (f"round(avg({c}), {R}) AS mean, round(stddev_pop({c}), {R}) AS std, CAST(min({c}) AS DOUBLE) AS min, "
+       f"CAST(max({c}) AS DOUBLE) AS max, round(CAST(max({c}) - min({c}) AS DOUBLE), {R}) AS range, NULL AS mode" if c in _STATE_NUMBERS else
+       f"NULL AS mean, NULL AS std, NULL AS min, NULL AS max, NULL AS range, (SELECT {c} FROM train WHERE {c} IS NOT NULL "
+       f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS mode") + " FROM train"
+    for c in (*_STATE_NUMBERS, *CAT_FEATS)])))
+def a1_a8_appended(spark, sf_dir):
+    """Missing profile, moments and modes from the merged state alone."""
+    state = _appended(spark, sf_dir)
+    found = profile_state.read_profile(spark, state).drop("median")
+    found = found.withColumns({c: F.round(c, R) for c in ("mean", "std", "range")})
+    return found.join(profile_state.read_modes(spark, state), "column", "left")
+
+
+# ------------------- M3, M4, M6, M7, M16: learners against SQL or a baseline
+
+def _stump_sql(source: str, out: str, value: str) -> str:
+    """CTEs of the best split of ``source`` (x0, x1, {value}) by squared error:
+    thresholds half way between neighbouring values, the first feature and the
+    least threshold on a tie."""
+    return (f"{out}_v AS (SELECT DISTINCT 0 AS f, x0 AS x FROM {source} UNION SELECT DISTINCT 1, x1 FROM {source}),\n"
+            f"{out}_t AS (SELECT f, (x + lead(x) OVER (PARTITION BY f ORDER BY x)) / 2 AS t FROM {out}_v QUALIFY t IS NOT NULL),\n"
+            f"{out}_s AS (SELECT f, t, avg({value}) FILTER (x <= t) AS l, avg({value}) FILTER (x > t) AS r, "
+            f"var_pop({value}) FILTER (x <= t) * count(*) FILTER (x <= t) + var_pop({value}) FILTER (x > t) * count(*) FILTER (x > t) AS sse "
+            f"FROM (SELECT f, t, CASE WHEN f = 0 THEN x0 ELSE x1 END AS x, {value} FROM {source}, {out}_t) GROUP BY f, t),\n"
+            f"{out} AS (SELECT * FROM {out}_s ORDER BY round(sse, 3), f, t LIMIT 1)")
+
+
+_TREE_SQL = (f"WITH rows AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x0, CAST(p_partkey % 23 AS DOUBLE) AS x1, "
+             f"CAST(p_retailprice AS DOUBLE) + 40 * CAST(p_size AS DOUBLE) + 900 * CAST(p_partkey % 23 > 7 AS DOUBLE) AS y, "
+             f"({sql_key_hash('p_partkey')}) % 100 < 80 AS fit FROM part),\nfitted AS (SELECT * FROM rows WHERE fit),\n")
+_LEAF = "(CASE WHEN CASE WHEN {s}.f = 0 THEN x0 ELSE x1 END <= {s}.t THEN {s}.l ELSE {s}.r END)"
+
+
+def _tree_rows(spark, sf_dir):
+    p = tables.load(spark, sf_dir, "part")
+    x1 = (F.col("p_partkey") % 23).cast("double")
+    rows = p.select("p_partkey", F.col("p_size").cast("double").alias("x0"), x1.alias("x1"),
+                    (F.col("p_retailprice").cast("double") + 40 * F.col("p_size").cast("double")
+                     + 900 * (F.col("p_partkey") % 23 > 7).cast("double")).alias("y"))
+    return split.holdout(models.vectorize(rows, ["x0", "x1"], keep=("p_partkey", "y")), "p_partkey", 80)
+
+
+def _predicted(spark, sf_dir, est):
+    fit_part, test_part = _tree_rows(spark, sf_dir)
+    out = models.fit_score(est, fit_part, test_part, keep=("p_partkey",))
+    return out.withColumn("prediction", F.round("prediction", 4))
+
+
+@register("m6_stump_part", _TREE_SQL + _stump_sql("fitted", "s", "y") + (
+    f"\nSELECT p_partkey, round({_LEAF.format(s='s')}, 4) AS prediction FROM rows, s WHERE NOT fit"))
+def m6_stump_part(spark, sf_dir):
+    """A forest of one tree of depth 1 on all rows and features."""
+    est = models.random_forest(label="y", num_trees=1, max_depth=1, feature_subset="all").setBootstrap(False).setMaxBins(64)
+    return _predicted(spark, sf_dir, est)
+
+
+@register("m7_two_rounds_part", _TREE_SQL + _stump_sql("fitted", "s", "y") + (
+    f",\nrest AS (SELECT fitted.*, 2 * (y - {_LEAF.format(s='s')}) AS z FROM fitted, s),\n") + _stump_sql("rest", "u", "z") + (
+    f"\nSELECT p_partkey, round({_LEAF.format(s='s')} + 0.3 * {_LEAF.format(s='u')}, 4) AS prediction FROM rows, s, u WHERE NOT fit"))
+def m7_two_rounds_part(spark, sf_dir):
+    """Two rounds of boosting with stumps: the second fits the gradient."""
+    est = models.boosted_trees(label="y", max_iter=2, step_size=0.3, max_depth=1, subsample=1.0, feature_subset="all").setMaxBins(64)
+    return _predicted(spark, sf_dir, est)
+
+
+@register("m16_linear_refit_part", _TREE_SQL + """c AS (
+  SELECT covar_pop(x0, x0) AS c00, covar_pop(x1, x1) AS c11, covar_pop(x0, x1) AS c01, covar_pop(x0, y) AS c0y,
+         covar_pop(x1, y) AS c1y, avg(x0) AS m0, avg(x1) AS m1, avg(y) AS my FROM fitted),
+w AS (SELECT (c11 * c0y - c01 * c1y) / (c00 * c11 - c01 * c01) AS w0, (c00 * c1y - c01 * c0y) / (c00 * c11 - c01 * c01) AS w1, * FROM c)
+SELECT p_partkey, round(my + w0 * (x0 - m0) + w1 * (x1 - m1), 4) AS prediction FROM rows, w WHERE NOT fit""")
+def m16_linear_refit_part(spark, sf_dir):
+    """Refit on all training rows, score the others."""
+    return _predicted(spark, sf_dir, models.linear_regression(label="y"))
+
+
+_LEARNABLE_SQL = (f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS missing, true AS beats_baseline "
+                  f"FROM embeddings WHERE NOT (({sql_key_hash('vec_id')}) % 100 < 80)")
+
+
+def _beats_baseline(spark, sf_dir, est):
+    """Hold-out rows, missing predictions, and whether the classifier's
+    accuracy is above the most frequent class's share by a quarter of the
+    rest; the label is which of three coordinates is greatest."""
+    e = tables.load(spark, sf_dir, "embeddings").withColumn("x", F.slice("embedding", 1, 3))
+    e = e.withColumn("label", (F.array_position("x", F.array_max("x")) - 1).cast("double"))
+    fit_part, test_part = split.holdout(models.vectorize(e, "x", keep=("vec_id", "label")), "vec_id", 80)
+    scored = models.fit_score(est, fit_part, test_part, keep=("label",))
+    counts = scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull()).alias("missing"),
+                                         F.count_if(F.col("prediction") == F.col("label")).alias("hits"))
+    share = F.max("n") / F.sum("n")
+    return counts.agg(F.sum("n").alias("n"), F.sum("missing").alias("missing"),
+                      (F.sum("hits") / F.sum("n") > share + (1 - share) / 4).alias("beats_baseline"))
+
+
+@register("m3_softmax_learnable", _LEARNABLE_SQL)
+def m3_softmax_learnable(spark, sf_dir):
+    return _beats_baseline(spark, sf_dir, models.softmax_regression(label="label", max_iter=50))
+
+
+@register("m4_perceptron_learnable", _LEARNABLE_SQL)
+def m4_perceptron_learnable(spark, sf_dir):
+    return _beats_baseline(spark, sf_dir, models.perceptron([3, 8, 3], label="label", max_iter=60))

@@ -33,13 +33,24 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, max_
     return texts.join(F.broadcast(rows), "id").select("id", "t", F.col("y").cast("int").alias("y"))
 
 
-def portions(text: str, size: int = 1_000_000) -> Iterator[str]:
-    """A text in runs of about ``size`` characters, cut at white space where
-    there is some, so that one text never fills a task's memory."""
-    at = 0
-    while len(text) - at > size:
-        cut = max(text.rfind(" ", at, at + size), text.rfind("\n", at, at + size)) + 1
-        cut = cut if cut > at else at + size
+def portions(text: str, size: int = 1_000_000, lines: bool = False) -> Iterator[str]:
+    """A text in runs of about ``size`` characters, so that one text never
+    fills a task's memory.  Cuts fall behind line ends (``lines``), or behind
+    characters that are no part of a word; a longer line or word is not cut
+    but makes its run as long, so nothing depends on ``size``."""
+    at, n = 0, len(text)
+    while n - at > size:
+        if lines:
+            cut = text.rfind("\n", at, at + size) + 1 or text.find("\n", at + size) + 1 or n
+        else:
+            cut = at + size
+            while cut > at and text[cut - 1].isalnum():
+                cut -= 1
+            if cut == at:
+                cut = at + size
+                while cut < n and text[cut - 1].isalnum():
+                    cut += 1
         yield text[at:cut]
         at = cut
-    yield text[at:] if at else text
+    if at < n or not n:
+        yield text[at:]

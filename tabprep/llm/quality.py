@@ -41,11 +41,10 @@ N_FEATURES = 3 * N_OWN + 3  # own, before, after; no line before, none after, co
 
 
 def lines_of(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(features of its own, byte length) of every line that is not blank.
-    A line longer than a portion counts as several lines."""
+    """(features of its own, byte length) of every line that is not blank."""
     found, sizes = [], []
     seen: set[int] = set()
-    for portion in portions(text):
+    for portion in portions(text, lines=True):
         lines = [x for x in portion.split("\n") if x and not x.isspace()]
         if not lines:
             continue

@@ -49,8 +49,25 @@ def test_sample_leaves_held_out_rows_alone(spark):
 def test_portions_lose_nothing():
     text = prose(1, 400) + "x" * 500 + prose(2, 100)
     parts = list(portions(text, 97))
-    assert "".join(parts) == text and max(map(len, parts)) <= 97
+    assert "".join(parts) == text and sorted(map(len, parts))[-2] <= 97
+    assert [w for p in parts for w in toxicity.WORD.findall(p)] == toxicity.WORD.findall(text)  # the longest word is whole
     assert list(portions("")) == [""]
+    for text in ("a\n" * 300 + "b" * 400 + "\nc\n\n" * 90, "x" * 300, "\n" * 300, "ab\t" * 200 + "1²_é" * 80):
+        assert [x for p in portions(text, 50, lines=True) for x in p.split("\n") if x] == [x for x in text.split("\n") if x]
+        assert [w for p in portions(text, 50) for w in toxicity.WORD.findall(p)] == toxicity.WORD.findall(text)
+
+
+def test_size_of_portions_decides_nothing(models, monkeypatch):
+    """A text of three million characters, in portions and whole."""
+    long = "\n".join([prose(i, 400) for i in range(900)] + ["tab\t" * 300_000, "<x>" * 200_000]) + "\n"
+    assert len(long) > 3_000_000
+    in_parts = toxicity.Scorer(models[0]).logit(long), quality.lines_of(long)
+    monkeypatch.setattr(toxicity, "portions", lambda t: [t])
+    monkeypatch.setattr(quality, "portions", lambda t, lines: [t])
+    whole = toxicity.Scorer(models[0]).logit(long), quality.lines_of(long)
+    assert in_parts[0][1] == whole[0][1] and in_parts[0][0] == pytest.approx(whole[0][0], abs=1e-4)
+    lines = sum(bool(x.strip()) for x in long.split("\n"))
+    assert len(in_parts[1][1]) == lines and all((a == b).all() for a, b in zip(in_parts[1], whole[1]))
 
 
 @pytest.fixture(scope="module")

@@ -120,19 +120,25 @@ def consecutive_index(df: DataFrame, order: Sequence[Column | str],
     ``rows_per_range`` rows each, whatever the table's size."""
     cols = [qcol(c) if isinstance(c, str) else c for c in order]
     names = [f"o{i}" for i in range(len(cols))]
-    keys = df.select(*[c.alias(n) for c, n in zip(cols, names)], *[h.alias(n) for h, n in zip(_located(df), ("h1", "h2"))])
-    sort = [*names, "h1", "h2"]
     n = max(1, -(-df.count() // rows_per_range))
-    ordered = keys.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     pid = F.spark_partition_id()
+    if set(df.columns) <= {c for c in order if isinstance(c, str)}:  # the table is its own key
+        keys, sort, kept = df, cols, [qcol(c) for c in df.columns]
+    else:
+        keys = df.select(*[c.alias(n) for c, n in zip(cols, names)], *[h.alias(n) for h, n in zip(_located(df), ("h1", "h2"))])
+        sort, kept = [*names, "h1", "h2"], [F.col("h1"), F.col("h2")]
+    ordered = keys.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     # place and range are written with the keys: reading them again in other
     # partitions, or after a lost executor, changes nothing
-    placed = _written(ordered.select("h1", "h2", pid.alias("range"), (
-        F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("place")), "row-order")
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _written(placed.groupBy("range").count()  # one row per range
-                       .select("range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")), "range-offsets")
-    numbers = (placed.join(offsets, "range").groupBy("h1", "h2")
+    range_, place, start = (("__" if keys is df else "") + x for x in ("range", "place", "start"))
+    placed = _written(ordered.select(*kept, pid.alias(range_), (
+        F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias(place)), "row-order")
+    before = Window.orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _written(placed.groupBy(range_).count()  # one row per range
+                       .select(range_, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(start)), "range-offsets")
+    if keys is df:
+        return placed.join(offsets, range_).select(*kept, (F.col(start) + F.col(place)).alias(out))
+    numbers = (placed.join(offsets, range_).groupBy("h1", "h2")
                .agg(F.min(F.col("start") + F.col("place")).alias("first"), F.count(F.lit(1)).alias("copies")))
     located = df.select(F.struct(*[qcol(c) for c in df.columns]).alias("r"), *[
         h.alias(n) for h, n in zip(_located(df), ("h1", "h2"))])

@@ -314,15 +314,16 @@ def _refine(long: DataFrame, probes: list[dict], buckets: int,
             result: dict[int, dict[int, float]]) -> list[dict]:
     """One round: two values around the ranks of each probe, then the counts."""
     cells = long.select("v", _probe_id(probes).alias("p")).where(F.col("p").isNotNull())
-    grid = [i / buckets for i in range(buckets + 1)]
-    # one row per probe: at most two per column
-    found = {r["p"]: r["q"] for r in cells.groupBy("p").agg(
-        F.percentile_approx("v", grid, 10_000).alias("q")).collect()}
-    lo, hi = [], []
-    for j, p in enumerate(probes):
+    # the two grid points around the ranks of each probe
+    ends = []
+    for p in probes:
         at = [(r - p["below"]) / p["n"] * buckets for r in p["ranks"]]
-        lo.append(found[j][max(0, int(min(at)) - 1)])
-        hi.append(found[j][min(buckets, int(max(at)) + 2)])
+        ends.append((max(0, int(min(at)) - 1), min(buckets, int(max(at)) + 2)))
+    grid = sorted({x for pair in ends for x in pair})
+    # one row per probe: at most two per column
+    found = {r["p"]: dict(zip(grid, r["q"])) for r in cells.groupBy("p").agg(
+        F.percentile_approx("v", [x / buckets for x in grid], 10_000).alias("q")).collect()}
+    lo, hi = ([found[j][pair[side]] for j, pair in enumerate(ends)] for side in (0, 1))
     a = F.element_at(F.array(*[F.lit(x) for x in lo]), F.col("p") + 1)
     b = F.element_at(F.array(*[F.lit(x) for x in hi]), F.col("p") + 1)
     v = F.col("v")

@@ -43,6 +43,14 @@ def test_numbering_plan_does_not_grow_with_ranges(spark):
     assert [r["row"] for r in many.orderBy("k").collect()] == list(range(2_000))
 
 
+def test_a_table_of_its_order_columns_is_numbered_at_once(spark):
+    df = spark.range(500).selectExpr("id % 50 as start", "id % 7 as range")
+    out = align.consecutive_index(df.repartition(3), ["range", "start"], rows_per_range=60)
+    rows = sorted(tuple(r) for r in out.select("row", "range", "start").collect())
+    assert [r[0] for r in rows] == list(range(500)) and [r[1:] for r in rows] == sorted(r[1:] for r in rows)
+    assert "h1" not in _plan(out)
+
+
 def test_equal_rows_take_all_their_numbers(spark):
     df = spark.range(900).selectExpr("if(id < 300, 1, id) as k", "map('a', if(id < 300, 1, id)) as m", "if(id < 300, null, 'x') as s")
     out = align.consecutive_index(df.repartition(5), ["k"], rows_per_range=100)

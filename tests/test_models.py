@@ -150,3 +150,17 @@ def test_same_seed_same_result(spark, s4):
     p1 = models.fit_score(est, data, data, keep=("id",)).collect()
     p2 = models.fit_score(est, data, data, keep=("id",)).collect()
     assert sorted(map(tuple, p1)) == sorted(map(tuple, p2))
+
+
+def test_trees_train_on_tasks_of_bounded_rows(spark, monkeypatch):
+    """One file of any size used to be one task, which read it all again at
+    every level of the trees."""
+    df = spark.range(0, 5000, 1, 1).selectExpr("id", "cast(id % 7 as double) as a", "cast(id % 11 as double) as y")
+    data = models.vectorize(df, ["a"], keep=("id", "y"))
+    forest = models.random_forest(label="y", num_trees=2, max_depth=3)
+    assert models.spread(forest, data) is data
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 1000)
+    dealt = models.spread(forest, data)
+    assert [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()] == [1000] * 5
+    assert sorted(r["id"] for r in dealt.collect()) == list(range(5000))
+    assert models.spread(models.linear_regression(label="y"), data) is data

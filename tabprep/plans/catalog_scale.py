@@ -250,13 +250,14 @@ _STATE_NUMBERS = ["acctbal", "nation", "target"]
 
 
 def _appended(spark, sf_dir) -> str:
-    """The state after the train rows have come in three files."""
+    """The state after the train rows have come in three appends, each of as
+    many files as its rows make and one micro-batch of the same stream."""
     train, _ = house_parts(spark, sf_dir)
-    rows, state = scratch_path(spark, "growing"), scratch_path(spark, "profile-state")
+    rows, state, checkpoint = (scratch_path(spark, x) for x in ("growing", "profile-state", "profile-ckpt"))
     for i in range(3):
-        train.where(F.col("id") % 3 == i).coalesce(1).write.mode("append").parquet(rows)
-    source = read_table_stream(spark, rows, train.schema, max_files_per_trigger=1)
-    profile_state.append_profile(spark, source, state, _STATE_NUMBERS, CAT_FEATS).awaitTermination()
+        train.where(F.col("id") % 3 == i).write.mode("append").parquet(rows)
+        source = read_table_stream(spark, rows, train.schema)
+        profile_state.append_profile(spark, source, state, _STATE_NUMBERS, CAT_FEATS, checkpoint).awaitTermination()
     return state
 
 

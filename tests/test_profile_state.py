@@ -4,6 +4,7 @@ whatever is run again."""
 import pytest
 from pyspark.sql import functions as F
 from tabprep.operators import profile, stats
+from tabprep.plans import catalog_scale
 from tabprep.sources import tables
 from tabprep.streaming import profile_state as ps
 from tabprep.streaming.score import read_table_stream
@@ -61,3 +62,20 @@ def test_columns_without_values(spark, tmp_path):
     assert (got["x"]["missing"], got["x"]["rows"], got["x"]["mean"], got["x"]["std"], got["x"]["median"]) == (1, 2, 2.0, 0.0, 2.0)
     assert (got["s"]["missing"], got["s"]["mean"], got["s"]["median"]) == (2, None, None)
     assert ps.read_modes(spark, state).collect() == []
+
+
+def test_appended_rows_are_not_written_by_one_task(spark, monkeypatch):
+    """Each append used to be joined and written by one task."""
+    orders = spark.range(0, 600, 1, 6).selectExpr("id as o_orderkey", "id % 20 as o_custkey", "'O' as o_orderstatus",
+                                                  "cast(id as double) as o_totalprice", "'1-URGENT' as o_orderpriority")
+    customer = spark.range(20).selectExpr("id as c_custkey", "cast(id % 5 as int) as c_nationkey",
+                                          "cast(id as double) as c_acctbal", "'BUILDING' as c_mktsegment")
+    monkeypatch.setattr(tables, "load", lambda spark, sf_dir, name: {"orders": orders, "customer": customer}[name])
+    paths = []
+    real = catalog_scale.read_table_stream
+    monkeypatch.setattr(catalog_scale, "read_table_stream", lambda spark, path, *a, **k: paths.append(path) or real(spark, path, *a, **k))
+    state = catalog_scale._appended(spark, "")
+    assert len(spark.read.parquet(paths[0]).inputFiles()) > 3
+    assert {r["rows"] for r in ps.read_profile(spark, state).collect()} == {480}
+    versions = spark.read.parquet(f"{state}/profile").select("version").distinct().collect()
+    assert sorted(r["version"] for r in versions) == [0, 1, 2]

@@ -18,6 +18,15 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(utf8(F.col(id_col).cast("string"))) % 5 == 0, F.lit(True))
 
 
+def labelled(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, t, y`` of every row with a label 0 or 1 (the larger of several)
+    that is not held out, whatever its length."""
+    known = (labels.where(~held_out(id_col) & F.col(target).isin(0, 1))
+             .groupBy(F.col(id_col).alias("id")).agg(F.max(target).cast("int").alias("y")))
+    texts = docs.where(~held_out(id_col)).select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
+    return texts.join(known, "id").select("id", "t", "y")
+
+
 def sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, max_chars: int,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Training rows ``id, t, y``: of each class of ``labels.<target>`` the

@@ -10,14 +10,16 @@ The score is calibrated by language, as read off the text's own stop words:
 each language has the threshold that serves its calibration rows best, and
 scores are shifted so that it falls on 0.5.
 
-Training sees a bounded sample of labelled rows (parameters of ``fit``);
-scoring reads every text whole.  Filters are linear before the maximum, so
+Training reads every labelled row that is not held out, whole.  Rows are
+dealt to shards by their id, each shard is one task that descends from the
+common model, and the changes of all shards are averaged (of an embedding:
+over the shards that moved it), a fixed number of times.  Only the model, of
+fixed size, meets the driver.  Scoring reads every text whole.  Filters are linear before the maximum, so
 scoring adds up per-word tables instead of multiplying matrices.
 """
 
 from __future__ import annotations
 
-import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,11 +27,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_value, ship, shipped, text_of
-from .labelled import portions, sample
+from .labelled import labelled, portions
 
 by_value(__name__)
 
@@ -37,6 +40,11 @@ BUCKETS = 1 << 16
 WIDTHS = {1: 8, 2: 4, 3: 4}  # filters by width
 DIM = 16
 CACHED_WORDS = 200_000
+SHARD_CHARS = 32_000_000  # text of one training task
+WORDS_AT_ONCE = 200_000  # of a batch in training, so that no text fills a task's memory
+ROUNDS = 2  # times that the shards' models are averaged
+SLICE = 1024  # buckets of one row of an update
+FINEST = 1000  # logits are counted to a thousandth for the thresholds
 WORD = re.compile(r"[^\W\d_]+")
 
 # Stop words that tell four languages apart.
@@ -128,72 +136,120 @@ def language_of(counts: np.ndarray) -> int:
     return int(counts[:UNKNOWN].argmax()) if counts[:UNKNOWN].any() else UNKNOWN
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int, seed: int = 3, batch: int = 32, rate: float = 0.1) -> Model:
-    """Adagrad on the logistic loss, classes weighted alike."""
+@dataclass
+class State:
+    """A model in training: Adagrad keeps the squares of all its gradients."""
+    model: Model
+    memory: list[np.ndarray]  # as ``parameters``
+    out_memory: float = 0.01
+
+    def parameters(self) -> list[np.ndarray]:
+        m = self.model
+        return [m.embedding, *m.filters.values(), m.bias, m.out]
+
+    def rest(self) -> np.ndarray:
+        """All but the embedding, in one row."""
+        return np.concatenate([*[p.ravel() for p in self.parameters()[1:]], *[p.ravel() for p in self.memory[1:]],
+                               [self.model.out_bias, self.out_memory]]).astype(np.float64)
+
+    def add_rest(self, change: np.ndarray) -> None:
+        at = 0
+        for p in (*self.parameters()[1:], *self.memory[1:]):
+            p += change[at:at + p.size].reshape(p.shape).astype(np.float32)
+            at += p.size
+        self.model.out_bias += float(change[at])
+        self.out_memory += float(change[at + 1])
+
+
+def started(seed: int = 3) -> State:
     rng = np.random.default_rng(seed)
-    words = Vocabulary()
-    docs = [words.read(t) for t in texts]
-    flat, starts = words.ragged()
     model = Model(rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32),
                   {w: rng.normal(0, 0.3, (w, DIM, n)).astype(np.float32) for w, n in WIDTHS.items()},
                   np.zeros(sum(WIDTHS.values()), np.float32),
                   rng.normal(0, 0.3, sum(WIDTHS.values())).astype(np.float32), 0.0)
-    memory = {id(p): np.full(p.shape, 0.01, np.float32) for p in
-              (model.embedding, *model.filters.values(), model.bias, model.out)}
-    out_memory = 0.01
-    weight = np.where(y == 1, len(y) / max(1, 2 * (y == 1).sum()), len(y) / max(1, 2 * (y == 0).sum()))
+    return State(model, [np.full(p.shape, 0.01, np.float32) for p in (model.embedding, *model.filters.values(), model.bias, model.out)])
+
+
+def strongest(model: Model, flat: np.ndarray, starts: np.ndarray, seq: np.ndarray, first: np.ndarray,
+              span: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Per text of ``seq`` (at ``first``, ``span`` rows long) the largest
+    response of every filter and, by width, its place in ``seq``."""
+    value = {w: np.full((len(first), n), -np.inf, np.float32) for w, n in WIDTHS.items()}
+    place = {w: np.zeros((len(first), n), np.int64) for w, n in WIDTHS.items()}
+    for at in range(0, len(seq), WORDS_AT_ONCE):
+        used, inverse = np.unique(seq[at:at + WORDS_AT_ONCE + max(WIDTHS) - 1], return_inverse=True)
+        x = vectors_of(model, flat, starts, used)[0][inverse]
+        for width, f in model.filters.items():
+            ends = min(len(x) - width + 1, WORDS_AT_ONCE)
+            if ends < 1:
+                continue
+            r = sum(x[j:j + ends] @ f[j] for j in range(width))
+            for d, (a, n) in enumerate(zip(first - at, span)):
+                lo, hi = max(0, a), min(ends, a + n - width + 1 - (width == 1))
+                if lo < hi:
+                    best = r[lo:hi].argmax(0)
+                    found = r[lo + best, np.arange(f.shape[2])]
+                    better = found > value[width][d]
+                    value[width][d, better], place[width][d, better] = found[better], (at + lo + best)[better]
+    return np.concatenate(list(value.values()), 1), place
+
+
+def vectors_of(model: Model, flat: np.ndarray, starts: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors of some words, with their buckets and how many each has."""
+    sizes = starts[used + 1] - starts[used]
+    ends = np.cumsum(sizes)
+    pieces = flat[np.repeat(starts[used] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+    return sums(model.embedding, pieces, np.concatenate([[0], ends])), pieces, sizes
+
+
+def descend(state: State, texts: list[str], y: np.ndarray, weight: np.ndarray, epochs: int, seed: int,
+            batch: int = 8, rate: float = 0.1) -> None:
+    """Adagrad on the logistic loss of some texts, from ``state``."""
+    rng, model, words = np.random.default_rng(seed), state.model, Vocabulary()
+    docs = [words.read(t) for t in texts]
+    flat, starts = words.ragged()
 
-    def step(p: np.ndarray, g: np.ndarray, rows=slice(None)) -> None:
-        memory[id(p)][rows] += g * g
-        p[rows] -= rate * g / np.sqrt(memory[id(p)][rows])
+    def step(i: int, g: np.ndarray, rows=slice(None)) -> None:
+        p, memory = state.parameters()[i], state.memory[i]
+        memory[rows] += g * g
+        p[rows] -= rate * g / np.sqrt(memory[rows])
 
     for _ in range(epochs):
         order = rng.permutation(len(docs))
         for some in (order[i:i + batch] for i in range(0, len(order), batch)):
             # texts of the batch in one sequence, two empty rows between them
-            used, inverse = np.unique(np.concatenate([np.concatenate([[0], docs[d], [0, 0]]) for d in some]),
-                                      return_inverse=True)
+            seq = np.concatenate([np.concatenate([[0], docs[d], [0, 0]]) for d in some]).astype(np.int64)
             span = np.array([len(docs[d]) + 3 for d in some])
             first = np.concatenate([[0], np.cumsum(span)[:-1]])
-            pieces = np.concatenate([flat[starts[u]:starts[u + 1]] for u in used]) if len(used) else flat[:0]
-            sizes = starts[used + 1] - starts[used]
-            vectors = sums(model.embedding, pieces, np.concatenate([[0], np.cumsum(sizes)]))
-            x = vectors[inverse]
-            pooled, places, column = [], {}, 0
-            for width, f in model.filters.items():
-                ends = len(x) - width + 1
-                r = sum(x[j:j + ends] @ f[j] for j in range(width))
-                best = np.array([a + r[a:a + n - width + 1 - (width == 1)].argmax(0) for a, n in zip(first, span)])
-                places[width] = best
-                pooled.append(np.take_along_axis(r, best, 0))
-                column += f.shape[2]
-            z = np.concatenate(pooled, 1) + model.bias
+            pooled, places = strongest(model, flat, starts, seq, first, span)
+            z = pooled + model.bias
             act = np.maximum(z, 0)
             logit = act @ model.out + model.out_bias
             g = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[some]) * weight[some] / len(some)
             gz = np.outer(g, model.out) * (z > 0)
+            # only the strongest windows have a gradient
+            used = np.unique(np.concatenate([seq[places[w] + j].ravel() for w in WIDTHS for j in range(w)]))
+            vectors, pieces, sizes = vectors_of(model, flat, starts, used)
             grad_x, column = np.zeros_like(vectors), 0
-            for width, f in model.filters.items():
+            for i, (width, f) in enumerate(model.filters.items(), 1):
                 n = f.shape[2]
                 gf, part = np.zeros_like(f), gz[:, column:column + n].astype(np.float32)
                 for j in range(width):
-                    at = inverse[places[width] + j]
+                    at = np.searchsorted(used, seq[places[width] + j])
                     gf[j] = np.einsum("bfd,bf->df", vectors[at], part)
                     np.add.at(grad_x, at.ravel(), part.reshape(-1, 1) * np.tile(f[j].T, (len(some), 1)))
-                step(f, gf)
+                step(i, gf)
                 column += n
-            step(model.out, (act.T @ g).astype(np.float32))
-            step(model.bias, gz.sum(0).astype(np.float32))
-            out_memory += g.sum() ** 2
-            model.out_bias -= rate * g.sum() / np.sqrt(out_memory)
+            step(len(WIDTHS) + 2, (act.T @ g).astype(np.float32))
+            step(len(WIDTHS) + 1, gz.sum(0).astype(np.float32))
+            state.out_memory += float(g.sum() ** 2)
+            model.out_bias -= float(rate * g.sum() / np.sqrt(state.out_memory))
             touched = np.repeat(np.arange(len(used)), sizes)
-            moved = np.abs(grad_x).sum(1) > 0
-            keep = moved[touched]
+            keep = (np.abs(grad_x).sum(1) > 0)[touched]
             rows, where = np.unique(pieces[keep], return_inverse=True)
             ge = np.zeros((len(rows), DIM), np.float32)
             np.add.at(ge, where, grad_x[touched[keep]])
-            step(model.embedding, ge, rows)
-    return model
+            step(0, ge, rows)
 
 
 class Scorer:
@@ -250,9 +306,13 @@ class Scorer:
 def threshold(logits: np.ndarray, y: np.ndarray, clean_weight: float) -> float:
     """The cut with least weighted error, in the middle of its gap."""
     order = np.argsort(logits, kind="stable")
-    x, label = logits[order], y[order]
-    missed = np.concatenate([[0], np.cumsum(label)])  # cut before place i: toxic rows below it
-    alarms = np.concatenate([np.cumsum((1 - label)[::-1])[::-1], [0]])
+    return cut_of(logits[order], y[order], 1 - y[order], clean_weight)
+
+
+def cut_of(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, clean_weight: float) -> float:
+    """The same from the numbers of rows of each class at ascending logits."""
+    missed = np.concatenate([[0], np.cumsum(toxic)])  # cut before place i: toxic rows below it
+    alarms = np.concatenate([np.cumsum(clean[::-1])[::-1], [0]])
     edges = np.concatenate([[x[0] - 1], (x[1:] + x[:-1]) / 2, [x[-1] + 1]])
     cost = missed + clean_weight * alarms
     best = np.flatnonzero(cost == cost.min())
@@ -260,40 +320,98 @@ def threshold(logits: np.ndarray, y: np.ndarray, clean_weight: float) -> float:
     return float(edges[best[width[best].argmax()]])
 
 
-def calibrate(model: Model, texts: list[str], y: np.ndarray, clean_weight: float = 3.0, least: int = 10) -> None:
-    """Sets the thresholds by language; languages with fewer than ``least``
-    rows of either class take the common one."""
-    scorer = Scorer(model)
-    found = [scorer.logit(t) for t in texts]
-    logits, language = np.array([a for a, _ in found]), np.array([b for _, b in found])
-    model.shift[:] = threshold(logits, y, clean_weight) if len(y) else 0.0
-    for k in range(UNKNOWN + 1):
-        own = language == k
-        if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= least:
-            model.shift[k] = threshold(logits[own], y[own], clean_weight)
+def calibrate(model: Model, rows: DataFrame, clean_weight: float = 3.0, least: int = 10) -> None:
+    """Sets the thresholds by language from all ``rows`` (``t, y``), counted by
+    their logits to a thousandth; languages with fewer than ``least`` rows of
+    either class take the common one."""
+    sent = ship(rows.sparkSession, model)
 
+    def logits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shipped(sent))
+        for b in batches:
+            found = [scorer.logit(t) for t in b["t"]]
+            at = np.round(np.clip([a for a, _ in found], -30, 30) * np.float64(FINEST)).astype(np.int32)
+            yield pd.DataFrame({"language": [k for _, k in found], "at": at, "y": b["y"].to_numpy()})
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 8000, epochs: int = 4,
-        id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Train on a bounded sample of labelled rows that are not held out
-    (``per_class`` rows of either class, of at most ``max_chars``); every
-    fifth row of it calibrates.  Without rows the model scores 0.5."""
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = sorted((zlib.crc32(str(i).encode()), str(i), t, y) for b in batches for i, t, y in zip(b["id"], b["t"], b["y"]))
-        yield pd.DataFrame({"parts": [pickle.dumps(vars(trained([r[2] for r in rows], [r[3] for r in rows], epochs)))]})
+    # at most 60,001 places by language
+    counted = (rows.select("t", "y").mapInPandas(logits, "language int, at int, y int").groupBy("language", "at")
+               .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).collect())
+    found = np.array([tuple(r) for r in counted], np.int64).reshape(-1, 4)
 
-    # a bounded sample: one task trains, so that the driver need not hold it
-    rows = sample(docs, labels, "toxic", per_class, max_chars, id_col, text_col)
-    found = rows.select("id", "t", "y").repartition(1).mapInPandas(task, "parts binary").first()
-    return Model(**pickle.loads(found["parts"])) if found else trained([], [], epochs)
+    def cut(own: np.ndarray) -> float:
+        at, where = np.unique(own[:, 1], return_inverse=True)
+        return cut_of(at / FINEST, np.bincount(where, own[:, 2]), np.bincount(where, own[:, 3]), clean_weight)
 
+    model.shift[:] = cut(found) if len(found) else 0.0
+    for k in range(UNKNOWN + 1):
+        own = found[found[:, 0] == k]
+        if len(own) and own[:, 2:].sum(0).min() >= least:
+            model.shift[k] = cut(own)
+
+
+def fit(docs: DataFrame, labels: DataFrame, epochs: int = 8, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Train on every labelled row that is not held out, whole, but for a
+    fifth (by a hash of the id) that calibrates.  Without rows the model
+    scores 0.5."""
+    rows = labelled(docs, labels, "toxic", id_col, text_col)
+    rows = rows.select("*", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 4).alias("tuning")).persist(StorageLevel.DISK_ONLY)
+    try:
+        size = rows.where(~F.col("tuning")).agg(F.count(F.lit(1)), F.sum("y"), F.sum(F.length("t") + 1)).first()
+        state = started()
+        if size[0]:
+            n, toxic = int(size[0]), int(size[1])
+            weight = n / max(1, 2 * (n - toxic)), n / max(1, 2 * toxic)
+            shards = -(-int(size[2]) // SHARD_CHARS)
+            # dealt by a hash of the id, in an order of its own: the same on any partitioning
+            dealt = (rows.where(~F.col("tuning")).select("id", "t", "y").repartition(shards, "id")
+                     .sortWithinPartitions(F.xxhash64("id", F.lit(5)), "id", "t"))
+            for k in range(ROUNDS):
+                averaged(state, dealt, weight, -(-epochs // ROUNDS), k)
+        calibrate(state.model, rows.where("tuning"))
+    finally:
+        rows.unpersist()
+    return state.model
+
+
+def averaged(state: State, dealt: DataFrame, weight: tuple[float, float], epochs: int, seed: int) -> None:
+    """One round: every partition descends from ``state``, which then moves by
+    the mean of their changes."""
+    sent = ship(dealt.sparkSession, state)
 
-def trained(texts: list[str], y: list[int], epochs: int) -> Model:
-    """A model of texts in a fixed order; every fifth one calibrates."""
-    labels, tuning = np.array(y, np.float64), np.arange(len(texts)) % 5 == 4
-    model = train([t for t, k in zip(texts, tuning) if not k], labels[~tuning], epochs)
-    calibrate(model, [t for t, k in zip(texts, tuning) if k], labels[tuning])
-    return model
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before, own, texts, y = shipped(sent), shipped(sent), [], []
+        for b in batches:
+            texts.extend(b["t"])
+            y.extend(b["y"])
+        if not texts:
+            return
+        y = np.array(y, np.float64)
+        descend(own, texts, y, np.where(y == 1, weight[1], weight[0]), epochs, seed)
+        moved = np.concatenate([own.model.embedding - before.model.embedding, own.memory[0] - before.memory[0]], 1)
+        moved = np.concatenate([moved, (moved != 0).any(1, keepdims=True)], 1).astype(np.float32)
+        parts = [moved[a:a + SLICE].tobytes() for a in range(0, BUCKETS, SLICE)]
+        # the rest is one more slice; the last number counts the shards
+        parts.append(np.append(own.rest() - before.rest(), 1.0).astype(np.float32).tobytes())
+        yield pd.DataFrame({"slice": np.arange(len(parts), dtype=np.int32), "shard": zlib.crc32(texts[0].encode()), "part": parts})
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.assign(order=[zlib.crc32(p) for p in group["part"]]).sort_values(["shard", "order"])
+        total = sum(np.frombuffer(p, np.float32).astype(np.float64) for p in group["part"]).astype(np.float32)
+        return pd.DataFrame({"slice": group["slice"].iloc[:1], "shard": group["shard"].iloc[:1], "part": [total.tobytes()]})
+
+    kind = "slice int, shard long, part binary"
+    moved = dealt.select("t", "y").mapInPandas(task, kind)
+    # in two steps, so that no group holds the updates of many shards
+    some = moved.groupBy("slice", F.pmod("shard", F.lit(64))).applyInPandas(lambda g: added(g), kind)
+    for r in some.groupBy("slice").applyInPandas(lambda g: added(g), kind).collect():
+        total = np.frombuffer(r["part"], np.float32)
+        if r["slice"] * SLICE >= BUCKETS:
+            state.add_rest(total[:-1] / total[-1])
+        else:
+            total = total.reshape(SLICE, 2 * DIM + 1)
+            mean, at = total[:, :-1] / np.maximum(total[:, -1:], 1), slice(r["slice"] * SLICE, (r["slice"] + 1) * SLICE)
+            state.model.embedding[at] += mean[:, :DIM]
+            state.memory[0][at] += mean[:, DIM:]
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tabprep.llm import neardup, packing, pii, quality, queries, toxicity
 from tabprep.llm.common import read
-from tabprep.llm.labelled import held_out, portions, sample
+from tabprep.llm.labelled import held_out, labelled, portions, sample
 
 LARGER = SMALL.replace("sf0.001", "sf0.1")
 
@@ -187,3 +187,40 @@ def test_stages_drop_the_planted_documents(spark):
         kept[name] = {r["doc_id"] for r in out.collect()}
     assert 10_100 not in kept["toxicity"] and {10_002, 10_102} <= kept["toxicity"]
     assert 10_002 in kept["near_duplicates"] and 10_102 not in kept["near_duplicates"]
+
+
+def _toxic_rows(spark, n=240):
+    """Every fourth row says "venom" once, behind more than 8,000 characters."""
+    texts = [prose(900 + i, 40) + (" " + prose(i, 1500) + " venom" if i % 4 == 0 else "") for i in range(n)]
+    docs = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in enumerate(texts)], DOCS)
+    return docs, spark.range(n).selectExpr("id as doc_id", "cast(id % 4 = 0 as int) as toxic")
+
+
+def test_every_labelled_row_trains(spark, monkeypatch):
+    """Texts beyond 8,000 characters and rows beyond 1,500 a class used to be
+    left out; the model depends on no partitioning."""
+    docs, labels = _toxic_rows(spark)
+    assert docs.where("length(text) > 8000").count() == 60
+    rows = labelled(docs, labels, "toxic").collect()
+    assert sorted(r["id"] for r in rows) == [i for i in range(240) if zlib.crc32(str(i).encode()) % 5]
+    seen = []
+    real = toxicity.averaged
+    monkeypatch.setattr(toxicity, "averaged", lambda state, dealt, *a: seen.append(dealt.count()) or real(state, dealt, *a))
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 200_000)
+    one = toxicity.fit(docs, labels, epochs=2)
+    tuned = len(rows) - seen[0]
+    assert len(seen) == toxicity.ROUNDS and 0 < tuned < len(rows) / 2
+    two = toxicity.fit(docs.repartition(7), labels.repartition(3), epochs=2)
+    assert np.allclose(one.embedding, two.embedding, atol=1e-5) and np.allclose(one.out, two.out, atol=1e-5)
+
+
+def test_training_reads_long_texts_in_pieces(monkeypatch):
+    texts, y = [prose(i, 30 + 40 * i) for i in range(12)], np.arange(12) % 2.0
+    found = []
+    for n in (200_000, 50):
+        monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", n)
+        state = toxicity.started()
+        toxicity.descend(state, texts, y, np.ones(12), 2, 0)
+        found.append(state)
+    assert np.allclose(found[0].model.embedding, found[1].model.embedding, atol=1e-4)
+    assert np.allclose(found[0].rest(), found[1].rest(), rtol=1e-2, atol=1e-3)

@@ -18,12 +18,16 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(utf8(F.col(id_col).cast("string"))) % 5 == 0, F.lit(True))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc_id", text_col: str = "text",
+             partitions: int | None = None) -> DataFrame:
     """``id, t, y`` of every row with a label 0 or 1 (the larger of several)
-    that is not held out, whatever its length."""
+    that is not held out, whatever its length; dealt by a hash of the id to
+    ``partitions``, if given, by the join's own shuffle."""
     known = (labels.where(~held_out(id_col) & F.col(target).isin(0, 1))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(target).cast("int").alias("y")))
     texts = docs.where(~held_out(id_col)).select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
+    if partitions:
+        texts, known = texts.repartition(partitions, "id"), known.repartition(partitions, "id")
     return texts.join(known, "id").select("id", "t", "y")
 
 

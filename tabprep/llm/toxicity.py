@@ -349,24 +349,25 @@ def calibrate(model: Model, rows: DataFrame, clean_weight: float = 3.0, least: i
             model.shift[k] = cut(own)
 
 
-def fit(docs: DataFrame, labels: DataFrame, epochs: int = 8, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, epochs: int = 6, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train on every labelled row that is not held out, whole, but for a
     fifth (by a hash of the id) that calibrates.  Without rows the model
     scores 0.5."""
-    rows = labelled(docs, labels, "toxic", id_col, text_col)
-    rows = rows.select("*", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 4).alias("tuning")).persist(StorageLevel.DISK_ONLY)
+    tuning = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 4
+    lengths = docs.select(id_col, F.length(text_of(text_col)).alias("n"))
+    size = (labelled(lengths, labels, "toxic", id_col, "n").where(~tuning)
+            .agg(F.count(F.lit(1)), F.sum("y"), F.sum(F.col("t").cast("long") + 1)).first())
+    n, toxic = int(size[0]), int(size[1] or 0)
+    weight = n / max(1, 2 * (n - toxic)), n / max(1, 2 * toxic)
+    shards = max(1, -(-int(size[2] or 0) // SHARD_CHARS))
+    # dealt by a hash of the id, in an order of its own: the same on any
+    # partitioning; one shuffle of the texts serves all rounds
+    rows = (labelled(docs, labels, "toxic", id_col, text_col, shards)
+            .sortWithinPartitions(F.xxhash64("id", F.lit(5)), "id", "t").withColumn("tuning", tuning).persist(StorageLevel.DISK_ONLY))
     try:
-        size = rows.where(~F.col("tuning")).agg(F.count(F.lit(1)), F.sum("y"), F.sum(F.length("t") + 1)).first()
         state = started()
-        if size[0]:
-            n, toxic = int(size[0]), int(size[1])
-            weight = n / max(1, 2 * (n - toxic)), n / max(1, 2 * toxic)
-            shards = -(-int(size[2]) // SHARD_CHARS)
-            # dealt by a hash of the id, in an order of its own: the same on any partitioning
-            dealt = (rows.where(~F.col("tuning")).select("id", "t", "y").repartition(shards, "id")
-                     .sortWithinPartitions(F.xxhash64("id", F.lit(5)), "id", "t"))
-            for k in range(ROUNDS):
-                averaged(state, dealt, weight, -(-epochs // ROUNDS), k)
+        for k in range(ROUNDS if n else 0):
+            averaged(state, rows.where("not tuning"), weight, -(-epochs // ROUNDS), k)
         calibrate(state.model, rows.where("tuning"))
     finally:
         rows.unpersist()

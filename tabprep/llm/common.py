@@ -64,6 +64,8 @@ def shipped(sent: Broadcast):
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps: it does so when
-    the driver's JVM collects the frames that nobody holds any more."""
+    the driver's JVM collects the frames that nobody holds any more.  It hears
+    of those that Python dropped with the first call, hence the second."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_value, text_of, utf8
@@ -22,12 +22,17 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, id_col: str = "doc
              partitions: int | None = None) -> DataFrame:
     """``id, t, y`` of every row with a label 0 or 1 (the larger of several)
     that is not held out, whatever its length; dealt by a hash of the id to
-    ``partitions``, if given, by the join's own shuffle."""
+    ``partitions``, if given, with the one shuffle of the texts that finds
+    their labels (a join would raise a smaller number to Spark's own)."""
+    if partitions:
+        own = labels.where(~held_out(id_col) & F.col(target).isin(0, 1)).select(
+            F.col(id_col).alias("id"), F.lit(None).cast("string").alias("t"), F.col(target).cast("int").alias("y"))
+        texts = docs.where(~held_out(id_col)).select(F.col(id_col).alias("id"), text_of(text_col).alias("t"), F.lit(None).cast("int").alias("y"))
+        return (texts.unionByName(own).repartition(partitions, "id").withColumn("y", F.max("y").over(Window.partitionBy("id")))
+                .where("t is not null and y is not null"))
     known = (labels.where(~held_out(id_col) & F.col(target).isin(0, 1))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(target).cast("int").alias("y")))
     texts = docs.where(~held_out(id_col)).select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
-    if partitions:
-        texts, known = texts.repartition(partitions, "id"), known.repartition(partitions, "id")
     return texts.join(known, "id").select("id", "t", "y")
 
 

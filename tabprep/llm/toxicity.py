@@ -13,25 +13,29 @@ scores are shifted so that it falls on 0.5.
 Training reads every labelled row that is not held out, whole.  Rows are
 dealt to shards by their id, each shard is one task that descends from the
 common model, and the changes of all shards are averaged (of an embedding:
-over the shards that moved it), a fixed number of times.  Only the model, of
-fixed size, meets the driver.  Scoring reads every text whole.  Filters are linear before the maximum, so
-scoring adds up per-word tables instead of multiplying matrices.
+over the shards that moved it), a fixed number of times.  The texts are on
+disk once, as the files of the one shuffle that deals them: every round reads
+these again.  Only the model, of fixed size, meets the driver.  Scoring reads
+every text whole.  Filters are linear before the maximum, so scoring adds up
+per-word tables instead of multiplying matrices.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict, deque
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import RDD
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, ship, shipped, text_of
+from .common import by_value, release, ship, shipped, text_of
 from .labelled import labelled, portions
 
 by_value(__name__)
@@ -40,10 +44,13 @@ BUCKETS = 1 << 16
 WIDTHS = {1: 8, 2: 4, 3: 4}  # filters by width
 DIM = 16
 CACHED_WORDS = 200_000
+HASHED_AT_ONCE = 20_000  # words whose parts are found together
+CHARS_AT_ONCE = 200_000  # of short texts scored together
 SHARD_CHARS = 32_000_000  # text of one training task
 WORDS_AT_ONCE = 200_000  # of a batch in training, so that no text fills a task's memory
 ROUNDS = 2  # times that the shards' models are averaged
 SLICE = 1024  # buckets of one row of an update
+ADDED_AT_ONCE = 64  # updates of a slice that one group adds
 FINEST = 1000  # logits are counted to a thousandth for the thresholds
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -58,47 +65,78 @@ STOPS = {w: [i for i, (_, ws) in enumerate(LANGUAGES.items()) if w in ws] for ws
 UNKNOWN = len(LANGUAGES)
 
 
-def parts_of(word: str) -> list[int]:
-    """Buckets of a word and of its four-letter parts (ends marked)."""
-    marked = f"<{word}>"
-    return [zlib.crc32(p.encode()) % BUCKETS for p in
-            {word + "=", *(marked[i:i + 4] for i in range(max(1, len(marked) - 3)))}]
+LANGUAGE = {w: found[0] for w, found in STOPS.items() if len(found) == 1}
+CRC = np.array([zlib.crc32(bytes([b])) ^ 0xFF000000 for b in range(256)], np.uint32)[np.arange(256) ^ 0xFF]  # crc32 by byte
+
+
+def crc_of(windows: list[np.ndarray]) -> np.ndarray:
+    """crc32 of the UTF-8 form of many strings, given the code points at their
+    first place, their second and so on."""
+    crc = np.full(len(windows[0]), 0xFFFFFFFF, np.uint32)
+    for c in windows:
+        wide = np.flatnonzero(c > 0x7F)
+        if not len(wide):
+            crc = CRC[(crc ^ c) & 0xFF] ^ (crc >> 8)
+            continue
+        before, c_wide = crc[wide], c[wide]
+        crc = CRC[(crc ^ c) & 0xFF] ^ (crc >> 8)
+        after = before
+        for more in (3, 2, 1, 0):  # bytes behind this one
+            head = (c_wide > 0xFFFF).astype(int) + (c_wide > 0x7FF) + 1 if more else None
+            byte = (c_wide >> (6 * more)) & 0x3F | 0x80
+            if more:
+                lead = np.array([0, 0xC0, 0xE0, 0xF0], np.uint32)[more]
+                byte = np.where(head == more, c_wide >> (6 * more) | lead, byte)
+                at = head >= more
+                after = np.where(at, CRC[(after ^ byte) & 0xFF] ^ (after >> 8), after)
+            else:
+                after = CRC[(after ^ byte) & 0xFF] ^ (after >> 8)
+        crc[wide] = after
+    return ~crc
+
+
+def parts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words and of their four-letter parts (ends marked, a part
+    that a word repeats counted once), and where each word's buckets start."""
+    if len(words) > HASHED_AT_ONCE:
+        found = [parts_of(words[i:i + HASHED_AT_ONCE]) for i in range(0, len(words), HASHED_AT_ONCE)]
+        sizes = np.concatenate([np.diff(starts) for _, starts in found])
+        return np.concatenate([flat for flat, _ in found]), np.concatenate([[0], np.cumsum(sizes)])
+    n = len(words)
+    size = np.fromiter(map(len, words), np.int64, n)
+    points = np.frombuffer("".join([f"<{w}>   " for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    windows = np.maximum(size - 1, 1)
+    first = np.cumsum(size + 5) - (size + 5)
+    own = np.repeat(np.arange(n), windows)
+    place = np.arange(windows.sum()) + np.repeat(first - (np.cumsum(windows) - windows), windows)
+    found = [points[place + j] for j in range(4)]
+    crc = crc_of(found)
+    if (short := np.flatnonzero(size[own] < 2)).size:  # "<a>" has three letters
+        crc[short] = crc_of([x[short] for x in found[:3]])
+    whole = np.fromiter((zlib.crc32(f"{w}=".encode()) for w in words), np.int64, n) | np.arange(n) << 33 | 1 << 32
+    parts = np.sort(np.concatenate([whole, own << 33 | crc.astype(np.int64)]))
+    parts = parts[np.append(True, parts[1:] != parts[:-1])[:len(parts)]]
+    return (parts & 0xFFFFFFFF) % BUCKETS, np.concatenate([[0], np.cumsum(np.bincount(parts >> 33, minlength=n))])
 
 
 class Vocabulary:
-    """Word -> row number; new words are numbered as they come."""
+    """Word -> row number; new words are numbered as they come.  Row 0 stands
+    beside the ends of a text."""
 
     def __init__(self) -> None:
-        self.parts: list[list[int]] = [[]]  # row 0 stands beside the ends of a text
-        self.language: list[int] = [UNKNOWN]
-        vocabulary = self
+        self.rows = defaultdict(count(1).__next__)
 
-        class Rows(dict):
-            def __missing__(self, word: str) -> int:
-                self[word] = row = len(vocabulary.parts)
-                vocabulary.parts.append(parts_of(word))
-                in_language = STOPS.get(word, ())
-                vocabulary.language.append(in_language[0] if len(in_language) == 1 else UNKNOWN)
-                return row
-
-        self.rows = Rows()
-
-    def read(self, text: str) -> np.ndarray:
-        rows = self.rows
-        return np.array([rows[w] for w in WORD.findall(text.lower())], np.int32)
-
-    def ragged(self, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the rows from ``first`` on, and where each row starts."""
-        sizes = np.array([len(p) for p in self.parts[first:]], np.int64)
-        flat = np.array([b for p in self.parts[first:] for b in p], np.int64)
-        return flat, np.concatenate([[0], np.cumsum(sizes)])
+    def read(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
 
 
 def sums(table: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Row sums of ``table`` over ragged lists of its row numbers."""
-    total = np.zeros((len(flat) + 1, table.shape[1]), np.float64)
-    np.cumsum(table[flat], axis=0, out=total[1:])
-    return (total[starts[1:]] - total[starts[:-1]]).astype(np.float32)
+    total = np.zeros((len(starts) - 1, table.shape[1]), np.float32)
+    some = np.flatnonzero(starts[1:] > starts[:-1])
+    if len(some):
+        total[some] = np.add.reduceat(table.take(flat, axis=0), starts[some], axis=0)
+    return total
 
 
 @dataclass
@@ -115,20 +153,22 @@ class Model:
         return np.concatenate([self.embedding @ f[j] for f in self.filters.values() for j in range(len(f))], 1)
 
 
-def respond(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Largest response of every filter over a sequence of table rows."""
-    found, at = [], 0
+def respond(rows: np.ndarray, first: np.ndarray, span: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Per text of ``rows`` (at ``first``, ``span`` rows long) the largest
+    response of every filter."""
+    found, at, each = [], 0, table.take(rows, axis=0)
     for width, n in WIDTHS.items():
-        ends = len(rows) - width + 1
-        if ends > 0:
-            total = table[rows[:ends], at:at + n]
+        best, ends = np.full((len(first), n), -np.inf, np.float32), span - width + 1
+        some, last = np.flatnonzero(ends > 0), len(rows) - width + 1
+        if len(some):
+            total = each[:last, at:at + n]
             for j in range(1, width):
-                total = total + table[rows[j:j + ends], at + j * n:at + (j + 1) * n]
-            found.append(total.max(0))
-        else:
-            found.append(np.full(n, -np.inf, np.float32))
+                total = total + each[j:j + last, at + j * n:at + (j + 1) * n]
+            cuts = np.stack([first[some], first[some] + ends[some]], 1).ravel()
+            best[some] = np.maximum.reduceat(total, cuts[:-1] if cuts[-1] == last else cuts, axis=0)[::2]
+        found.append(best)
         at += width * n
-    return np.concatenate(found)
+    return np.concatenate(found, 1)
 
 
 def language_of(counts: np.ndarray) -> int:
@@ -206,8 +246,9 @@ def descend(state: State, texts: list[str], y: np.ndarray, weight: np.ndarray, e
             batch: int = 8, rate: float = 0.1) -> None:
     """Adagrad on the logistic loss of some texts, from ``state``."""
     rng, model, words = np.random.default_rng(seed), state.model, Vocabulary()
-    docs = [words.read(t) for t in texts]
-    flat, starts = words.ragged()
+    docs = [words.read(WORD.findall(t.lower())) for t in texts]
+    flat, starts = parts_of(list(words.rows))
+    starts = np.concatenate([[0], starts])  # row 0 has no parts
 
     def step(i: int, g: np.ndarray, rows=slice(None)) -> None:
         p, memory = state.parameters()[i], state.memory[i]
@@ -264,43 +305,81 @@ class Scorer:
         self.table = np.zeros((1024, self.per_bucket.shape[1]), np.float32)
         self.language = np.full(1024, UNKNOWN)
 
-    def learn(self) -> None:
-        """Table rows of the words met since the last call."""
-        first, n = self.filled, len(self.words.parts)
+    def read(self, words: list[str]) -> np.ndarray:
+        """Table rows of some words, filled in for the new ones."""
+        rows, first = self.words.read(words), self.filled
+        n = len(self.words.rows) + 1
         if n > len(self.table):
             more = 2 * n - len(self.table)
             self.table = np.concatenate([self.table, np.zeros((more, self.table.shape[1]), np.float32)])
             self.language = np.concatenate([self.language, np.full(more, UNKNOWN)])
         if n > first:
-            self.table[first:n] = sums(self.per_bucket, *self.words.ragged(first))
-            self.language[first:n] = self.words.language[first:]
-            self.words.parts[first:] = [[]] * (n - first)
+            at = np.flatnonzero(rows >= first)
+            new = [words[i] for i in at[np.unique(rows[at], return_index=True)[1]]]
+            self.table[first:n] = sums(self.per_bucket, *parts_of(new))
+            self.language[first:n] = [LANGUAGE.get(w, UNKNOWN) for w in new]
             self.filled = n
+        return rows
+
+    def logits(self, texts: Iterable[str]) -> Iterator[tuple[float, int]]:
+        """(score as a logit, language) of whole texts; short ones are read
+        some at once."""
+        some, size = [], 0
+        for text in texts:
+            if size + len(text) > CHARS_AT_ONCE and some:
+                yield from self.logits_of(some)
+                some, size = [], 0
+            if len(text) > CHARS_AT_ONCE:
+                yield self.logit(text)
+            else:
+                some.append(text)
+                size += len(text) + 1
+        if some:
+            yield from self.logits_of(some)
+
+    def logits_of(self, texts: list[str]) -> Iterator[tuple[float, int]]:
+        if self.filled > CACHED_WORDS:
+            self.forget()
+        words = [WORD.findall(t.lower()) for t in texts]
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        read = self.read([w for ws in words for w in ws])
+        own, ends = np.repeat(np.arange(len(n)), n), np.cumsum(n)
+        # an empty row before and behind each text
+        rows = np.zeros(len(read) + 2 * len(n), np.int32)
+        rows[np.arange(len(read)) + 2 * own + 1] = read
+        counts = np.bincount(own * (UNKNOWN + 1) + self.language[read], minlength=len(n) * (UNKNOWN + 1))
+        pooled = respond(rows, ends - n + 2 * np.arange(len(n)), n + 2, self.table)
+        for p, c in zip(pooled, counts.reshape(-1, UNKNOWN + 1)):
+            yield self.logit_of(p), language_of(c)
 
     def logit(self, text: str) -> tuple[float, int]:
-        """(score as a logit, language) of a whole text, portion by portion:
-        the last words of one stand before the next, so no window is lost."""
+        """The same of one text of any length, portion by portion: the last
+        words of one stand before the next, so no window is lost."""
         pooled = np.full(sum(WIDTHS.values()), -np.inf, np.float32)
         counts, before = np.zeros(UNKNOWN + 1, np.int64), []
         rows, overlap = np.zeros(1, np.int32), max(WIDTHS) - 1
+
+        def largest(rows: np.ndarray) -> np.ndarray:
+            return np.maximum(pooled, respond(rows, np.zeros(1, np.int64), np.array([len(rows)]), self.table)[0])
+
         for portion in portions(text):
             if self.filled > CACHED_WORDS:
                 self.forget()
             words = WORD.findall(portion.lower())
-            start = [0] if not before else [self.words.rows[w] for w in before]
-            rows = np.array(start + [self.words.rows[w] for w in words], np.int32)
-            self.learn()
-            counts += np.bincount(self.language[rows[len(start):]], minlength=UNKNOWN + 1)
-            pooled = np.maximum(pooled, respond(rows, self.table))
+            rows = self.read(before + words)
+            counts += np.bincount(self.language[rows[len(before):]], minlength=UNKNOWN + 1)
+            rows = rows if before else np.concatenate([np.zeros(1, np.int32), rows])
+            pooled = largest(rows)
             before = (before + words)[-overlap:]
-        end = np.append(rows[-overlap:], 0)  # the windows over the end of the text
-        pooled = np.maximum(pooled, respond(end, self.table))
+        pooled = largest(np.append(rows[-overlap:], np.int32(0)))  # the windows over the end of the text
+        return self.logit_of(pooled), language_of(counts)
+
+    def logit_of(self, pooled: np.ndarray) -> float:
         z = np.maximum(pooled + self.model.bias, 0)
-        return float(z @ self.model.out + self.model.out_bias), language_of(counts)
+        return float(z @ self.model.out + self.model.out_bias)
 
-    def score(self, text: str) -> float:
-        logit, language = self.logit(text)
-        return float(1 / (1 + np.exp(-np.clip(logit - self.model.shift[language], -30, 30))))
+    def scores(self, texts: Iterable[str]) -> list[float]:
+        return [float(1 / (1 + np.exp(-np.clip(a - self.model.shift[k], -30, 30)))) for a, k in self.logits(texts)]
 
 
 def threshold(logits: np.ndarray, y: np.ndarray, clean_weight: float) -> float:
@@ -320,21 +399,20 @@ def cut_of(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, clean_weight: fl
     return float(edges[best[width[best].argmax()]])
 
 
-def calibrate(model: Model, rows: DataFrame, clean_weight: float = 3.0, least: int = 10) -> None:
+def calibrate(model: Model, rows: RDD[Row], clean_weight: float = 3.0, least: int = 10) -> None:
     """Sets the thresholds by language from all ``rows`` (``t, y``), counted by
     their logits to a thousandth; languages with fewer than ``least`` rows of
     either class take the common one."""
-    sent = ship(rows.sparkSession, model)
+    sent = ship(SparkSession.active(), model)
 
-    def logits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def logits(some: Iterator[Row]) -> Iterator[tuple]:
         scorer = Scorer(shipped(sent))
-        for b in batches:
-            found = [scorer.logit(t) for t in b["t"]]
-            at = np.round(np.clip([a for a, _ in found], -30, 30) * np.float64(FINEST)).astype(np.int32)
-            yield pd.DataFrame({"language": [k for _, k in found], "at": at, "y": b["y"].to_numpy()})
+        y = deque()  # of the texts that are read but not yet counted
+        for logit, language in scorer.logits(y.append(r["y"]) or r["t"] for r in some):
+            yield language, int(np.round(np.clip(logit, -30, 30) * np.float64(FINEST))), y.popleft()
 
     # at most 60,001 places by language
-    counted = (rows.select("t", "y").mapInPandas(logits, "language int, at int, y int").groupBy("language", "at")
+    counted = (rows.mapPartitions(logits).toDF("language int, at int, y int").groupBy("language", "at")
                .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).collect())
     found = np.array([tuple(r) for r in counted], np.int64).reshape(-1, 4)
 
@@ -361,39 +439,42 @@ def fit(docs: DataFrame, labels: DataFrame, epochs: int = 6, id_col: str = "doc_
     weight = n / max(1, 2 * (n - toxic)), n / max(1, 2 * toxic)
     shards = max(1, -(-int(size[2] or 0) // SHARD_CHARS))
     # dealt by a hash of the id, in an order of its own: the same on any
-    # partitioning; one shuffle of the texts serves all rounds
+    # partitioning.  One RDD for all rounds: its shuffle runs once and its
+    # files are read by each, where frames would each shuffle or keep a copy
     rows = (labelled(docs, labels, "toxic", id_col, text_col, shards)
-            .sortWithinPartitions(F.xxhash64("id", F.lit(5)), "id", "t").withColumn("tuning", tuning).persist(StorageLevel.DISK_ONLY))
-    try:
-        state = started()
-        for k in range(ROUNDS if n else 0):
-            averaged(state, rows.where("not tuning"), weight, -(-epochs // ROUNDS), k)
-        calibrate(state.model, rows.where("tuning"))
-    finally:
-        rows.unpersist()
+            .sortWithinPartitions(F.xxhash64("id", F.lit(5)), "id", "t").select("t", "y", tuning.alias("tuning"))).rdd
+    state = started()
+    for k in range(ROUNDS if n else 0):
+        averaged(state, rows.filter(lambda r: not r["tuning"]), weight, -(-epochs // ROUNDS), k, k + 1 < ROUNDS)
+        release(docs.sparkSession)  # the updates of this round
+    calibrate(state.model, rows.filter(lambda r: r["tuning"]))
     return state.model
 
 
-def averaged(state: State, dealt: DataFrame, weight: tuple[float, float], epochs: int, seed: int) -> None:
+def averaged(state: State, dealt: RDD[Row], weight: tuple[float, float], epochs: int, seed: int, remember: bool = True) -> None:
     """One round: every partition descends from ``state``, which then moves by
-    the mean of their changes."""
-    sent = ship(dealt.sparkSession, state)
+    the mean of their changes; without ``remember``, which no round follows,
+    the embedding's memory stays behind."""
+    columns = 2 * DIM if remember else DIM
+    sent = ship(SparkSession.active(), state)
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def task(some: Iterator[Row]) -> Iterator[tuple]:
         before, own, texts, y = shipped(sent), shipped(sent), [], []
-        for b in batches:
-            texts.extend(b["t"])
-            y.extend(b["y"])
+        for r in some:
+            texts.append(r["t"])
+            y.append(r["y"])
         if not texts:
             return
         y = np.array(y, np.float64)
         descend(own, texts, y, np.where(y == 1, weight[1], weight[0]), epochs, seed)
         moved = np.concatenate([own.model.embedding - before.model.embedding, own.memory[0] - before.memory[0]], 1)
-        moved = np.concatenate([moved, (moved != 0).any(1, keepdims=True)], 1).astype(np.float32)
+        moved = np.concatenate([moved[:, :columns], (moved != 0).any(1, keepdims=True)], 1).astype(np.float32)
         parts = [moved[a:a + SLICE].tobytes() for a in range(0, BUCKETS, SLICE)]
         # the rest is one more slice; the last number counts the shards
         parts.append(np.append(own.rest() - before.rest(), 1.0).astype(np.float32).tobytes())
-        yield pd.DataFrame({"slice": np.arange(len(parts), dtype=np.int32), "shard": zlib.crc32(texts[0].encode()), "part": parts})
+        shard = zlib.crc32(texts[0].encode())
+        for i, part in enumerate(parts):
+            yield i, shard, part
 
     def added(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(order=[zlib.crc32(p) for p in group["part"]]).sort_values(["shard", "order"])
@@ -401,18 +482,21 @@ def averaged(state: State, dealt: DataFrame, weight: tuple[float, float], epochs
         return pd.DataFrame({"slice": group["slice"].iloc[:1], "shard": group["shard"].iloc[:1], "part": [total.tobytes()]})
 
     kind = "slice int, shard long, part binary"
-    moved = dealt.select("t", "y").mapInPandas(task, kind)
-    # in two steps, so that no group holds the updates of many shards
-    some = moved.groupBy("slice", F.pmod("shard", F.lit(64))).applyInPandas(lambda g: added(g), kind)
+    moved = dealt.mapPartitions(task).toDF(kind)
+    # in two steps, so that no group holds the updates of many shards, the
+    # second with a small part of the first one's bytes
+    groups = -(-dealt.getNumPartitions() // ADDED_AT_ONCE)
+    some = moved.groupBy("slice", F.pmod("shard", F.lit(groups))).applyInPandas(lambda g: added(g), kind)
     for r in some.groupBy("slice").applyInPandas(lambda g: added(g), kind).collect():
         total = np.frombuffer(r["part"], np.float32)
         if r["slice"] * SLICE >= BUCKETS:
             state.add_rest(total[:-1] / total[-1])
         else:
-            total = total.reshape(SLICE, 2 * DIM + 1)
+            total = total.reshape(SLICE, columns + 1)
             mean, at = total[:, :-1] / np.maximum(total[:, -1:], 1), slice(r["slice"] * SLICE, (r["slice"] + 1) * SLICE)
             state.model.embedding[at] += mean[:, :DIM]
-            state.memory[0][at] += mean[:, DIM:]
+            if remember:
+                state.memory[0][at] += mean[:, DIM:]
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -429,7 +513,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shipped(sent))
         for texts in batches:
-            yield texts.map(scorer.score).astype("float64")
+            yield pd.Series(scorer.scores(texts), dtype="float64")
 
     return docs.withColumn(out, scored(text_of(text_col)))
 

@@ -214,6 +214,79 @@ def test_every_labelled_row_trains(spark, monkeypatch):
     assert np.allclose(one.embedding, two.embedding, atol=1e-5) and np.allclose(one.out, two.out, atol=1e-5)
 
 
+def test_training_keeps_the_texts_once(spark, monkeypatch):
+    """The rounds read the files of one shuffle: nothing is persisted beside
+    them, and the texts are made for the sizes and for that shuffle only."""
+    docs, labels = _toxic_rows(spark)
+    made, kept = spark.sparkContext.accumulator(0), []
+
+    def read_again(t):
+        made.add(1)
+        return t
+
+    docs = docs.withColumn("text", F.udf(read_again, "string")("text"))
+    real = toxicity.averaged
+    monkeypatch.setattr(toxicity, "averaged", lambda *a: kept.append(spark.sparkContext._jsc.getPersistentRDDs().size()) or real(*a))
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 200_000)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    toxicity.fit(docs, labels, epochs=2)
+    assert kept == [before] * toxicity.ROUNDS and made.value <= 2 * docs.count()
+
+
+def test_parts_are_crc32_of_each_word(monkeypatch):
+    words = ["a", "ab", "abc", "é", "ßßßß", "aaaaaaaa", "𝒳𝒴z", "日本語テキスト", "ananananan", "x" * 50]
+    words += list(dict.fromkeys(toxicity.WORD.findall(prose(3, 300).lower())))
+
+    def plain(word):
+        marked = f"<{word}>"
+        parts = {word + "=", *(marked[i:i + 4] for i in range(max(1, len(marked) - 3)))}
+        return sorted(zlib.crc32(p.encode()) % toxicity.BUCKETS for p in parts)
+
+    for n in (20_000, 7):
+        monkeypatch.setattr(toxicity, "HASHED_AT_ONCE", n)
+        flat, starts = toxicity.parts_of(words)
+        assert [sorted(flat[a:b].tolist()) for a, b in zip(starts, starts[1:])] == [plain(w) for w in words]
+    assert [len(x) for x in toxicity.parts_of([])] == [0, 1]
+
+
+def test_scores_together_equal_scores_alone(models, monkeypatch):
+    texts = [prose(i, 5 * i) for i in range(40)] + ["", "one", "one two", "x" * 300, "7 8 9"]
+    alone = [toxicity.Scorer(models[0]).logit(t) for t in texts]
+    for n in (200_000, 400):
+        monkeypatch.setattr(toxicity, "CHARS_AT_ONCE", n)
+        together = list(toxicity.Scorer(models[0]).logits(texts))
+        assert [k for _, k in together] == [k for _, k in alone]
+        assert np.allclose([a for a, _ in together], [a for a, _ in alone], atol=1e-5)
+
+
+def test_training_shards_follow_the_labelled_text(spark, monkeypatch):
+    """The join with the labels used to raise their number to Spark's own, so
+    that updates grew with it."""
+    docs, labels = _toxic_rows(spark)
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 200_000)
+    broadcast, seen = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        want = sorted((r["id"], r["t"], r["y"]) for r in labelled(docs, labels, "toxic").collect())
+        for n in (2, 3):
+            rows = labelled(docs, labels, "toxic", partitions=n)
+            assert sorted((r["id"], r["t"], r["y"]) for r in rows.collect()) == want
+            seen.append(rows.select("t", "y").rdd.getNumPartitions())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert seen == [2, 3]
+
+
+def test_updates_add_up_in_any_groups(spark, monkeypatch):
+    docs, labels = _toxic_rows(spark)
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 200_000)
+    found = []
+    for n in (64, 2):
+        monkeypatch.setattr(toxicity, "ADDED_AT_ONCE", n)
+        found.append(toxicity.fit(docs, labels, epochs=2))
+    assert np.allclose(found[0].embedding, found[1].embedding, atol=1e-5) and np.allclose(found[0].out, found[1].out, atol=1e-5)
+
+
 def test_training_reads_long_texts_in_pieces(monkeypatch):
     texts, y = [prose(i, 30 + 40 * i) for i in range(12)], np.arange(12) % 2.0
     found = []

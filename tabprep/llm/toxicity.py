@@ -44,6 +44,7 @@ BUCKETS = 1 << 16
 WIDTHS = {1: 8, 2: 4, 3: 4}  # filters by width
 DIM = 16
 CACHED_WORDS = 200_000
+LONG_LIST = 64  # row numbers of a list that are summed place by place
 HASHED_AT_ONCE = 20_000  # words whose parts are found together
 CHARS_AT_ONCE = 200_000  # of short texts scored together
 SHARD_CHARS = 32_000_000  # text of one training task
@@ -131,12 +132,22 @@ class Vocabulary:
 
 
 def sums(table: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Row sums of ``table`` over ragged lists of its row numbers."""
-    total = np.zeros((len(starts) - 1, table.shape[1]), np.float32)
-    some = np.flatnonzero(starts[1:] > starts[:-1])
-    if len(some):
-        total[some] = np.add.reduceat(table.take(flat, axis=0), starts[some], axis=0)
-    return total
+    """Row sums of ``table`` over ragged lists of its row numbers: the lists'
+    first places together, then their second, longest lists first."""
+    size = np.diff(starts)
+    order = np.argsort(-size, kind="stable")
+    first, total = starts[:-1][order], np.zeros((len(size), table.shape[1]))
+    longer = len(size) - np.cumsum(np.bincount(np.minimum(size, LONG_LIST + 1), minlength=LONG_LIST + 2))
+    for k in range(LONG_LIST):
+        if not longer[k]:
+            break
+        total[:longer[k]] += table.take(flat[first[:longer[k]] + k], axis=0)
+    for i in range(longer[LONG_LIST]):  # of words with very many letters
+        rest = flat[first[i] + LONG_LIST:first[i] + size[order[i]]]
+        total[i] += table.take(rest, axis=0).sum(0, dtype=np.float64)
+    out = np.empty(total.shape, np.float32)
+    out[order] = total
+    return out
 
 
 @dataclass
@@ -217,8 +228,8 @@ def strongest(model: Model, flat: np.ndarray, starts: np.ndarray, seq: np.ndarra
     value = {w: np.full((len(first), n), -np.inf, np.float32) for w, n in WIDTHS.items()}
     place = {w: np.zeros((len(first), n), np.int64) for w, n in WIDTHS.items()}
     for at in range(0, len(seq), WORDS_AT_ONCE):
-        used, inverse = np.unique(seq[at:at + WORDS_AT_ONCE + max(WIDTHS) - 1], return_inverse=True)
-        x = vectors_of(model, flat, starts, used)[0][inverse]
+        used, inverse = distinct(seq[at:at + WORDS_AT_ONCE + max(WIDTHS) - 1], len(starts) - 1)
+        x = vectors_of(model, flat, starts, used)[0].take(inverse, axis=0)
         for width, f in model.filters.items():
             ends = min(len(x) - width + 1, WORDS_AT_ONCE)
             if ends < 1:
@@ -234,6 +245,15 @@ def strongest(model: Model, flat: np.ndarray, starts: np.ndarray, seq: np.ndarra
     return np.concatenate(list(value.values()), 1), place
 
 
+def distinct(numbers: np.ndarray, among: int) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse, of numbers below ``among``, unsorted."""
+    place = np.zeros(among, np.int32)
+    place[numbers] = 1
+    used = np.flatnonzero(place)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    return used, place[numbers]
+
+
 def vectors_of(model: Model, flat: np.ndarray, starts: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Vectors of some words, with their buckets and how many each has."""
     sizes = starts[used + 1] - starts[used]
@@ -287,7 +307,7 @@ def descend(state: State, texts: list[str], y: np.ndarray, weight: np.ndarray, e
             model.out_bias -= float(rate * g.sum() / np.sqrt(state.out_memory))
             touched = np.repeat(np.arange(len(used)), sizes)
             keep = (np.abs(grad_x).sum(1) > 0)[touched]
-            rows, where = np.unique(pieces[keep], return_inverse=True)
+            rows, where = distinct(pieces[keep], BUCKETS)
             ge = np.zeros((len(rows), DIM), np.float32)
             np.add.at(ge, where, grad_x[touched[keep]])
             step(0, ge, rows)

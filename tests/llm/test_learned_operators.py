@@ -249,6 +249,15 @@ def test_parts_are_crc32_of_each_word(monkeypatch):
     assert [len(x) for x in toxicity.parts_of([])] == [0, 1]
 
 
+def test_sums_of_ragged_rows():
+    rng = np.random.default_rng(2)
+    table, size = rng.normal(size=(50, 3)).astype(np.float32), np.array([0, 3, 1, 0, 64, 65, 200, 2, 0])
+    flat, starts = rng.integers(0, 50, size.sum()), np.concatenate([[0], np.cumsum(size)])
+    want = [table[flat[a:b]].sum(0, dtype=np.float64) for a, b in zip(starts, starts[1:])]
+    assert np.allclose(toxicity.sums(table, flat, starts), want, atol=1e-6)
+    assert toxicity.sums(table, flat[:0], starts[:1]).shape == (0, 3)
+
+
 def test_scores_together_equal_scores_alone(models, monkeypatch):
     texts = [prose(i, 5 * i) for i in range(40)] + ["", "one", "one two", "x" * 300, "7 8 9"]
     alone = [toxicity.Scorer(models[0]).logit(t) for t in texts]

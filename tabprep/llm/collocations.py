@@ -23,9 +23,12 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
@@ -40,6 +43,8 @@ SHORT, EVERY, LONGEST = 24, 24, 4_096
 #: A task's dictionary goes on when it holds so many chunks, and its phrases
 #: are counted by so many words at a time.
 ENTRIES, WORDS = 400_000, 1_500_000
+#: Bytes that a counted word may stand for, and rows sent on at once.
+LONG, PART = 128, 50_000
 #: Bits of a filter: so many for a phrase, and at most (2**27 bits are 16 MB).
 FILTER_EACH, FILTER_MOST = 16, 1 << 27
 # What ends a piece, and what stands between words beside space.
@@ -75,12 +80,12 @@ def _parsed(overlap: int):
 
         def rows():
             for (lang, closed), mine in counts.items():
-                keys = list(mine)
-                for a in range(0, len(keys), 50_000):
-                    some = keys[a:a + 50_000]
+                keys, f = list(mine), list(mine.values())
+                for a in range(0, len(keys), PART):
+                    some = keys[a:a + PART]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()), pa.array([closed] * len(some), pa.bool_()),
-                         pa.array([mine[k] for k in some], pa.int64())], ["lang", "chunk", "closed", "f"])
+                        [pa.repeat(pa.scalar(lang, pa.string()), len(some)), pa.array(some, pa.binary()), pa.repeat(closed, len(some)),
+                         pa.array(f[a:a + PART], pa.int64())], ["lang", "chunk", "closed", "f"])
             counts.clear()
 
         for batch in batches:
@@ -159,78 +164,109 @@ def filter_of(frequent: DataFrame, k: int) -> np.ndarray:
     return bits
 
 
-def counted(lang: str, found: list[bytes], closed: list[bool], f: list[int], lengths: tuple, overlap: int,
-            bits: np.ndarray | None) -> tuple[list[bytes], np.ndarray, int]:
-    """Distinct phrases of these lengths that start in the chunks and may be
-    frequent, their weighted counts, and the weighted number of words."""
-    split = [c.split(b" ") for c in found]
-    sizes = np.array([len(w) for w in split])
-    words = [w for ws in split for w in ws]
-    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    vocabulary, ids = list(number), np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    weight = np.repeat(np.array(f, np.int64), sizes)
+def _tallies(lang: str, found: pa.Array, closed: np.ndarray, f: np.ndarray, lengths: tuple, overlap: int,
+             bits: np.ndarray | None) -> tuple[Iterator[tuple[pa.Array, np.ndarray]], int]:
+    """Parts of the distinct phrases of these lengths that start in the chunks
+    and may be frequent, with their weighted counts; and the weighted number
+    of words.  Arrow numbers the words and joins the phrases."""
+    split = pc.split_pattern(found, pattern=b" ")
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    vocabulary, ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    weight = np.repeat(f, sizes)
     ends = np.cumsum(sizes)
     place = np.arange(len(ids))
     # a phrase starts before the closing trigger and ends inside its chunk
-    own = place < np.repeat(ends - overlap * np.array(closed, np.int64), sizes)
+    own = place < np.repeat(ends - overlap * closed.astype(np.int64), sizes)
     end = np.repeat(ends, sizes)
+    hashed = _word_hashes(vocabulary.to_pylist())[ids] if bits is not None else None
+
+    def parts():
+        for k in lengths:
+            last = max(0, len(ids) - k + 1)
+            here = (own & (place + k <= end))[:last]
+            if bits is not None and last:
+                may = inside(bits, hashes(lang, hashed, k - 1))
+                here &= may[:last] & may[1:last + 1]
+            starts = np.flatnonzero(here)
+            if not len(starts):
+                continue
+            # exact numbers of the phrases: (number of the shorter one, next word)
+            code, most = ids[starts], len(vocabulary)
+            for i in range(1, k):
+                if most * len(vocabulary) >= 1 << 62:
+                    known, code = np.unique(code, return_inverse=True)
+                    most = len(known)
+                code, most = code * len(vocabulary) + ids[starts + i], most * len(vocabulary)
+            order = np.argsort(code)
+            code = code[order]
+            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            heads = starts[order[first]]
+            sums = np.add.reduceat(weight[starts[order]], first)
+            for a in range(0, len(heads), PART):
+                columns = [vocabulary.take(pa.array(ids[heads[a:a + PART] + j])) for j in range(k)]
+                yield (columns[0] if k == 1 else pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))), sums[a:a + PART]
+
+    return parts(), int(weight[own].sum())
+
+
+def counted(lang: str, found: list[bytes], closed: list[bool], f: list[int], lengths: tuple, overlap: int,
+            bits: np.ndarray | None) -> tuple[list[bytes], np.ndarray, int]:
+    """Distinct phrases of these lengths that start in the chunks and may be
+    frequent, their weighted counts, and the weighted number of words."""
+    parts, total = _tallies(lang, pa.array(found, pa.binary()), np.array(closed, bool), np.array(f, np.int64), lengths, overlap, bits)
     phrases, sums = [], [np.zeros(0, np.int64)]
-    for k in lengths:
-        last = max(0, len(ids) - k + 1)
-        here = (own & (place + k <= end))[:last]
-        if bits is not None and last:
-            may = inside(bits, hashes(lang, _word_hashes(vocabulary)[ids], k - 1))
-            here &= may[:last] & may[1:last + 1]
-        starts = place[:last][here]
-        if not len(starts):
-            continue
-        # exact numbers of the phrases: (number of the shorter one, next word)
-        code, most = ids[starts], len(vocabulary)
-        for i in range(1, k):
-            if most * len(vocabulary) >= 1 << 62:
-                known, code = np.unique(code, return_inverse=True)
-                most = len(known)
-            code, most = code * len(vocabulary) + ids[starts + i], most * len(vocabulary)
-        order = np.argsort(code)
-        code = code[order]
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        sums.append(np.add.reduceat(weight[starts[order]], first))
-        heads = starts[order[first]]
-        columns = [[vocabulary[i] for i in ids[heads + j].tolist()] for j in range(k)]
-        phrases += columns[0] if k == 1 else map(b" ".join, zip(*columns))
-    return phrases, np.concatenate(sums), int(weight[own].sum())
+    for some, n in parts:
+        phrases += some.to_pylist()
+        sums.append(n)
+    return phrases, np.concatenate(sums), total
+
+
+def _by_lang(batches: list[pa.RecordBatch]):
+    """The rows of the batches, one table per language (the first column)."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    coded = table.column(0).combine_chunks().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    bounds = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+    for lang, a, b in zip(coded.dictionary.to_pylist(), bounds, bounds[1:]):
+        yield lang, table if b - a == len(table) else table.take(pa.array(order[a:b]))
 
 
 def _counts(lengths: tuple, overlap: int, sent):
     """Chunks -> rows ``lang, phrase, f`` of the phrases of these lengths; with
     single words the empty phrase counts all words."""
     def task(batches):
-        bits, held, size = (shipped(sent) if sent else None), {}, 0
+        bits, held, size = (shipped(sent) if sent else None), [], 0
 
         def rows():
-            for lang in list(held):
-                phrases, sums, total = counted(lang, *held.pop(lang), lengths, overlap, bits)
-                if 1 in lengths:
-                    phrases, sums = [b"", *phrases], np.concatenate([[total], sums])
-                for a in range(0, len(phrases), 50_000):
-                    some = phrases[a:a + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()),
-                                                      pa.array(sums[a:a + 50_000], pa.int64())], ["lang", "phrase", "f"])
-
-        least = min(lengths) - 1
+            for lang, mine in _by_lang(held):
+                found, closed, f = (mine.column(i).combine_chunks() for i in (1, 2, 3))
+                parts, total = _tallies(lang, found, closed.to_numpy(zero_copy_only=False), f.to_numpy(zero_copy_only=False), lengths, overlap, bits)
+                whole = [(pa.array([b""], pa.binary()), np.array([total]))] if 1 in lengths else []
+                for phrases, sums in chain(whole, parts):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(phrases)), phrases,
+                                                      pa.array(sums, pa.int64())], ["lang", "phrase", "f"])
+            held.clear()
+
         for batch in batches:
-            for lang, chunk, closed, f in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                n = chunk.count(b" ")
-                if n >= least:
-                    mine = held.setdefault(lang, ([], [], []))
-                    mine[0].append(chunk)
-                    mine[1].append(closed)
-                    mine[2].append(f)
-                    size += n + 1
-                    if size > WORDS:
-                        yield from rows()
-                        size = 0
-        yield from rows()
+            words = pc.count_substring(batch.column(1), pattern=b" ").to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            enough = words >= min(lengths)
+            # a chunk of very long words counts for more of them
+            words = np.maximum(words, pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False) // LONG)[enough]
+            batch = batch.filter(pa.array(enough))
+            so_far = np.concatenate([[0], np.cumsum(words)])
+            a = 0
+            while a < len(words):  # at least one chunk at a time
+                b = max(a + 1, int(np.searchsorted(so_far, so_far[a] + WORDS - size, side="right")) - 1)
+                held.append(batch.slice(a, b - a))
+                size += int(so_far[b] - so_far[a])
+                a = b
+                if a < len(words) or size > WORDS:
+                    yield from rows()
+                    size = 0
+        if held:
+            yield from rows()
     return task
 
 

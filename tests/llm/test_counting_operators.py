@@ -3,9 +3,11 @@
 import itertools
 import random
 import re
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from llm_cases import DOCS, empty, messy, prose
@@ -154,6 +156,39 @@ def test_chunks_hold_every_phrase_once(words, overlap, times):
         assert dict(zip(got, sums.tolist())) == {g: times * n for g, n in want.items()} and total == times * len(words)
 
 
+def test_counting_calls_nothing_per_chunk(monkeypatch):
+    """Calls follow the vocabulary and the batches, not the chunks; long words
+    count for more of them, so what is held at once is bounded in bytes too."""
+    def batch(chunks):
+        n = len(chunks)
+        return pa.RecordBatch.from_arrays([pa.array(["en"] * n), pa.array(chunks, pa.binary()), pa.array([False] * n), pa.array([2] * n)],
+                                          ["lang", "chunk", "closed", "f"])
+
+    def calls(n):
+        made, rng = Counter(), random.Random(n)
+        some = batch([b" ".join(b"w%d" % rng.randrange(30) for _ in range(rng.randrange(1, 9))) for _ in range(n)])
+        task = collocations._counts((1, 2), 2, None)
+        sys.setprofile(lambda frame, event, arg: made.update([event]))
+        try:
+            for _ in task(iter([some])):
+                pass
+        finally:
+            sys.setprofile(None)
+        return made["call"] + made["c_call"]
+
+    calls(100)  # what is set up with the first call
+    assert calls(4000) < 2 * calls(1000)
+    long = [b"%d" % i * 4000 + b" " + b"%d" % i * 3000 for i in range(30)]
+    monkeypatch.setattr(collocations, "WORDS", 100_000)
+    got = list(collocations._counts((1, 2), 2, None)(iter([batch(long * 100)])))
+    assert sum(b.num_rows for b in got) > 2 * 91
+    f = Counter()
+    for b in got:
+        for p, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            f[p] += n
+    assert f == Counter({b"": 12_000}) + Counter({x: 200 for c in long for x in (c, *c.split())})
+
+
 def test_filter_holds_all_it_was_given(spark):
     rng = random.Random(5)
     phrases = [("en" if i % 2 else "de", b"w%d w%d" % (rng.randrange(900), rng.randrange(900))) for i in range(3000)]

@@ -100,3 +100,21 @@ def test_linear_gd_far_from_zero(spark):
     for x, z in zip(fast, slow):
         assert x["loss"] == pytest.approx(z["loss"], rel=1e-9)
         assert x["w"] == pytest.approx(z["w"], rel=1e-9)
+
+
+def test_folds_are_scored_from_the_fits_cache(spark):
+    """Each row is made once for all fits and scores of the folds."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def slow(i):
+        made.add(1)
+        return float(i % 7)
+
+    df = spark.range(60).select("id", slow("id").alias("y"), (F.col("id") % 3).cast("int").alias("fold"))
+    got = models.cv_scores(models.MeanRegressor(labelCol="y"), df, "y", 3).collect()
+    assert made.value == 60
+    for f, n, rmse, mae in sorted(got):
+        mean = np.mean([i % 7 for i in range(60) if i % 3 != f])
+        errors = np.array([i % 7 - mean for i in range(60) if i % 3 == f])
+        assert n == 20 and rmse == pytest.approx(-np.sqrt((errors ** 2).mean())) and mae == pytest.approx(-np.abs(errors).mean())

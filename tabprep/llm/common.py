@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import pickle
 import sys
@@ -62,6 +64,14 @@ def shipped(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
+def trim() -> None:
+    """Hand freed memory back to the system, where the C library can: Spark
+    keeps a task's Python worker, which later tasks' workers stand beside."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps: it does so when
     the driver's JVM collects the frames that nobody holds any more.  It hears

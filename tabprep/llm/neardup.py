@@ -38,7 +38,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, release, ship, shipped, text_of, top_bits, utf8, written
+from .common import by_value, release, ship, shipped, text_of, top_bits, trim, utf8, written
 
 by_value(__name__)
 
@@ -50,6 +50,13 @@ CELL_BITS = 20  # counters of runs; they only order runs, no result depends on t
 _words: dict[str, int] = {}  # hashes of words, one table per worker process
 
 
+def forget_words() -> None:
+    """At the end of a task: the steps that follow are joins, beside which its
+    idle worker would keep the table."""
+    _words.clear()
+    trim()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -172,6 +179,8 @@ def uncompared(grouped: DataFrame, found: DataFrame, texts: DataFrame, least: fl
         for batch in batches:
             yield pd.DataFrame({"node": batch["node"], "root": batch["root"],
                                 "runs": [runs(t).astype(np.int64) for t in batch["t"]]})
+        batch = None
+        forget_words()
 
     of_class = written(grouped.select("key", "node").join(components(found).hint("merge"), "node", "left")
                        .select("key", "node", F.coalesce("root", "node").alias("root")), "classed-groups")
@@ -210,6 +219,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
                 r = runs(text)
                 found.append(sketches(r).astype(np.int64).tolist() if len(r) else [])
             yield pd.DataFrame({"node": batch["node"], "keys": found})
+        batch = found = None
+        forget_words()
 
     texts = docs.select(node_of(text_col).alias("node"), text_of(text_col).alias("t"))
     keys = written(texts.mapInPandas(sketch, "node binary, keys array<long>"), "sketches")
@@ -245,6 +256,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
                         known[node] = runs(text)
                 near.append(similarity(known[node_a], known[node_b], least) >= least)
             yield batch.loc[near, ["a", "b"]]
+        known.clear()
+        batch = None
+        forget_words()
 
     def verified(pairs: DataFrame) -> DataFrame:
         sides = (pairs.join(needed.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")

@@ -11,7 +11,8 @@ each language has the threshold that serves its calibration rows best, and
 scores are shifted so that it falls on 0.5.
 
 Training reads every labelled row that is not held out, whole.  Rows are
-dealt to shards by their id, each shard is one task that descends from the
+dealt to shards by their id, each shard is one task that numbers its words
+(neither texts nor words are kept) and descends from the
 common model, and the changes of all shards are averaged (of an embedding:
 over the shards that moved it), a fixed number of times.  The texts are on
 disk once, as the files of the one shuffle that deals them: every round reads
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -35,7 +37,7 @@ from pyspark import RDD
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_value, release, ship, shipped, text_of
+from .common import by_value, release, ship, shipped, text_of, trim
 from .labelled import labelled, portions
 
 by_value(__name__)
@@ -117,7 +119,8 @@ def parts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     whole = np.fromiter((zlib.crc32(f"{w}=".encode()) for w in words), np.int64, n) | np.arange(n) << 33 | 1 << 32
     parts = np.sort(np.concatenate([whole, own << 33 | crc.astype(np.int64)]))
     parts = parts[np.append(True, parts[1:] != parts[:-1])[:len(parts)]]
-    return (parts & 0xFFFFFFFF) % BUCKETS, np.concatenate([[0], np.cumsum(np.bincount(parts >> 33, minlength=n))])
+    buckets = ((parts & 0xFFFFFFFF) % BUCKETS).astype(np.min_scalar_type(BUCKETS - 1))
+    return buckets, np.concatenate([[0], np.cumsum(np.bincount(parts >> 33, minlength=n))])
 
 
 class Vocabulary:
@@ -262,13 +265,44 @@ def vectors_of(model: Model, flat: np.ndarray, starts: np.ndarray, used: np.ndar
     return sums(model.embedding, pieces, np.concatenate([[0], ends])), pieces, sizes
 
 
-def descend(state: State, texts: list[str], y: np.ndarray, weight: np.ndarray, epochs: int, seed: int,
+@dataclass
+class Numbered:
+    """Texts as the row numbers of their words.  Neither texts nor words are
+    kept: what training holds is four bytes a word, and the distinct ones' parts."""
+    rows: np.ndarray  # of all words, text after text
+    ends: np.ndarray  # of each text in ``rows``
+    flat: np.ndarray  # buckets of the distinct words' parts, row after row
+    starts: np.ndarray
+
+    @classmethod
+    def of(cls, texts: Iterable[str]) -> Numbered:
+        words, rows, ends = Vocabulary(), array("i"), array("q")
+        for text in texts:
+            for portion in portions(text):
+                rows.frombytes(words.read(WORD.findall(portion.lower())).tobytes())
+            ends.append(len(rows))
+        flat, starts = parts_of(list(words.rows))
+        # row 0 has no parts
+        return cls(np.frombuffer(rows, np.int32), np.frombuffer(ends, np.int64), flat, np.concatenate([[0], starts]))
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __getitem__(self, d: int) -> np.ndarray:
+        return self.rows[self.ends[d - 1] if d else 0:self.ends[d]]
+
+
+def descend(state: State, texts: Iterable[str], y: np.ndarray, weight: np.ndarray, epochs: int, seed: int,
             batch: int = 8, rate: float = 0.1) -> None:
     """Adagrad on the logistic loss of some texts, from ``state``."""
-    rng, model, words = np.random.default_rng(seed), state.model, Vocabulary()
-    docs = [words.read(WORD.findall(t.lower())) for t in texts]
-    flat, starts = parts_of(list(words.rows))
-    starts = np.concatenate([[0], starts])  # row 0 has no parts
+    descend_on(state, Numbered.of(texts), y, weight, epochs, seed, batch, rate)
+
+
+def descend_on(state: State, docs: Numbered, y: np.ndarray, weight: np.ndarray, epochs: int, seed: int,
+               batch: int = 8, rate: float = 0.1) -> None:
+    """``descend`` on texts that are numbered already."""
+    rng, model = np.random.default_rng(seed), state.model
+    flat, starts = docs.flat, docs.starts
 
     def step(i: int, g: np.ndarray, rows=slice(None)) -> None:
         p, memory = state.parameters()[i], state.memory[i]
@@ -330,7 +364,7 @@ class Scorer:
         rows, first = self.words.read(words), self.filled
         n = len(self.words.rows) + 1
         if n > len(self.table):
-            more = 2 * n - len(self.table)
+            more = n + n // 4 - len(self.table)
             self.table = np.concatenate([self.table, np.zeros((more, self.table.shape[1]), np.float32)])
             self.language = np.concatenate([self.language, np.full(more, UNKNOWN)])
         if n > first:
@@ -430,6 +464,8 @@ def calibrate(model: Model, rows: RDD[Row], clean_weight: float = 3.0, least: in
         y = deque()  # of the texts that are read but not yet counted
         for logit, language in scorer.logits(y.append(r["y"]) or r["t"] for r in some):
             yield language, int(np.round(np.clip(logit, -30, 30) * np.float64(FINEST))), y.popleft()
+        del scorer
+        trim()
 
     # at most 60,001 places by language
     counted = (rows.mapPartitions(logits).toDF("language int, at int, y int").groupBy("language", "at")
@@ -479,22 +515,32 @@ def averaged(state: State, dealt: RDD[Row], weight: tuple[float, float], epochs:
     sent = ship(SparkSession.active(), state)
 
     def task(some: Iterator[Row]) -> Iterator[tuple]:
-        before, own, texts, y = shipped(sent), shipped(sent), [], []
-        for r in some:
-            texts.append(r["t"])
-            y.append(r["y"])
-        if not texts:
+        y, shard = array("d"), 0
+
+        def texts() -> Iterator[str]:
+            nonlocal shard
+            for r in some:
+                shard = shard if y else zlib.crc32(r["t"].encode())
+                y.append(r["y"])
+                yield r["t"]
+
+        docs = Numbered.of(texts())
+        if not len(docs):
             return
-        y = np.array(y, np.float64)
-        descend(own, texts, y, np.where(y == 1, weight[1], weight[0]), epochs, seed)
-        moved = np.concatenate([own.model.embedding - before.model.embedding, own.memory[0] - before.memory[0]], 1)
-        moved = np.concatenate([moved[:, :columns], (moved != 0).any(1, keepdims=True)], 1).astype(np.float32)
-        parts = [moved[a:a + SLICE].tobytes() for a in range(0, BUCKETS, SLICE)]
+        y = np.array(y)
+        own = shipped(sent)
+        descend_on(own, docs, y, np.where(y == 1, weight[1], weight[0]), epochs, seed)
+        del docs
+        before = shipped(sent)
+        for i, a in enumerate(range(0, BUCKETS, SLICE)):
+            moved = np.concatenate([own.model.embedding[a:a + SLICE] - before.model.embedding[a:a + SLICE],
+                                    own.memory[0][a:a + SLICE] - before.memory[0][a:a + SLICE]], 1)
+            moved = np.concatenate([moved[:, :columns], (moved != 0).any(1, keepdims=True)], 1).astype(np.float32)
+            yield i, shard, moved.tobytes()
         # the rest is one more slice; the last number counts the shards
-        parts.append(np.append(own.rest() - before.rest(), 1.0).astype(np.float32).tobytes())
-        shard = zlib.crc32(texts[0].encode())
-        for i, part in enumerate(parts):
-            yield i, shard, part
+        yield i + 1, shard, np.append(own.rest() - before.rest(), 1.0).astype(np.float32).tobytes()
+        del own, before, moved
+        trim()
 
     def added(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(order=[zlib.crc32(p) for p in group["part"]]).sort_values(["shard", "order"])
@@ -534,6 +580,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         scorer = Scorer(shipped(sent))
         for texts in batches:
             yield pd.Series(scorer.scores(texts), dtype="float64")
+        scorer = texts = None
+        trim()
 
     return docs.withColumn(out, scored(text_of(text_col)))
 

@@ -118,3 +118,41 @@ def test_folds_are_scored_from_the_fits_cache(spark):
         mean = np.mean([i % 7 for i in range(60) if i % 3 != f])
         errors = np.array([i % 7 - mean for i in range(60) if i % 3 == f])
         assert n == 20 and rmse == pytest.approx(-np.sqrt((errors ** 2).mean())) and mae == pytest.approx(-np.abs(errors).mean())
+
+
+def test_cv_boosting_trains_all_rounds(spark, monkeypatch):
+    """The query used to train 5 rounds of the reference's 500."""
+    from tabprep.plans import catalog, house
+    asked = {}
+    monkeypatch.setattr(catalog, "house_parts", lambda *_: ("train", "test"))
+    monkeypatch.setattr(house, "tree_flow", lambda *a, **b: (asked.update(b), None))
+    catalog.QUERIES["m13_cv_boosting"](spark, "nowhere")
+    est = asked["estimator"]
+    assert (est.getMaxIter(), est.getStepSize(), est.getMaxDepth(), est.getSubsamplingRate()) == (500, 0.05, 5, 0.7)
+    assert asked["k"] == 5 and asked.get("with_scores", True)
+
+
+def test_flow_is_the_same_side_by_side(spark, monkeypatch):
+    """Folds and refit side by side give what one after the other gives; a
+    large table's fits run one at a time."""
+    from tabprep.plans import house
+    train = spark.range(0, 200, 1, 1).selectExpr("id", "cast(id % 7 as double) as a", "if(id % 3 = 0, 'u', 'v') as s", "cast(id % 11 as double) as y")
+    test = train.drop("y")
+    est = models.boosted_trees(label="y", max_iter=2, max_depth=2)
+    runs = [house.tree_flow(spark, train, test, "id", "y", estimator=est, k=3, parallelism=p) for p in (1, None)]
+    one, many = [[sorted(map(tuple, x.collect())) for x in run] for run in runs]
+    assert one == many and len(one[0]) == 3 and len(one[1]) == 200
+    assert models.fits_at_once(train, 4) == min(4, spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 10)
+    assert models.fits_at_once(train, 4) == 1 and models.fits_at_once(train.limit(0), 4) >= 1
+
+
+def test_long_boosting_cuts_its_lineage(spark, monkeypatch):
+    """Without a checkpoint folder every round stays in the lineage."""
+    made = []
+    monkeypatch.setattr(models, "ensure_checkpoint_dir", lambda s: made.append(s), raising=False)
+    df = spark.range(10)
+    models.spread(models.boosted_trees(max_iter=10), df)
+    assert not made
+    models.spread(models.boosted_trees(max_iter=11), df)
+    assert len(made) == 1
